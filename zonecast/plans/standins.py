@@ -114,3 +114,70 @@ features AS (
     AND rolling_mean_3h IS NOT NULL AND rolling_mean_24h IS NOT NULL
     AND rolling_std_3h IS NOT NULL AND rolling_std_24h IS NOT NULL
 )"""
+
+
+def raw_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-file layout of the reference input: Date/Time text, Lat, Lon, Base."""
+    p = pickups(spark, sf_dir)
+    return p.select(F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss").alias("Date/Time"),
+                    "Lat", "Lon", "Base")
+
+
+def pickups_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.eda import with_parts
+    return with_parts(pickups(spark, sf_dir))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipeline-log layout (all text) derived from ``orders``: one log row per order.
+    step = order priority, status from the order status (F success, O failed, P NULL),
+    duration_min = an integer minute count as text, 'n/a' for pending orders."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("timestamp_utc"),
+        F.col("o_orderpriority").alias("step"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("success"))
+         .when(F.col("o_orderstatus") == "O", F.lit("failed")).alias("status"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("n/a"))
+         .otherwise((F.floor("o_totalprice").cast("bigint") % 997).cast("string")).alias("duration_min"),
+        F.concat(F.lit("custkey="), F.col("o_custkey").cast("string")).alias("details"),
+    )
+
+
+RAW_SQL = PICKUPS_SQL + """,
+raw AS (
+  SELECT strftime(pickup_datetime, '%-m/%-d/%Y %-H:%M:%S') AS "Date/Time", Lat, Lon, Base FROM pickups
+)"""
+
+PARTS_SQL = PICKUPS_SQL + """,
+parts AS (
+  SELECT *, CAST(hour(pickup_datetime) AS INTEGER) AS Hour, CAST(day(pickup_datetime) AS INTEGER) AS Day,
+         CAST(isodow(pickup_datetime) - 1 AS INTEGER) AS Weekday, CAST(month(pickup_datetime) AS INTEGER) AS Month
+  FROM pickups
+)"""
+
+# Fallback grid cells and the points strictly inside them (bounds join, same arithmetic
+# as the grid builder).
+GRID_SQL = PARTS_SQL + """,
+gridc AS (
+  SELECT i, j, 'Grid_' || CAST(i AS VARCHAR) || '_' || CAST(j AS VARCHAR) AS cd_name,
+         CAST(-74.05 AS DOUBLE) + CAST(i AS DOUBLE) * ((CAST(-73.70 AS DOUBLE) - CAST(-74.05 AS DOUBLE)) / 5) AS x0,
+         CAST(-74.05 AS DOUBLE) + CAST(i + 1 AS DOUBLE) * ((CAST(-73.70 AS DOUBLE) - CAST(-74.05 AS DOUBLE)) / 5) AS x1,
+         CAST(40.55 AS DOUBLE) + CAST(j AS DOUBLE) * ((CAST(40.95 AS DOUBLE) - CAST(40.55 AS DOUBLE)) / 5) AS y0,
+         CAST(40.55 AS DOUBLE) + CAST(j + 1 AS DOUBLE) * ((CAST(40.95 AS DOUBLE) - CAST(40.55 AS DOUBLE)) / 5) AS y1
+  FROM range(5) a(i), range(5) b(j)
+),
+gpts AS (
+  SELECT p.event_id, p.pickup_datetime, p.Lat, p.Lon, p.Base, p.Hour, p.Day, p.Weekday, p.Month, g.cd_name
+  FROM parts p JOIN gridc g ON p.Lon > g.x0 AND p.Lon < g.x1 AND p.Lat > g.y0 AND p.Lat < g.y1
+)"""
+
+RUNLOG_SQL = """
+runlog AS (
+  SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S UTC') AS timestamp_utc,
+         o_orderpriority AS step,
+         CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' END AS status,
+         CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 997 AS VARCHAR) END AS duration_min,
+         'custkey=' || CAST(o_custkey AS VARCHAR) AS details
+  FROM orders
+)"""
