@@ -159,3 +159,11 @@ def round_half_even(c, scale: int) -> Column:
 def nan_to_null(c) -> Column:
     x = col_(c)
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+
+
+def pseudo_timestamp(month, day, hour, year: int = 1900) -> Column:
+    """'YYYY-MM-DD HH' built from zero-padded parts and parsed; an impossible date
+    (29 February of a common year) gives NULL."""
+    s = F.concat(F.lit(f"{year}-"), F.lpad(col_(month).cast("string"), 2, "0"), F.lit("-"),
+                 F.lpad(col_(day).cast("string"), 2, "0"), F.lit(" "), F.lpad(col_(hour).cast("string"), 2, "0"))
+    return F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH")).cast("timestamp_ntz")

@@ -181,3 +181,32 @@ runlog AS (
          'custkey=' || CAST(o_custkey AS VARCHAR) AS details
   FROM orders
 )"""
+
+
+def dense_district_polygons(spark: SparkSession) -> DataFrame:
+    """Polygon layer for the ten dense districts: vertical strips of the point area
+    (lon -74.10..-73.65 in 0.045 degree steps, lat 40.50..41.00), named by code."""
+    from ..sources.polygons import RINGS
+    d = F.col("id")
+    code = (F.pmod(d, F.lit(5)) + 1) * 100 + F.floor(d / 5).cast("bigint") + 1
+    x0 = F.lit(-74.10) + d.cast("double") * F.lit(0.045)
+    x1 = F.lit(-74.10) + (d + 1).cast("double") * F.lit(0.045)
+    y0, y1 = F.lit(40.50), F.lit(41.00)
+
+    def pt(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+    ring = F.array(pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0))
+    return spark.range(10).select(district_name(code, "padded").alias("cd_name"), F.lit(0).alias("part_id"),
+                                  F.array(ring).cast(RINGS).alias("rings"))
+
+
+DENSE_POLY_SQL = """
+dpoly AS (
+  SELECT CASE CAST(d % 5 + 1 AS VARCHAR) WHEN '1' THEN 'Manhattan' WHEN '2' THEN 'Bronx' WHEN '3' THEN 'Brooklyn'
+              WHEN '4' THEN 'Queens' WHEN '5' THEN 'Staten Island' ELSE 'Unknown' END
+           || ' CD ' || lpad(CAST(d // 5 + 1 AS VARCHAR), 2, '0') AS cd_name,
+         CAST(-74.10 AS DOUBLE) + CAST(d AS DOUBLE) * CAST(0.045 AS DOUBLE) AS x0,
+         CAST(-74.10 AS DOUBLE) + CAST(d + 1 AS DOUBLE) * CAST(0.045 AS DOUBLE) AS x1,
+         CAST(40.50 AS DOUBLE) AS y0, CAST(41.00 AS DOUBLE) AS y1
+  FROM range(10) t(d)
+)"""
