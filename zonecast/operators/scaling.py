@@ -16,10 +16,14 @@ KEY = "cd_name"
 
 
 def standard_stats(train: DataFrame, cols) -> dict[str, tuple[Column, Column]]:
-    """{col: (mean, std_pop)} as scalar subqueries over ``train`` (all districts)."""
-    stats = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                      *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
-    return {c: (stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar()) for c in cols}
+    """{col: (mean, std_pop)} fitted on ``train`` (all districts together).
+
+    The fit is one aggregation returning 2 x p numbers, brought to the driver as the
+    fitted parameters (like a fitted scaler) and inlined as literals: one job, and the
+    plans that apply it stay small."""
+    row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                    *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    return {c: (F.lit(row[f"m_{c}"]).cast("double"), F.lit(row[f"s_{c}"]).cast("double")) for c in cols}
 
 
 def apply_standard(df: DataFrame, stats, cols) -> DataFrame:

@@ -57,9 +57,9 @@ SELECT {cols}, pickup_datetime, pickups, cd_name, split FROM sp, st""")
 
 def scaled_split(spark, d):
     df = split_features(spark, d)
-    tr, te = sc.standard_scale(df.where("split = 'train'"), df.where("split = 'test'"), SCALE_COLS)
+    stats = sc.standard_stats(df.where("split = 'train'"), SCALE_COLS)
     cols = SCALE_COLS + ["pickup_datetime", "pickups", "cd_name", "split"]
-    return tr.select(*cols).unionByName(te.select(*cols))
+    return sc.apply_standard(df, stats, SCALE_COLS).select(*cols)
 
 
 @query("standard_scale", _std_sql())
