@@ -32,7 +32,7 @@ def ring_crossings(ring: Column, px: Column, py: Column) -> Column:
         b = F.get(ring, i)
         ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
         straddles = (ay > py) != (by > py)
-        x_at = (bx - ax) * (py - ay) / (by - ay) + ax
+        x_at = F.try_divide((bx - ax) * (py - ay), by - ay) + ax
         return acc + F.when(straddles & (px < x_at), F.lit(1)).otherwise(F.lit(0))
     return F.aggregate(_edges(ring), F.lit(0), step)
 

@@ -28,14 +28,11 @@ def log_pipeline_step(spark: SparkSession, path: str, step: str, status: str, du
 
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
     """Tolerant CSV read of a text log: every field as text; a row with more fields than
-    the header is dropped, a short row is padded with NULLs (PERMISSIVE mode)."""
-    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
-    # a corrupt record with fewer fields than the schema is a short row (kept, padded);
-    # one with more fields is a long row (dropped)
-    n_fields = F.size(F.split(F.col("_corrupt"), ","))
-    return df.where(F.col("_corrupt").isNull() | (n_fields <= len(LOG_COLUMNS))).drop("_corrupt")
+    the header is dropped, a short row is padded with NULLs. The schema carries one spare
+    column: only a too-long row can fill it."""
+    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("_extra", T.StringType())])
+    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return df.where(F.col("_extra").isNull()).drop("_extra")
 
 
 def tidy_log(log: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def ridge_cv(meta: DataFrame, features, target: str = "y_true", key: str = KEY)
         for b in range(p):
             h = h + d[a] * F.col("ainv")[a * p + b] * d[b]
     h = h + F.lit(1.0) / F.col("n")
-    loo = (F.col(target) - pred) / (F.lit(1.0) - h)
+    loo = F.try_divide(F.col(target) - pred, F.lit(1.0) - h)
     err = j.groupBy(key, "alpha_idx").agg(F.avg(loo * loo).alias("loo_mse"))
     w = Window.partitionBy(key).orderBy(F.col("loo_mse").asc(), F.col("alpha_idx").asc())
     best = err.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(key, "alpha_idx")

@@ -36,7 +36,7 @@ def acf(series: DataFrame, value: str = "pickups", key: str = "cd_name", order=(
     are skipped."""
     s = lag_product_sums(series, value, key, order, max_lag).where(F.col("n") >= min_points)
     return (s.select(key, F.posexplode("s").alias("lag", "sk"), F.col("s")[0].alias("s0"))
-             .select(key, "lag", (F.col("sk") / F.col("s0")).alias("acf")))
+             .select(key, "lag", F.try_divide(F.col("sk"), F.col("s0")).alias("acf")))
 
 
 def _levinson(r: Column, max_lag: int) -> Column:
@@ -47,7 +47,7 @@ def _levinson(r: Column, max_lag: int) -> Column:
                                         lambda a, b: a + b)
         den = F.get(r, 0) - F.aggregate(F.transform(phi, lambda p, i: p * F.get(r, i + 1)), F.lit(0.0),
                                         lambda a, b: a + b)
-        a = num / den
+        a = F.try_divide(num, den)
         new_phi = F.concat(F.transform(phi, lambda p, i: p - a * F.get(phi, k - 2 - i)), F.array(a))
         return F.struct(new_phi.alias("phi"), F.concat(acc["pacf"], F.array(a)).alias("pacf"))
     init = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("pacf"))
@@ -59,7 +59,7 @@ def pacf_yw(series: DataFrame, value: str = "pickups", key: str = "cd_name", ord
     """(key, lag, pacf) by Yule-Walker with sample-size-adjusted autocovariances
     r_k = s_k / (n - k) (r_0 = s_0 / n), solved for every order by Levinson-Durbin."""
     s = lag_product_sums(series, value, key, order, max_lag).where(F.col("n") >= min_points)
-    r = F.transform("s", lambda sk, k: sk / (F.col("n") - k).cast("double"))
+    r = F.transform("s", lambda sk, k: F.try_divide(sk, (F.col("n") - k).cast("double")))
     out = s.select(key, _levinson(r, max_lag).alias("pacf"))
     return out.select(key, F.posexplode("pacf").alias("lag", "pacf"))
 

@@ -37,7 +37,7 @@ s AS (SELECT cd_name, COUNT(*) AS n, [""" + ", ".join(f"COALESCE(SUM(p{k}), 0)"
 
 
 @query("acf", _SER_SQL + """
-SELECT cd_name, CAST(k AS INTEGER) AS lag, """ + r("arr[k + 1] / arr[1]", "acf") + """
+SELECT cd_name, CAST(k AS INTEGER) AS lag, """ + r("arr[k + 1] / NULLIF(arr[1], 0)", "acf") + """
 FROM s, range(49) t(k) WHERE n >= 48""")
 def q_acf(spark, d):
     """Autocorrelation, lags 0..48, of the hourly pickup series of the top-10 districts."""
