@@ -18,8 +18,8 @@ def tail_align(series: dict[str, DataFrame], key: str = "district", ts: str = "p
     (the last rows of each are paired, the longer ones are cut to the shortest).
 
     ``series``: name -> DataFrame(key, ts, y_true, y_pred). Output: key, rpos (1 = last),
-    pos (0-based from the start of the aligned block), y_true (of ``truth_from``, default
-    the first series), y_<name> per series.
+    pos (0-based from the start of the aligned block), y_true and ts of ``truth_from``
+    (default the first series), y_<name> per series.
     """
     names = list(series)
     truth_from = truth_from or names[0]
@@ -28,7 +28,7 @@ def tail_align(series: dict[str, DataFrame], key: str = "district", ts: str = "p
     for n, df in series.items():
         cols = [key, F.row_number().over(w).alias("rpos"), F.col("y_pred").alias(f"y_{n}")]
         if n == truth_from:
-            cols.append("y_true")
+            cols += ["y_true", ts]
         s = df.select(*cols)
         out = s if out is None else out.join(s, [key, "rpos"], "inner")
     n_al = F.count(F.lit(1)).over(Window.partitionBy(key))

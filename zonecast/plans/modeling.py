@@ -141,7 +141,7 @@ def hybrid_run(rf: DataFrame, lgbm: DataFrame, conv: DataFrame, min_rows: int =
                  .withColumn("y_pred_blend", F.when(F.col("method") == "ElasticNet", F.col("pred_enet"))
                              .otherwise(F.col("pred_ridge"))))
     out_small = small.withColumn("y_pred_blend", FC.mean_blend(feats)).withColumn("method", F.lit("MeanBlend"))
-    cols = ["district", "pos", "y_true", "y_pred_blend", "y_rf", "y_lgbm", "y_conv", "method"]
+    cols = ["district", "pos", TS, "y_true", "y_pred_blend", "y_rf", "y_lgbm", "y_conv", "method"]
     preds = out_big.select(*cols).unionByName(out_small.select(*cols))
     summary = preds.groupBy("district", "method").agg(M.rmse("y_true", "y_pred_blend").alias("rmse_blend"))
     return (preds.withColumnRenamed("y_rf", "y_pred_rf").withColumnRenamed("y_lgbm", "y_pred_lgbm")
