@@ -156,7 +156,7 @@ def _estimator(kind: str, params: dict | None, label: str, validation_col: str |
 
 def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str = "rf", params: dict | None = None,
                       target: str = TARGET, key: str = KEY, names=None, pooled: bool = False,
-                      validation_col: str | None = None) -> DataFrame:
+                      validation_col: str | None = None, parallelism: int | None = 8) -> DataFrame:
     """Fit per district on ``train`` and predict ``score``; returns ``score`` with y_pred.
 
     ``names``: the districts to model (default: all keys of ``train``, collected - the
@@ -177,12 +177,30 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
         return model.transform(score).drop("features", "_key_idx")
     if names is None:
         names = [r[key] for r in train.select(key).distinct().collect()]
-    out = None
-    for name in names:
+
+    def fit_one(name):
         pipe = Pipeline(stages=[_assembler(features), _estimator(kind, params, label, validation_col)])
         model = pipe.fit(tr.where(F.col(key) == name))
-        pr = model.transform(score.where(F.col(key) == name)).drop("features")
-        out = pr if out is None else out.unionByName(pr)
+        return model.transform(score.where(F.col(key) == name)).drop("features")
+    return _union(_in_parallel(fit_one, names, parallelism))
+
+
+def _in_parallel(fn, names, parallelism: int | None):
+    """Run independent per-district fits concurrently (each one is a distributed Spark
+    job; the driver only submits them). ``names`` is bounded by the caller (top-k)."""
+    from concurrent.futures import ThreadPoolExecutor
+    names = list(names)
+    if not names:
+        return []
+    workers = max(1, min(len(names), parallelism or 8))
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        return list(ex.map(fn, names))
+
+
+def _union(parts):
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
     return out
 
 
@@ -193,8 +211,8 @@ def fit_predict_vector(train: DataFrame, score: DataFrame, kind: str = "ridge",
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     if names is None:
         names = [r[key] for r in train.select(key).distinct().collect()]
-    out = None
-    for name in names:
+
+    def fit_one(name):
         if kind == "ridge":
             est = LinearRegression(featuresCol="features", labelCol=label, predictionCol="y_pred",
                                    regParam=reg, elasticNetParam=0.0, solver="normal", standardization=True)
@@ -202,6 +220,5 @@ def fit_predict_vector(train: DataFrame, score: DataFrame, kind: str = "ridge",
             est = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="y_pred",
                                **{**dict(maxIter=100, maxDepth=4, stepSize=0.1, seed=42), **(params or {})})
         m = est.fit(train.where(F.col(key) == name))
-        pr = m.transform(score.where(F.col(key) == name))
-        out = pr if out is None else out.unionByName(pr)
-    return out
+        return m.transform(score.where(F.col(key) == name))
+    return _union(_in_parallel(fit_one, names, 8))
