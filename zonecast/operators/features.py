@@ -108,12 +108,29 @@ FEATURE_COLUMNS = [
 ]
 
 
+def series_window_exprs(value: str = TARGET, lags=DEFAULT_LAGS, windows=DEFAULT_WINDOWS, key: str = KEY,
+                        ts: str = TS, extra_keys=()) -> dict:
+    """All lag and rolling expressions over one (key, ts) ordering, so that Catalyst
+    evaluates them in a single Window operator after a single sort."""
+    base = series_window(key, ts, extra_keys)
+    out = {f"lag_{k}": F.lag(value, k).over(base) for k in lags}
+    for n in windows:
+        w = base.rowsBetween(-(n - 1), 0)
+        full = F.count(value).over(w) == n
+        out[f"rolling_mean_{n}h"] = F.when(full, F.avg(value).over(w))
+        out[f"rolling_std_{n}h"] = F.when(full, F.stddev_samp(value).over(w))
+    return out
+
+
 def build_features(hourly: DataFrame, drop_incomplete: bool = True) -> DataFrame:
-    """Hourly counts -> the 20-column feature table (NULL rows dropped by default)."""
-    df = add_calendar(hourly)
+    """Hourly counts -> the 20-column feature table (NULL rows dropped by default).
+
+    Plan: one hash exchange on cd_name; one sort by (cd_name, time) feeds a single
+    Window operator for all lags and rolling frames; the (cd_name, hour) mean follows
+    on the same partitioning (a second sort, no second exchange). Putting the mean
+    first would make Spark partition by (cd_name, hour) and shuffle again."""
+    df = add_calendar(hourly).withColumns(series_window_exprs())
     df = group_mean_transform(df)
-    df = add_lags(df)
-    df = add_rolling_full(df)
     df = df.select(*FEATURE_COLUMNS)
     return df.dropna() if drop_incomplete else df
 
