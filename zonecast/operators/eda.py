@@ -214,3 +214,17 @@ def corr_matrix(points: DataFrame, names, key: str = "cd_name") -> DataFrame:
     wide = (points.where(F.col(key).isin(names)).groupBy(*parts).pivot(key, names)
                   .agg(F.count(F.lit(1))).fillna(0))
     return corr_pairs(wide, names + parts)
+
+
+def sink_eda_tables(points: DataFrame, names, out: str, key: str = "cd_name") -> list[str]:
+    """Write the hour / weekday / day / month x district tables and the correlation pairs
+    of the given (top) districts under ``out`` (one parquet table each)."""
+    written = []
+    for part in ("Hour", "Weekday", "Day", "Month"):
+        path = f"{out}/{part.lower()}_table"
+        pivot_part_by_district(points, part, names, key).write.mode("overwrite").parquet(path)
+        written.append(path)
+    path = f"{out}/correlation_table"
+    corr_matrix(points, names, key).write.mode("overwrite").parquet(path)
+    written.append(path)
+    return written
