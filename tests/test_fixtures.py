@@ -237,3 +237,37 @@ def test_pseudo_timestamp_feb29(spark):
     df = spark.createDataFrame([(2, 29, 5), (3, 1, 0)], "m int, d int, h int")
     r = df.select(S.pseudo_timestamp("m", "d", "h").alias("t")).collect()
     assert r[0]["t"] is None and r[1]["t"] == dt.datetime(1900, 3, 1, 0, 0)
+
+
+def test_cell_index_equals_full_test_random_polygons(spark):
+    """Star-shaped polygons with many vertices, a hole and an overlap; random points plus
+    points on vertices, edges and cell borders: the cell-index join and the all-vertex
+    join return the same pairs."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+
+    def star(cx, cy, r, n):
+        ang = np.sort(rng.uniform(0, 2 * np.pi, n))
+        rad = r * rng.uniform(0.5, 1.0, n)
+        pts = [{"x": float(cx + a * np.cos(t)), "y": float(cy + a * np.sin(t))} for t, a in zip(ang, rad)]
+        return pts + [pts[0]]
+    hole = [{"x": 0.01, "y": 0.01}, {"x": 0.01, "y": 0.03}, {"x": 0.03, "y": 0.03}, {"x": 0.03, "y": 0.01},
+            {"x": 0.01, "y": 0.01}]
+    polys = spark.createDataFrame([
+        ("P", 0, [star(0.02, 0.02, 0.1, 200), hole]),
+        ("Q", 0, [star(0.09, 0.05, 0.06, 120)]),
+        ("Q", 1, [star(-0.1, -0.1, 0.03, 50)]),
+    ], f"cd_name string, part_id int, rings {RINGS.simpleString()}")
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-0.15, 0.16, size=(3000, 2)))]
+    verts = [r for r in polys.select(F.explode(F.flatten("rings")).alias("p")).collect()]
+    k = len(pts)
+    for j, v in enumerate(verts[:100]):
+        pts.append((k + j, v["p"]["x"], v["p"]["y"]))                       # on a vertex
+    for j in range(200):
+        pts.append((k + 100 + j, round(float(rng.uniform(-0.15, 0.15)), 2), float(rng.uniform(-0.15, 0.15))))
+    df = spark.createDataFrame(pts, "id int, Lon double, Lat double")
+    for cs in (0.01, 0.037):
+        a = sorted((r["id"], r["cd_name"]) for r in sp.spatial_within_join(df, polys, cell_size=cs).collect())
+        b = sorted((r["id"], r["cd_name"]) for r in
+                   sp.spatial_within_join(df, polys, cell_size=cs, method="bbox").collect())
+        assert a == b and len(a) > 500

@@ -105,3 +105,32 @@ def ring_area_moments(ring) -> Column:
     init = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("ax"), F.lit(0.0).alias("ay"),
                     x0.alias("x0"), y0.alias("y0"))
     return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), init, step)
+
+
+# -- flat edge lists (cell index) ------------------------------------------------------
+
+def edges_crossings(edges, px, py) -> Column:
+    """Crossings of the ray from (px, py) towards +x with a list of STRUCT(ax, ay, bx, by)
+    edges (same half-open rule as :func:`ring_crossings`)."""
+    edges, px, py = _c(edges), _c(px), _c(py)
+
+    def step(acc, e):
+        straddles = (e["ay"] > py) != (e["by"] > py)
+        x_at = F.try_divide((e["bx"] - e["ax"]) * (py - e["ay"]), e["by"] - e["ay"]) + e["ax"]
+        return acc + F.when(straddles & (px < x_at), F.lit(1)).otherwise(F.lit(0))
+    return F.aggregate(edges, F.lit(0), step)
+
+
+def edges_touch(edges, px, py) -> Column:
+    edges, px, py = _c(edges), _c(px), _c(py)
+
+    def on_edge(e):
+        cross = (e["bx"] - e["ax"]) * (py - e["ay"]) - (e["by"] - e["ay"]) * (px - e["ax"])
+        return ((cross == 0)
+                & px.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
+                & py.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"])))
+    return F.exists(edges, on_edge)
+
+
+def point_within_edges(edges, px, py) -> Column:
+    return ((edges_crossings(edges, px, py) % 2) == 1) & ~edges_touch(edges, px, py)

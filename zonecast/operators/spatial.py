@@ -2,13 +2,17 @@
 
 Point-in-polygon join plan
 --------------------------
-Points are never compared with every polygon. Each polygon part is expanded into the
-integer grid cells (``cell_size`` degrees) that cover its bounding box; each point gets the
-one cell it falls in; the two sides are equi-joined on the cell key and only then the
-exact predicate (crossing parity + boundary exclusion) is evaluated. With the polygon
-side broadcast (its row count is checked first) the points are read once, never
-shuffled, and the join is a ``BroadcastHashJoin``; above the limit the same plan runs as
-a shuffled hash / sort-merge join on the cell key, where AQE splits skewed cells.
+Points are never compared with every polygon. The polygon layer (small) is turned into
+a cell index (``cell_size`` degrees): for each polygon part, the cells that can hold an
+inside point, flagged ``interior`` when the whole cell is inside (no test at all) and
+otherwise carrying only the edges of the cell's row band that a ray towards +x can meet.
+Each point gets the one cell it falls in (``floor``), the two sides are equi-joined on
+the cell key, and only boundary-cell candidates run the exact predicate (crossing
+parity + boundary exclusion) over their few edges. With the index broadcast (its row
+count is checked first) the points are read once, never shuffled, and the join is a
+``BroadcastHashJoin``; above the limit the same plan runs as a shuffled join on the cell
+key, where AQE splits skewed cells. Per point the cost no longer grows with the number of
+polygon vertices, which is what dominates with real district outlines at scale.
 """
 
 from __future__ import annotations
@@ -38,6 +42,47 @@ def polygon_cells(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE,
             .drop("_x0", "_x1", "_y0", "_y1"))
 
 
+def polygon_cell_index(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE,
+                       name_col: str = "cd_name") -> DataFrame:
+    """Cell index of a polygon layer: one row per (polygon part, cell) that can hold an
+    inside point, with ``interior`` (every point of the cell is strictly inside: no test
+    needed) or, for boundary cells, ``edges``: the part's edges (all rings) whose y-range
+    meets the cell's row and which reach the cell's column or further right - exactly the
+    edges a ray from a point of the cell towards +x can cross or touch.
+
+    Built on the polygon side only (small): every edge is assigned to the cells of its
+    rows from the part's leftmost column to its own rightmost column; a cell is a
+    boundary cell when some edge's bounding box covers it; a cell without any covering
+    edge is uniform and classified once by its centre. Cells without edges are outside.
+    """
+    cs = F.lit(float(cell_size))
+    rings = polygons.select(name_col, "part_id", F.explode("rings").alias("ring"))
+    edges = rings.select(name_col, "part_id", F.explode(F.arrays_zip(
+        F.slice("ring", 1, F.size("ring") - 1).alias("a"), F.slice("ring", 2, F.size("ring") - 1).alias("b")))
+        .alias("e")).select(name_col, "part_id", F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"),
+                            F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
+    left = polygons.select(name_col, "part_id", F.floor(geo.ring_bounds("rings")["minx"] / cs).alias("_c0"))
+    e = edges.join(left, [name_col, "part_id"])
+    ec = e.select(name_col, "part_id", "ax", "ay", "bx", "by",
+                  F.floor(F.least("ax", "bx") / cs).alias("_ex0"),
+                  F.explode(F.sequence(F.floor(F.least("ay", "by") / cs), F.floor(F.greatest("ay", "by") / cs)))
+                  .alias("_cy"),
+                  F.sequence(F.col("_c0"), F.floor(F.greatest("ax", "bx") / cs)).alias("_cols"))
+    ec = ec.select("*", F.explode("_cols").alias("_cx")).drop("_cols")
+    edge = F.struct("ax", "ay", "bx", "by")
+    cells = ec.groupBy(name_col, "part_id", "_cx", "_cy").agg(
+        F.collect_list(edge).alias("edges"),
+        F.max((F.col("_cx") >= F.col("_ex0")).cast("int")).alias("_boundary"))
+    cx = (F.col("_cx").cast("double") + F.lit(0.5)) * cs
+    cy = (F.col("_cy").cast("double") + F.lit(0.5)) * cs
+    centre_in = (geo.edges_crossings("edges", cx, cy) % 2) == 1
+    interior = (F.col("_boundary") == 0) & centre_in
+    out = cells.where((F.col("_boundary") == 1) | centre_in)
+    return out.select(name_col, "part_id", "_cx", "_cy", interior.alias("interior"),
+                      F.when(interior, F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double>>"))
+                       .otherwise(F.col("edges")).alias("edges"))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only if its counted size is within ``max_rows``."""
     n = df.count()
@@ -46,12 +91,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon", lat: str = "Lat",
                         name_col: str = "cd_name", cell_size: float = DEFAULT_CELL_SIZE,
-                        broadcast_max_cells: int = BROADCAST_MAX_CELLS) -> DataFrame:
+                        broadcast_max_cells: int = BROADCAST_MAX_CELLS, method: str = "index") -> DataFrame:
     """Points strictly within polygons (inner join; one row per point and hit polygon).
 
     ``polygons``: name, part_id, rings (see :mod:`zonecast.functions.geo`). A point on a
     boundary is in no polygon; a point in the overlap of two districts yields two rows.
+    method="index" (default) joins with :func:`polygon_cell_index`: interior cells need
+    no test and boundary cells test only their row band's edges. method="bbox" tests
+    every ring vertex of each candidate polygon (simple reference form).
     """
+    if method == "index":
+        idx = polygon_cell_index(polygons, cell_size, name_col)
+        right, _ = bounded_broadcast(idx, broadcast_max_cells)
+        cs = F.lit(float(cell_size))
+        pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
+                     .withColumn("_cy", F.floor(F.col(lat) / cs)))
+        hit = F.col("interior") | geo.point_within_edges("edges", F.col(lon), F.col(lat))
+        return (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
+                   .drop("_cx", "_cy", "edges", "interior", "part_id"))
     cells = polygon_cells(polygons, cell_size, name_col)
     right, _ = bounded_broadcast(cells, broadcast_max_cells)
     cs = F.lit(float(cell_size))
