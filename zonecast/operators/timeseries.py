@@ -35,7 +35,7 @@ def acf(series: DataFrame, value: str = "pickups", key: str = "cd_name", order=(
     """(key, lag, acf): biased estimator s_k / s_0. Series shorter than ``min_points``
     are skipped."""
     s = lag_product_sums(series, value, key, order, max_lag).where(F.col("n") >= min_points)
-    return (s.select(key, F.posexplode("s").alias("lag", "sk"), F.col("s")[0].alias("s0"))
+    return (s.select(key, F.posexplode_outer("s").alias("lag", "sk"), F.col("s")[0].alias("s0"))
              .select(key, "lag", F.try_divide(F.col("sk"), F.col("s0")).alias("acf")))
 
 
@@ -60,8 +60,11 @@ def pacf_yw(series: DataFrame, value: str = "pickups", key: str = "cd_name", ord
     r_k = s_k / (n - k) (r_0 = s_0 / n), solved for every order by Levinson-Durbin."""
     s = lag_product_sums(series, value, key, order, max_lag).where(F.col("n") >= min_points)
     r = F.transform("s", lambda sk, k: F.try_divide(sk, (F.col("n") - k).cast("double")))
-    out = s.select(key, _levinson(r, max_lag).alias("pacf"))
-    return out.select(key, F.posexplode("pacf").alias("lag", "pacf"))
+    # bind r to a column: the recursion refers to it O(max_lag^2) times per row
+    out = s.select(key, r.alias("_r")).select(key, _levinson(F.col("_r"), max_lag).alias("pacf"))
+    # posexplode_outer: a plain posexplode makes Catalyst infer a size(pacf) > 0 filter and
+    # push it below this projection, evaluating the whole recursion twice
+    return out.select(key, F.posexplode_outer("pacf").alias("lag", "pacf"))
 
 
 def acf_conf(series: DataFrame, key: str = "cd_name") -> DataFrame:
