@@ -191,17 +191,29 @@ def guarded_corr(a: Column, b: Column) -> Column:
 
 
 def corr_pairs(wide: DataFrame, cols) -> DataFrame:
-    """Long form (var_a, var_b, corr) of the correlation matrix over ``cols`` in one
-    aggregation pass."""
+    """Long form (var_a, var_b, corr) of the Pearson matrix over ``cols``.
+
+    One aggregation of sufficient sums (n, sum x_i, sum x_i x_j for i <= j: p(p+3)/2 + 1
+    aggregates instead of three per pair), then
+    corr = (n s_ij - s_i s_j) / sqrt((n s_ii - s_i^2)(n s_jj - s_j^2)), NULL for a constant
+    column. For integer-valued columns (counts, calendar parts) the sums are exact."""
     cols = list(cols)
-    exprs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            ca, cb = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-            exprs.append(guarded_corr(ca, cb).alias(f"c{i}_{j}"))
-    one = wide.agg(*exprs)
-    st = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
-                                      F.col(f"c{i}_{j}").alias("corr"))
+    p = len(cols)
+    x = [F.col(f"`{c}`").cast("double") for c in cols]
+    aggs = [F.count(F.lit(1)).cast("double").alias("n")] + [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
+    aggs += [F.sum(x[i] * x[j]).alias(f"q{i}_{j}") for i in range(p) for j in range(i, p)]
+    one = wide.agg(*aggs)
+    n = F.col("n")
+
+    def q(i, j):
+        return F.col(f"q{min(i, j)}_{max(i, j)}")
+
+    def corr(i, j):
+        cov = n * q(i, j) - F.col(f"s{i}") * F.col(f"s{j}")
+        vi = n * q(i, i) - F.col(f"s{i}") * F.col(f"s{i}")
+        vj = n * q(j, j) - F.col(f"s{j}") * F.col(f"s{j}")
+        return F.try_divide(cov, F.nullif(F.sqrt(vi * vj), F.lit(0.0)))
+    st = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), corr(i, j).alias("corr"))
                              for i, a in enumerate(cols) for j, b in enumerate(cols)]))
     return one.select(st.alias("s")).select("s.*")
 

@@ -101,7 +101,8 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
     every ring vertex of each candidate polygon (simple reference form).
     """
     if method == "index":
-        idx = polygon_cell_index(polygons, cell_size, name_col)
+        # the index is a small table used twice (size check, join): keep it in memory
+        idx = polygon_cell_index(polygons, cell_size, name_col).persist()
         right, _ = bounded_broadcast(idx, broadcast_max_cells)
         cs = F.lit(float(cell_size))
         pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))

@@ -124,7 +124,9 @@ def hybrid_run(rf: DataFrame, lgbm: DataFrame, conv: DataFrame, min_rows: int =
     wins (elastic net only when strictly lower). Returns (hybrid predictions, summary)."""
     al = FC.tail_align({"rf": rf, "lgbm": lgbm, "conv": conv})
     n = F.count(F.lit(1)).over(Window.partitionBy("district"))
-    al = al.withColumn("n_al", n)
+    # the aligned table feeds five branches (two CV fits, LOO join, hold-out scoring,
+    # small-district blend): write it once instead of recomputing the inputs per branch
+    al = materialize(al.withColumn("n_al", n), "hybrid_aligned")
     small = al.where(F.col("n_al") < min_rows)
     big = spl.holdout_split(al.where(F.col("n_al") >= min_rows))
     feats = ["y_rf", "y_lgbm", "y_conv"]
