@@ -220,8 +220,10 @@ def test_edge_points_spatial_join(spark):
         (6, 3.5, 3.5),   # overlap of A and B
         (7, 5.0, 5.0),   # inside B
     ], "id int, Lon double, Lat double")
-    got = sorted((r["id"], r["cd_name"]) for r in sp.spatial_within_join(points, polys, cell_size=1.0).collect())
-    assert got == [(1, "A"), (3, "B"), (6, "A"), (6, "B"), (7, "B")]
+    for method in ("index", "bbox"):
+        got = sorted((r["id"], r["cd_name"]) for r in
+                     sp.spatial_within_join(points, polys, cell_size=1.0, method=method).collect())
+        assert got == [(1, "A"), (3, "B"), (6, "A"), (6, "B"), (7, "B")]
 
 
 def test_grid_polygons_and_centroids(spark):
@@ -267,7 +269,8 @@ def test_cell_index_equals_full_test_random_polygons(spark):
         pts.append((k + 100 + j, round(float(rng.uniform(-0.15, 0.15)), 2), float(rng.uniform(-0.15, 0.15))))
     df = spark.createDataFrame(pts, "id int, Lon double, Lat double")
     for cs in (0.01, 0.037):
-        a = sorted((r["id"], r["cd_name"]) for r in sp.spatial_within_join(df, polys, cell_size=cs).collect())
+        a = sorted((r["id"], r["cd_name"]) for r in
+                   sp.spatial_within_join(df, polys, cell_size=cs, method="index").collect())
         b = sorted((r["id"], r["cd_name"]) for r in
                    sp.spatial_within_join(df, polys, cell_size=cs, method="bbox").collect())
         assert a == b and len(a) > 500

@@ -26,6 +26,8 @@ DEFAULT_CELL_SIZE = 0.01
 # Rows of the polygon-cell table above which it is not broadcast (about 100 bytes per
 # vertex-free row plus the ring arrays; the check keeps it far below executor memory).
 BROADCAST_MAX_CELLS = 2_000_000
+# Polygon parts with at most this many vertices are tested whole (no cell index).
+SIMPLE_MAX_VERTICES = 64
 
 
 def polygon_cells(polygons: DataFrame, cell_size: float = DEFAULT_CELL_SIZE,
@@ -91,15 +93,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon", lat: str = "Lat",
                         name_col: str = "cd_name", cell_size: float = DEFAULT_CELL_SIZE,
-                        broadcast_max_cells: int = BROADCAST_MAX_CELLS, method: str = "index") -> DataFrame:
+                        broadcast_max_cells: int = BROADCAST_MAX_CELLS, method: str = "auto") -> DataFrame:
     """Points strictly within polygons (inner join; one row per point and hit polygon).
 
     ``polygons``: name, part_id, rings (see :mod:`zonecast.functions.geo`). A point on a
     boundary is in no polygon; a point in the overlap of two districts yields two rows.
-    method="index" (default) joins with :func:`polygon_cell_index`: interior cells need
-    no test and boundary cells test only their row band's edges. method="bbox" tests
-    every ring vertex of each candidate polygon (simple reference form).
+    method="index" joins with :func:`polygon_cell_index`: interior cells need no test and
+    boundary cells test only their row band's edges. method="bbox" tests every ring
+    vertex of each candidate polygon. method="auto" (default) looks at the largest
+    polygon part (one aggregate over the small polygon table): up to
+    ``SIMPLE_MAX_VERTICES`` vertices the per-point cost of both is the same and the bbox
+    form needs no index build; beyond it the index is used.
     """
+    if method == "auto":
+        nv = polygons.agg(F.max(F.size(F.flatten("rings")))).first()[0] or 0
+        method = "bbox" if nv <= SIMPLE_MAX_VERTICES else "index"
     if method == "index":
         # the index is a small table used twice (size check, join): keep it in memory
         idx = polygon_cell_index(polygons, cell_size, name_col).persist()
