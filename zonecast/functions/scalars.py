@@ -83,8 +83,8 @@ def parse_timestamp(s, formats=("M/d/yyyy H:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy
 
 def timedelta_days(start, end) -> Column:
     """Whole days of ``end - start`` rounded towards minus infinity (``timedelta.days``)."""
-    secs = F.unix_micros(col_(end).cast("timestamp")) - F.unix_micros(col_(start).cast("timestamp"))
-    return F.floor(secs / F.lit(86400 * 1_000_000)).cast("bigint")
+    us = F.timestamp_diff("MICROSECOND", col_(start), col_(end))     # zone-free on NTZ
+    return F.floor(us / F.lit(86400 * 1_000_000)).cast("bigint")
 
 
 # -- names ------------------------------------------------------------------

@@ -15,10 +15,22 @@ from pyspark.sql import functions as F
 
 def hourly_counts_stream(points: DataFrame, key: str = "cd_name", ts: str = "pickup_datetime",
                          watermark: str = "2 hours") -> DataFrame:
-    """Streaming (or batch) DataFrame of points -> windowed hourly counts."""
+    """Streaming (or batch) DataFrame of points -> windowed hourly counts.
+
+    Watermarks need a TIMESTAMP event time, so the naive time is cast in the session
+    zone; the hour windows are shifted by the zone's sub-hour offset (e.g. 30 minutes
+    for +05:30) so that they stay aligned with the naive local hours."""
+    import datetime as _dt
+    from zoneinfo import ZoneInfo
+    tz = points.sparkSession.conf.get("spark.sql.session.timeZone")
+    try:
+        off = ZoneInfo(tz).utcoffset(_dt.datetime(2024, 1, 1))
+        shift = int(off.total_seconds() // 60) % 60
+    except Exception:  # unknown zone id: no shift
+        shift = 0
     t = F.col(ts).cast("timestamp")
     w = (points.withColumn("_t", t).withWatermark("_t", watermark)
-               .groupBy(F.col(key), F.window("_t", "1 hour"))
+               .groupBy(F.col(key), F.window("_t", "1 hour", startTime=f"{shift} minutes"))
                .agg(F.count(F.lit(1)).alias("pickups")))
     return w.select(key, F.col("window.start").cast("timestamp_ntz").alias(ts), "pickups")
 
