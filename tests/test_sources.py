@@ -74,3 +74,37 @@ def test_sink_eda_tables(spark, tmp_path):
     h = spark.read.parquet(paths[0])
     assert set(h.columns) == {"Hour", *names}
     assert spark.read.parquet(paths[-1]).count() == (3 + 4) ** 2
+
+
+def test_scan_many_union_skips_bad_files(spark, tmp_path):
+    import pytest
+    from zonecast.sources.files import scan_many_union
+    good = tmp_path / "a.csv"
+    good.write_text("Date/Time,Lat,Lon,Base\n4/1/2014 0:11:00,40.769,-73.9549,B\n")
+    alias = tmp_path / "b.csv"
+    alias.write_text("tpep_pickup_datetime,pickup_latitude,pickup_longitude\n2014-04-01 00:12:00,40.7,-73.9\n")
+    nolatlon = tmp_path / "c.csv"
+    nolatlon.write_text("Date/Time,x,y\n4/1/2014 0:11:00,1,2\n")
+    missing = str(tmp_path / "does_not_exist.csv")
+    df = scan_many_union(spark, [str(good), str(alias), str(nolatlon), missing])
+    rows = sorted((str(r["pickup_datetime"]), r["Lat"]) for r in df.collect())
+    assert rows == [("2014-04-01 00:11:00", 40.769), ("2014-04-01 00:12:00", 40.7)]
+    with pytest.raises(ValueError):
+        scan_many_union(spark, [str(nolatlon), missing])
+
+
+def test_alias_resolution(spark):
+    import pytest
+    from zonecast.operators.clean import require_columns, require_latlon, resolve_aliases, resolve_time_alias
+    df = spark.createDataFrame([("2024-01-01 00:00:00", 1.0, 2.0)], "`Pickup Time` string, LATITUDE double, lng double")
+    r = resolve_aliases(df)
+    assert r.columns == ["pickup_datetime", "Lat", "Lon"]
+    assert require_latlon(r).columns == ["pickup_datetime", "Lat", "Lon", "pickups"]
+    bad = spark.createDataFrame([(1.0, 2.0)], "lat double, latitude double")
+    with pytest.raises(ValueError):
+        resolve_aliases(bad)
+    with pytest.raises(KeyError):
+        resolve_time_alias(bad)
+    with pytest.raises(KeyError):
+        require_columns(bad, ["lat", "lon"])
+    assert require_latlon(spark.createDataFrame([(1,)], "a int")) is None

@@ -116,3 +116,38 @@ def q_stream_hourly_count(spark, d):
          .option("path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+@query("clean_job_per_file", "WITH " + si.PICKUPS_SQL + """,
+raw AS (SELECT DISTINCT date_trunc('second', pickup_datetime) AS pickup_datetime, Lat AS lat, Lon AS lon, Base AS base,
+               Base || '.csv' AS f FROM pickups),
+q AS (SELECT f, quantile_cont(lat, 0.25) AS la1, quantile_cont(lat, 0.75) AS la3,
+             quantile_cont(lon, 0.25) AS lo1, quantile_cont(lon, 0.75) AS lo3 FROM raw GROUP BY f)
+SELECT pickup_datetime, lat, lon, base, f AS source_file FROM raw JOIN q USING (f)
+WHERE lat BETWEEN la1 - 1.5 * (la3 - la1) AND la3 + 1.5 * (la3 - la1)
+  AND lon BETWEEN lo1 - 1.5 * (lo3 - lo1) AND lo3 + 1.5 * (lo3 - lo1)
+  AND lat BETWEEN 40.5 AND 41.0 AND lon BETWEEN -74.3 AND -73.7""")
+def q_clean_job_per_file(spark, d):
+    """The cleaning job over a folder of raw files (one per base / event type), with the
+    IQR bounds computed per file from ``_metadata.file_name`` as the reference cleans
+    each file separately."""
+    base = scratch_path(spark, "raw_files")
+    raw = si.raw_pickups(spark, d)
+    raw.repartition("Base").write.partitionBy("Base").option("header", True).csv(base)
+    df = (spark.read.schema(T.StructType(RAW_SCHEMA.fields[:3])).option("header", True)
+          .option("recursiveFileLookup", False).csv(base)
+          .withColumn("Base", F.regexp_extract(F.col("_metadata.file_path"), "Base=([^/]+)", 1))
+          .withColumn("source_file", F.concat(F.col("Base"), F.lit(".csv"))))
+    from ..operators.clean import clean_pickups
+    out = clean_pickups(df.withColumnRenamed("Date/Time", "pickup_datetime"), group_by=("source_file",))
+    return out.select("pickup_datetime", "lat", "lon", "base", "source_file")
+
+
+@query("union_all", "SELECT event_id, event_type, value FROM events")
+def q_union_all(spark, d):
+    """Row concatenation by name of two parts of a table (columns in different order)."""
+    ev = si.table(spark, d, "events")
+    a = ev.where(F.col("event_type").isin("view", "click")).select("event_id", "event_type", "value")
+    b = ev.where(~F.col("event_type").isin("view", "click") | F.col("event_type").isNull()) \
+          .select("value", "event_type", "event_id")
+    return a.unionByName(b)
