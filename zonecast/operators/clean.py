@@ -7,7 +7,7 @@ required columns) only looks at ``df.columns`` on the driver: metadata, no data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,9 +233,16 @@ def filter_key(df: DataFrame, value, key: str = "cd_name") -> DataFrame:
 
 
 def all_duplicates(df: DataFrame, keys) -> DataFrame:
-    """Every member of a group of rows sharing ``keys`` (pandas ``keep=False``)."""
-    w = Window.partitionBy(*keys)
-    return df.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") > 1).drop("_n")
+    """Every member of a group of rows sharing ``keys`` (pandas ``keep=False``).
+
+    Group sizes come from a partially aggregated count (a hot key costs one partial row
+    per task), and the rows are kept by a semi-join on the repeated keys, never by a
+    window that would put a whole hot group into one task; AQE splits a skewed semi-join
+    partition. Keys containing NULL match like equal values (pandas semantics)."""
+    keys = list(keys)
+    rep = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    cond = [df[k].eqNullSafe(rep[k]) for k in keys]
+    return df.join(rep, cond, "left_semi")
 
 
 def clean_pickups(df: DataFrame, group_by=(), factor: float = IQR_FACTOR) -> DataFrame:

@@ -159,9 +159,9 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
                       validation_col: str | None = None, parallelism: int | None = 8) -> DataFrame:
     """Fit per district on ``train`` and predict ``score``; returns ``score`` with y_pred.
 
-    ``names``: the districts to model (default: all keys of ``train``, collected - the
-    caller bounds them, e.g. to the top 10). ``pooled``: one model for all districts with
-    the district index as an extra feature.
+    ``names``: the districts to model, bounded by the caller (the top 10); each name is
+    one concurrent distributed fit. ``pooled``: one model for all districts with the
+    district index as an extra feature (for any number of districts).
     """
     from pyspark.ml import Pipeline
     label = "_label"
@@ -176,7 +176,7 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
         model = pipe.fit(tr)
         return model.transform(score).drop("features", "_key_idx")
     if names is None:
-        names = [r[key] for r in train.select(key).distinct().collect()]
+        raise ValueError("pass the district names to model (bounded, e.g. the top k) or pooled=True")
 
     def fit_one(name):
         pipe = Pipeline(stages=[_assembler(features), _estimator(kind, params, label, validation_col)])
@@ -210,7 +210,7 @@ def fit_predict_vector(train: DataFrame, score: DataFrame, kind: str = "ridge",
     one fit per district. kind: ridge (``LinearRegression`` normal equations, L2) | gbm."""
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     if names is None:
-        names = [r[key] for r in train.select(key).distinct().collect()]
+        raise ValueError("pass the district names to model (bounded, e.g. the top k)")
 
     def fit_one(name):
         if kind == "ridge":
