@@ -109,9 +109,14 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
         nv = polygons.agg(F.max(F.size(F.flatten("rings")))).first()[0] or 0
         method = "bbox" if nv <= SIMPLE_MAX_VERTICES else "index"
     if method == "index":
-        # the index is a small table used twice (size check, join): keep it in memory
-        idx = polygon_cell_index(polygons, cell_size, name_col).persist()
-        right, _ = bounded_broadcast(idx, broadcast_max_cells)
+        idx = polygon_cell_index(polygons, cell_size, name_col)
+        # size check on the polygon table itself: the index has at most one row per
+        # bounding-box cell of each part, so that count bounds it without building it twice
+        b = geo.ring_bounds("rings")
+        csl = F.lit(float(cell_size))
+        n_cells = polygons.agg(F.sum((F.floor(b["maxx"] / csl) - F.floor(b["minx"] / csl) + 1)
+                                     * (F.floor(b["maxy"] / csl) - F.floor(b["miny"] / csl) + 1))).first()[0] or 0
+        right = F.broadcast(idx) if n_cells <= broadcast_max_cells else idx
         cs = F.lit(float(cell_size))
         pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
                      .withColumn("_cy", F.floor(F.col(lat) / cs)))
