@@ -105,14 +105,19 @@ def dedup_subset(df: DataFrame, subset) -> DataFrame:
     return df.dropDuplicates(list(subset))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=()) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=(), method: str = "select") -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default) per group, exact.
 
-    Values are first collapsed to (value, count) pairs by a shuffled aggregation, then
-    ``percentile(value, qs, count)`` runs over the distinct values only. The final state
-    per group is one entry per distinct value, so its size is bounded by the precision
-    of the column (e.g. 6-decimal coordinates in a city box), not by the row count.
+    method="select" (default): distributed selection (:mod:`zonecast.operators.quantiles`),
+    no task holds more than a bounded band of values whatever the data.
+    method="counts": values collapsed to (value, count) pairs by a shuffled aggregation,
+    then ``percentile(value, qs, count)`` over the distinct values; one pass fewer, but
+    the final state per group is one entry per distinct value (fine for columns of fixed
+    precision, e.g. 6-decimal coordinates in a city box).
     """
+    if method == "select":
+        from .quantiles import exact_quantiles_select
+        return exact_quantiles_select(df, col, qs, group_by)
     g = list(group_by)
     pairs = df.where(F.col(col).isNotNull() & ~F.isnan(col)).groupBy(*g, col).agg(F.count(F.lit(1)).alias("_n"))
     arr = F.array(*[F.lit(float(q)) for q in qs])
