@@ -126,16 +126,21 @@ def exact_quantiles(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=(), metho
 
 
 def iqr_bounds(df: DataFrame, cols=("lat", "lon"), factor: float = IQR_FACTOR, group_by=()) -> DataFrame:
-    """One row per group: ``<c>_lo``/``<c>_hi`` = Q1 - f*IQR / Q3 + f*IQR for each column."""
+    """One row per group: ``<c>_lo``/``<c>_hi`` = Q1 - f*IQR / Q3 + f*IQR for each column.
+    All columns are handled in one quantile run: the values are stacked as
+    (column name, value) rows and the column name becomes part of the group key."""
     g = list(group_by)
-    out = None
+    cols = list(cols)
+    stacked = df.select(*g, F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val"))
+                                                 for c in cols])).alias("_s")).select(*g, "_s._col", "_s._val")
+    q = exact_quantiles(stacked, "_val", (0.25, 0.75), g + ["_col"])
+    iqr = F.col("q75") - F.col("q25")
+    q = q.select(*g, "_col", (F.col("q25") - F.lit(factor) * iqr).alias("lo"), (F.col("q75") + F.lit(factor) * iqr).alias("hi"))
+    aggs = []
     for c in cols:
-        q = exact_quantiles(df, c, (0.25, 0.75), g)
-        iqr = F.col("q75") - F.col("q25")
-        q = q.select(*g, (F.col("q25") - F.lit(factor) * iqr).alias(f"{c}_lo"),
-                     (F.col("q75") + F.lit(factor) * iqr).alias(f"{c}_hi"))
-        out = q if out is None else out.join(q, g)
-    return out
+        aggs += [F.first(F.when(F.col("_col") == c, F.col("lo")), ignorenulls=True).alias(f"{c}_lo"),
+                 F.first(F.when(F.col("_col") == c, F.col("hi")), ignorenulls=True).alias(f"{c}_hi")]
+    return q.groupBy(*g).agg(*aggs)
 
 
 def _bound_cols(df: DataFrame, cols, factor, group_by):
@@ -144,9 +149,9 @@ def _bound_cols(df: DataFrame, cols, factor, group_by):
     keys (one row per group, e.g. per input file)."""
     g = list(group_by)
     if not g:
+        b = iqr_bounds(df, cols, factor)
         bounds = {}
         for c in cols:
-            b = iqr_bounds(df, (c,), factor)
             bounds[f"{c}_lo"] = b.select(f"{c}_lo").scalar()
             bounds[f"{c}_hi"] = b.select(f"{c}_hi").scalar()
         return df, bounds

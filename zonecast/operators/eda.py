@@ -99,20 +99,18 @@ def duplicate_count(df: DataFrame, keys) -> DataFrame:
 
 
 def describe(df: DataFrame, cols) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per numeric column (long form)."""
-    parts = []
-    for c in cols:
-        base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        q = exact_quantiles(df, c, (0.25, 0.5, 0.75))
-        parts.append(base.select(F.lit(c).alias("column_name"), "count", "mean", "std", "min",
-                                 q.select("q25").scalar().alias("q25"),
-                                 q.select("q50").scalar().alias("q50"),
-                                 q.select("q75").scalar().alias("q75"), "max"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """count, mean, sample std, min, exact quartiles, max per numeric column (long form).
+    Moments come from one aggregation per column; the quartiles of all columns from one
+    quantile run over (column, value) rows."""
+    cols = list(cols)
+    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v"))
+                                             for c in cols])).alias("_s")).select("_s.column_name", "_s._v")
+    q = exact_quantiles(stacked, "_v", (0.25, 0.5, 0.75), ["column_name"])
+    mom = stacked.groupBy("column_name").agg(F.count("_v").alias("count"), F.avg("_v").alias("mean"),
+                                             F.stddev_samp("_v").alias("std"), F.min("_v").alias("min"),
+                                             F.max("_v").alias("max"))
+    return mom.join(q, "column_name", "left").select("column_name", "count", "mean", "std", "min", "q25", "q50",
+                                                    "q75", "max")
 
 
 def hotspots(df: DataFrame, lat: str = "Lat", lon: str = "Lon", decimals: int = 3, k: int = 10) -> DataFrame:

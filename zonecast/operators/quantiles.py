@@ -24,26 +24,56 @@ MAX_BAND = 50_000
 BUCKETS = 4096
 
 
-def _attach(x: DataFrame, targets: DataFrame, g, cols) -> DataFrame:
+SMALL_STATE = 256
+
+
+def _attach(x: DataFrame, targets: DataFrame, g, cols, small: bool) -> DataFrame:
     """Pair each value with the targets of its group whose interval [L, U] holds it.
-    Grouped: an equi-join on the group keys. Global: the <= 2 * len(qs) targets are
-    brought to the driver as literals and each value is expanded by a filtered
-    ``explode`` (no join)."""
-    if g:
+    Small state (<= SMALL_STATE targets, e.g. global or per-column quantiles): the
+    targets are literals and each value is expanded by a filtered ``explode`` (no join,
+    no shuffle). Large state (many groups): an equi-join on the group keys."""
+    if not small:
         t = targets.select(*g, *cols)
         return x.join(t, g).where(F.col("_v").between(F.col("L"), F.col("U")))
-    rows = targets.select(*cols).collect()
+    rows = targets.select(*g, *cols).collect()
     if not rows:
-        return x.where(F.lit(False)).select("_v", *[F.lit(None).alias(c) for c in cols])
-    structs = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in rows])
-    inside = F.filter(structs, lambda t: F.col("_v").between(t["L"], t["U"]))
-    return x.select("_v", F.explode(inside).alias("_t")).select("_v", *[F.col(f"_t.{c}").alias(c) for c in cols])
+        return x.where(F.lit(False)).select(*g, "_v", *[F.lit(None).alias(c) for c in cols])
+    structs = F.array(*[F.struct(*[F.lit(r[c]).alias(f"_{c}" if c in g else c) for c in g + list(cols)])
+                        for r in rows])
+
+    def match(t):
+        m = F.col("_v").between(t["L"], t["U"])
+        for k in g:
+            m = m & F.col(k).eqNullSafe(t[f"_{k}"])
+        return m
+    inside = F.filter(structs, match)
+    return x.select(*g, "_v", F.explode(inside).alias("_t")).select(*g, "_v", *[F.col(f"_t.{c}").alias(c) for c in cols])
+
+
+def _keep(tgt: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """Cut the lineage of the per-target state: a local relation when small, else a
+    table under the checkpoint folder."""
+    rows = tgt.limit(SMALL_STATE + 1).collect()
+    if len(rows) <= SMALL_STATE:
+        return tgt.sparkSession.createDataFrame(rows, tgt.schema), True
+    return materialize(tgt, name), False
 
 
 def exact_quantiles_select(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=(), max_band: int = MAX_BAND,
                            buckets: int = BUCKETS, max_passes: int = 30) -> DataFrame:
+    from pyspark import StorageLevel
     g = list(group_by)
     x = df.where(F.col(col).isNotNull() & ~F.isnan(col)).select(*g, F.col(col).cast("double").alias("_v"))
+    # the passes below are eager; keep the (group, value) column cached for their
+    # duration so that the upstream (parsing, dedup shuffles) runs once, not per pass
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _select(x, g, qs, max_band, buckets, max_passes)
+    finally:
+        x.unpersist()
+
+
+def _select(x: DataFrame, g, qs, max_band, buckets, max_passes) -> DataFrame:
     stats = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("L"), F.max("_v").alias("U"))
     pos = [F.lit(float(q)) * (F.col("n") - 1).cast("double") for q in qs]
     items = []
@@ -56,7 +86,7 @@ def exact_quantiles_select(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=()
                 .select(*g, "t.qi", "t.which", "t.k", "t.pos", "L", "U", F.lit(0).cast("bigint").alias("below"),
                         F.col("n").alias("n_in")))
     keys = g + ["qi", "which"]
-    tgt = materialize(tgt, "quantile_targets")
+    tgt, small = _keep(tgt, "quantile_targets")
     for _ in range(max_passes):
         open_ = (F.col("n_in") > max_band) & (F.col("L") < F.col("U"))
         pending = tgt.where(open_)
@@ -64,7 +94,7 @@ def exact_quantiles_select(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=()
             break
         width = (F.col("U") - F.col("L")) / F.lit(float(buckets))
         bucket = F.least(F.floor((F.col("_v") - F.col("L")) / width), F.lit(buckets - 1)).cast("int")
-        h = _attach(x, pending, g, ["qi", "which", "L", "U"])
+        h = _attach(x, pending, g, ["qi", "which", "L", "U"], small)
         hist = (h.groupBy(*keys, bucket.alias("b"))
                  .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax")))
         w = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,10 +103,10 @@ def exact_quantiles_select(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=()
         chosen = cum.where((F.col("_before") <= F.col("k")) & (F.col("k") < F.col("_before") + F.col("c")))
         new = chosen.select(*keys, "k", "pos", F.col("bmin").alias("L"), F.col("bmax").alias("U"),
                             F.col("_before").alias("below"), F.col("c").alias("n_in"))
-        tgt = materialize(tgt.where(~open_).unionByName(new), "quantile_targets")
+        tgt, small = _keep(tgt.where(~open_).unionByName(new), "quantile_targets")
     point = tgt.where(F.col("L") == F.col("U")).select(*keys, "pos", F.col("L").alias("val"))
     band_t = tgt.where(F.col("L") < F.col("U"))
-    j = _attach(x, band_t, g, ["qi", "which", "k", "pos", "L", "U", "below"])
+    j = _attach(x, band_t, g, ["qi", "which", "k", "pos", "L", "U", "below"], small)
     band = (j.groupBy(*keys, "k", "pos", "below").agg(F.sort_array(F.collect_list("_v")).alias("_arr"))
              .select(*keys, "pos", F.element_at("_arr", (F.col("k") - F.col("below") + 1).cast("int")).alias("val")))
     vals = point.unionByName(band)
@@ -90,4 +120,7 @@ def exact_quantiles_select(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=()
     res = both.select(*g, "qi", qv.alias("qv"))
     names = [f"q{int(round(q * 100)):02d}" for q in qs]
     out = res.groupBy(*g).pivot("qi", list(range(len(qs)))).agg(F.first("qv"))
-    return out.select(*g, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
+    out = out.select(*g, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
+    # computed now (one row per group), so that the cached input can be released
+    kept, _ = _keep(out, "quantiles")
+    return kept
