@@ -12,3 +12,18 @@ streaming   Structured Streaming version of the hourly count
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value in task closures (grouped-map solves),
+    so executors need not have the package installed or on their path."""
+    try:
+        import sys
+
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle: rely on the worker path
+        pass
+
+
+_ship_by_value()
