@@ -1,6 +1,7 @@
-"""(sf0.01: at sf0.001 the per-split re-lagging leaves no test rows, as in the reference.)
-The grouped-map solves must run when the driver's working directory is elsewhere and
-executors cannot import the package (as on a cluster without it installed)."""
+"""The grouped-map solves must run when the driver's working directory is elsewhere and
+executors cannot import the package (as on a cluster without it installed).
+Run on sf0.01: at sf0.001 the per-split re-lagging leaves no test rows, as in the
+reference, so the summary would be empty."""
 
 import os
 import subprocess
