@@ -115,3 +115,14 @@ def mean_rmse_rank(table: DataFrame, key: str = "district", value: str = "rmse",
     m = table.groupBy(key).agg(F.avg(value).alias("mean_rmse"))
     top = m.orderBy(F.col("mean_rmse").asc(), F.col(key).asc()).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("mean_rmse").asc(), F.col(key).asc())))
+
+
+def residuals(preds: DataFrame, n: int = 10, ts: str = "pickup_datetime", decimals: int = 2) -> DataFrame:
+    """The first n rows (by time) of a prediction series with model and lag-1 errors,
+    numbers rounded half-even like numpy: Actual, Predicted, Baseline, Pred_Error,
+    Base_Error."""
+    first = preds.orderBy(ts).limit(n)
+    return first.select(ts, F.col("y_true").alias("Actual"), F.bround("y_pred", decimals).alias("Predicted"),
+                        F.col("lag_1").alias("Baseline"),
+                        F.bround(F.col("y_true") - F.col("y_pred"), decimals).alias("Pred_Error"),
+                        F.bround(F.col("y_true") - F.col("lag_1"), decimals).alias("Base_Error"))

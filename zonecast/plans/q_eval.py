@@ -409,3 +409,14 @@ SELECT Lat_round, Lon_round, Count, """ + r("6.0 + Count / (SELECT MAX(Count) FR
 def q_marker_size(spark, d):
     from ..operators import eda
     return rounded(FC.marker_size(eda.hotspots(si.pickups(spark, d)), "Count"))
+
+
+@query("residuals", "WITH " + PREDS_SQL + """
+SELECT pickup_datetime, y_true AS Actual, round_even(y_pred, 2) AS Predicted, lag_1 AS Baseline,
+       round_even(y_true - y_pred, 2) AS Pred_Error, round_even(y_true - lag_1, 2) AS Base_Error
+FROM tp WHERE district = 'Manhattan CD 01' AND model = 'lgbm' ORDER BY pickup_datetime LIMIT 10""")
+def q_residuals(spark, d):
+    """First 10 test predictions of one district beside the lag-1 baseline (the
+    reference's eyeballed comparison table)."""
+    p = preds_long(spark, d).where((F.col("district") == "Manhattan CD 01") & (F.col("model") == "lgbm"))
+    return M.residuals(p)
