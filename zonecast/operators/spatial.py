@@ -156,7 +156,8 @@ def polygon_centroids(polygons: DataFrame, name_col: str = "cd_name") -> DataFra
 
 
 def centroid_join(preds: DataFrame, centroids: DataFrame, left_key: str = "district",
-                  right_key: str = "cd_name") -> DataFrame:
+                  right_key: str = "cd_name", broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Predictions joined to polygon centroids (inner). Centroids hold one row per
-    polygon name, a bounded dimension table, so it is broadcast."""
-    return preds.join(F.broadcast(centroids), preds[left_key] == centroids[right_key], "inner")
+    polygon name; they are broadcast after their row count is checked."""
+    right, _ = bounded_broadcast(centroids, broadcast_max_rows)
+    return preds.join(right, preds[left_key] == centroids[right_key], "inner")

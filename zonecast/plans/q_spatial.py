@@ -79,14 +79,30 @@ def q_topk_semi_join(spark, d):
     return g.join(F.broadcast(top), "cd_name", "left_semi").select("event_id", "cd_name")
 
 
-@query("polygon_stats_left_join", "WITH " + si.GRID_SQL + """,
-c AS (SELECT cd_name, COUNT(*) AS count FROM gpts WHERE Hour = 3 GROUP BY cd_name)
-SELECT g.cd_name, c.count FROM gridc g LEFT JOIN c USING (cd_name)""")
+# a 7 x 7 grid over a box wider than the points (lon -74.25..-73.50, lat 40.35..41.15):
+# its outer cells receive no pickups, so the left join keeps them with a NULL count
+WIDE_GRID = (-74.25, 40.35, -73.50, 41.15)
+_WIDE_SQL = si.PICKUPS_SQL + """,
+wg AS (
+  SELECT 'Grid_' || CAST(i AS VARCHAR) || '_' || CAST(j AS VARCHAR) AS cd_name,
+         CAST(-74.25 AS DOUBLE) + CAST(i AS DOUBLE) * ((CAST(-73.50 AS DOUBLE) - CAST(-74.25 AS DOUBLE)) / 7) AS x0,
+         CAST(-74.25 AS DOUBLE) + CAST(i + 1 AS DOUBLE) * ((CAST(-73.50 AS DOUBLE) - CAST(-74.25 AS DOUBLE)) / 7) AS x1,
+         CAST(40.35 AS DOUBLE) + CAST(j AS DOUBLE) * ((CAST(41.15 AS DOUBLE) - CAST(40.35 AS DOUBLE)) / 7) AS y0,
+         CAST(40.35 AS DOUBLE) + CAST(j + 1 AS DOUBLE) * ((CAST(41.15 AS DOUBLE) - CAST(40.35 AS DOUBLE)) / 7) AS y1
+  FROM range(7) a(i), range(7) b(j)
+)"""
+
+
+@query("polygon_stats_left_join", "WITH " + _WIDE_SQL + """,
+c AS (SELECT g.cd_name, COUNT(*) AS count FROM pickups p JOIN wg g
+      ON p.Lon > g.x0 AND p.Lon < g.x1 AND p.Lat > g.y0 AND p.Lat < g.y1 GROUP BY g.cd_name)
+SELECT g.cd_name, c.count FROM wg g LEFT JOIN c USING (cd_name)""")
 def q_polygon_stats_left_join(spark, d):
-    """All polygons with their pickup count in hour 3 (polygons without pickups keep
-    NULL). Restricting to one hour of day leaves some cells empty at small scale."""
-    c = grid_points(spark, d).where(F.col("Hour") == 3).groupBy("cd_name").agg(F.count(F.lit(1)).alias("count"))
-    return grid_polygons(spark).select("cd_name").join(c, "cd_name", "left")
+    """Every polygon with its pickup count (polygons without pickups keep NULL)."""
+    polys = grid_polygons(spark, WIDE_GRID, 7)
+    pts = sp.spatial_within_join(si.pickups(spark, d).drop("cd_name"), polys)
+    c = pts.groupBy("cd_name").agg(F.count(F.lit(1)).alias("count"))
+    return polys.select("cd_name").join(c, "cd_name", "left")
 
 
 _BORO_CASE = "CASE " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in BOROUGHS.items()) + " END"
