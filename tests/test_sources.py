@@ -108,3 +108,13 @@ def test_alias_resolution(spark):
     with pytest.raises(KeyError):
         require_columns(bad, ["lat", "lon"])
     assert require_latlon(spark.createDataFrame([(1,)], "a int")) is None
+
+
+def test_sink_csv_roundtrip(spark, tmp_path):
+    from pyspark.sql import types as T
+    from zonecast.sources.files import scan_csv, sink_csv
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
+    sink_csv(df, str(tmp_path / "o"))
+    back = scan_csv(spark, str(tmp_path / "o"), T.StructType([T.StructField("k", T.StringType()),
+                                                             T.StructField("v", T.DoubleType())]))
+    assert sorted(back.collect(), key=lambda r: r["k"]) == sorted(df.collect(), key=lambda r: r["k"])
