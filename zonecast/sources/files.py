@@ -111,9 +111,8 @@ def ingest_json(spark: SparkSession, landing: str, out: str, ingest_date: _dt.da
 
 
 def scan_by_filename_key(spark: SparkSession, path: str, prefix: str, schema=None) -> DataFrame:
-    """Per-district CSV outputs named ``<prefix><slug>.csv``: the district key is parsed
-    from the file name (prefix stripped, '_' -> ' ', lower case)."""
+    """Per-district CSV outputs named ``<prefix><slug>.csv`` (or folders named so): the
+    district key is parsed from the path (prefix stripped, '_' -> ' ', lower case)."""
     df = scan_csv(spark, path, schema)
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
-    key = key_from_slug(F.regexp_replace(name, "^" + prefix, ""))
-    return df.withColumn("district_key", key)
+    slug = F.regexp_extract(F.col("_metadata.file_path"), prefix + r"([^/=.]+?)(?:\.csv)?(?:/|$)", 1)
+    return df.withColumn("district_key", key_from_slug(slug))
