@@ -7,7 +7,7 @@ from conftest import SF001
 
 def test_pipeline_end_to_end(spark, tmp_path):
     from zonecast.plans import standins as si
-    from zonecast.plans.pipeline import Config, run
+    from zonecast.plans.runner import Config, run
     raw = si.pickups(spark, "/root/testdata/sf0.01").select(
         F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss").alias("pickup_datetime"), "Lat", "Lon", "Base",
         F.when(F.col("Base").isin("view", "click"), "a.csv").otherwise("b.csv").alias("source_file"))

@@ -346,16 +346,16 @@ def q_gbm_early_stop(spark, d):
     return spark.createDataFrame(rows, "cd_name string, n_trees int")
 
 
-@query("pipeline")
-def q_pipeline(spark, d):
+@query("end_to_end_run")
+def q_end_to_end_run(spark, d):
     """The whole pipeline (clean -> spatial join -> features -> split -> tree ensemble ->
     sequence model -> hybrid -> evaluation -> forecast table) on the raw stand-in, with
     the registered tree settings; returns the step log of the run."""
-    from .pipeline import Config, run
+    from .runner import Config, run
     from .q_models import QUERY_GBM, QUERY_RF
     raw = si.pickups(spark, d).select(F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss").alias("pickup_datetime"),
                                       "Lat", "Lon", "Base", F.concat(F.col("Base"), F.lit(".csv")).alias("source_file"))
-    out = scratch_path(spark, "pipeline")
+    out = scratch_path(spark, "end_to_end")
     status = run(spark, Config(out=out, rf_params=QUERY_RF, gbm_params=QUERY_GBM), raw,
                  si.dense_district_polygons(spark), run_id="run_" + _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S"))
     if not all(v == "success" for v in status.values()):
