@@ -228,13 +228,25 @@ def corr_matrix(points: DataFrame, names, key: str = "cd_name") -> DataFrame:
 
 def sink_eda_tables(points: DataFrame, names, out: str, key: str = "cd_name") -> list[str]:
     """Write the hour / weekday / day / month x district tables and the correlation pairs
-    of the given (top) districts under ``out`` (one parquet table each)."""
+    of the given (top) districts under ``out`` (one parquet table each).
+
+    One pass over the points: a partial aggregation to counts per (Hour, Weekday, Day,
+    Month, district) - bounded by calendar x k - is written once; every table is then
+    derived from that small table."""
+    from ..session import materialize
+    names = list(names)
+    parts = ["Hour", "Weekday", "Day", "Month"]
+    agg = materialize(points.where(F.col(key).isin(names)).groupBy(*parts, key)
+                      .agg(F.count(F.lit(1)).alias("n")), "eda_counts")
     written = []
-    for part in ("Hour", "Weekday", "Day", "Month"):
+    for part in parts:
         path = f"{out}/{part.lower()}_table"
-        pivot_part_by_district(points, part, names, key).write.mode("overwrite").parquet(path)
+        (agg.groupBy(part).pivot(key, names).agg(F.sum("n")).fillna(0)
+            .select(part, *[F.col(f"`{n}`").cast("bigint").alias(n) for n in names])
+            .write.mode("overwrite").parquet(path))
         written.append(path)
     path = f"{out}/correlation_table"
-    corr_matrix(points, names, key).write.mode("overwrite").parquet(path)
+    wide = agg.groupBy(*parts).pivot(key, sorted(names)).agg(F.sum("n")).fillna(0)
+    corr_pairs(wide, sorted(names) + parts).write.mode("overwrite").parquet(path)
     written.append(path)
     return written
