@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .models import centered, gram_sums, solve_enet, solve_ridge
+from .models import centered, gram_sums, solve_enet
 
 KEY = "district"
 # The meta-model grids.

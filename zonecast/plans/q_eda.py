@@ -144,7 +144,6 @@ def _top_grid_names(spark, d):
     return [r_["cd_name"] for r_ in eda.topk_by_pickups(grid_points(spark, d)).select("cd_name").collect()]
 
 
-_TOP_GRID = None
 
 
 def _pivot_long_sql(part: str) -> str:

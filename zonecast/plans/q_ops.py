@@ -7,7 +7,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..operators import clean as C

@@ -18,7 +18,7 @@ from ..sources import files as FS
 from ..sources import runs as RS
 from ..streaming.hourly import hourly_counts_stream
 from . import standins as si
-from .registry import query, r, rounded
+from .registry import query
 
 RAW_SCHEMA = T.StructType([T.StructField("Date/Time", T.StringType()), T.StructField("Lat", T.DoubleType()),
                            T.StructField("Lon", T.DoubleType()), T.StructField("Base", T.StringType())])
