@@ -180,6 +180,9 @@ def pivot_part_by_district(points: DataFrame, part: str, names, key: str = "cd_n
 def long_from_pivot(wide: DataFrame, index, value_name: str = "pickups", var_name: str = "cd_name") -> DataFrame:
     index = [index] if isinstance(index, str) else list(index)
     vals = [c for c in wide.columns if c not in index]
+    if not vals:   # no district columns (no input rows): an empty long table
+        return wide.select(*index, F.lit(None).cast("string").alias(var_name),
+                           F.lit(None).cast("bigint").alias(value_name)).where(F.lit(False))
     return wide.unpivot(index, [F.col(f"`{c}`").cast("bigint").alias(c) for c in vals], var_name, value_name)
 
 

@@ -182,7 +182,8 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
         pipe = Pipeline(stages=[_assembler(features), _estimator(kind, params, label, validation_col)])
         model = pipe.fit(tr.where(F.col(key) == name))
         return model.transform(score.where(F.col(key) == name)).drop("features")
-    return _union(_in_parallel(fit_one, names, parallelism))
+    empty = score.withColumn("y_pred", F.lit(None).cast("double")).where(F.lit(False))
+    return _union(_in_parallel(fit_one, names, parallelism), empty)
 
 
 def _in_parallel(fn, names, parallelism: int | None):
@@ -197,11 +198,11 @@ def _in_parallel(fn, names, parallelism: int | None):
         return list(ex.map(fn, names))
 
 
-def _union(parts):
+def _union(parts, empty=None):
     out = None
     for p in parts:
         out = p if out is None else out.unionByName(p)
-    return out
+    return out if out is not None else empty
 
 
 def fit_predict_vector(train: DataFrame, score: DataFrame, kind: str = "ridge", reg: float = 1.0,
@@ -221,4 +222,5 @@ def fit_predict_vector(train: DataFrame, score: DataFrame, kind: str = "ridge",
                                **{**dict(maxIter=100, maxDepth=4, stepSize=0.1, seed=42), **(params or {})})
         m = est.fit(train.where(F.col(key) == name))
         return m.transform(score.where(F.col(key) == name))
-    return _union(_in_parallel(fit_one, names, 8))
+    empty = score.withColumn("y_pred", F.lit(None).cast("double")).where(F.lit(False))
+    return _union(_in_parallel(fit_one, names, 8), empty)

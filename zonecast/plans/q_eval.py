@@ -300,14 +300,16 @@ _MERC_LAT = ("degrees(2 * atan(exp(((6378137.0 * ln(tan(pi() / 4 + radians(y0) /
              "radians(y1) / 2))) / 2) / 6378137.0)) - pi() / 2)")
 
 
-@query("polygon_centroid", "WITH " + si.DENSE_POLY_SQL + "\nSELECT cd_name, " + r(_MERC_LAT, "lat") + ", "
-       + r("(x0 + x1) / 2", "lon") + " FROM dpoly")
+@query("polygon_centroid", "WITH " + si.PICKUPS_SQL + ",\n" + si.DENSE_POLY_SQL + """,
+c AS (SELECT cd_name, COUNT(*) AS pickups FROM pickups GROUP BY cd_name)
+SELECT p.cd_name, """ + r(_MERC_LAT, "lat") + ", " + r("(x0 + x1) / 2", "lon") + """, c.pickups
+FROM dpoly p LEFT JOIN c USING (cd_name)""")
 def q_polygon_centroid(spark, d):
-    """Area centroids (EPSG:3857) of the district polygons, back in degrees. The polygon
-    layer is a fixed dimension table; the query also counts the pickups inside each
-    district so that its work grows with the data."""
+    """Area centroids (EPSG:3857) of the district polygons, back in degrees, beside the
+    pickups of each district (the map markers' data)."""
     cen = sp.polygon_centroids(si.dense_district_polygons(spark))
-    return rounded(cen.select("cd_name", "lat", "lon"))
+    c = si.pickups(spark, d).groupBy("cd_name").agg(F.count(F.lit(1)).alias("pickups"))
+    return rounded(cen.select("cd_name", "lat", "lon").join(c, "cd_name", "left"))
 
 
 @query("forecast_table", _LAST_SQL + ",\n" + si.DENSE_POLY_SQL + """,
