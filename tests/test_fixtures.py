@@ -274,3 +274,16 @@ def test_cell_index_equals_full_test_random_polygons(spark):
         b = sorted((r["id"], r["cd_name"]) for r in
                    sp.spatial_within_join(df, polys, cell_size=cs, method="bbox").collect())
         assert a == b and len(a) > 500
+
+
+def test_spatial_join_integer_key(spark):
+    """key='id' gives the same pairs as names, with an INT district id."""
+    from zonecast.plans.standins import dense_district_polygons, pickups
+    polys = dense_district_polygons(spark)
+    pts = pickups(spark, "/root/testdata/sf0.001").drop("cd_name")
+    for method in ("bbox", "index"):
+        by_name = sp.spatial_within_join(pts, polys, method=method).select("event_id", "cd_name")
+        by_id = sp.spatial_within_join(pts, polys, method=method, key="id")
+        assert dict(by_id.dtypes)["district_id"] == "int"
+        named = by_id.join(sp.district_ids(polys), "district_id").select("event_id", "cd_name")
+        assert sorted(map(tuple, named.collect())) == sorted(map(tuple, by_name.collect()))

@@ -91,9 +91,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
+def district_ids(polygons: DataFrame, name_col: str = "cd_name", id_col: str = "district_id") -> DataFrame:
+    """Dense integer id per polygon name (name order): one row per district, a small
+    dimension used to attach names after aggregating by id."""
+    from pyspark.sql import Window
+    names = polygons.select(name_col).distinct()
+    return names.withColumn(id_col, F.row_number().over(Window.orderBy(name_col)).cast("int"))
+
+
 def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon", lat: str = "Lat",
                         name_col: str = "cd_name", cell_size: float = DEFAULT_CELL_SIZE,
-                        broadcast_max_cells: int = BROADCAST_MAX_CELLS, method: str = "auto") -> DataFrame:
+                        broadcast_max_cells: int = BROADCAST_MAX_CELLS, method: str = "auto",
+                        key: str = "name") -> DataFrame:
     """Points strictly within polygons (inner join; one row per point and hit polygon).
 
     ``polygons``: name, part_id, rings (see :mod:`zonecast.functions.geo`). A point on a
@@ -104,7 +113,15 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
     polygon part (one aggregate over the small polygon table): up to
     ``SIMPLE_MAX_VERTICES`` vertices the per-point cost of both is the same and the bbox
     form needs no index build; beyond it the index is used.
+
+    key="id": the output carries ``district_id`` (INT, see :func:`district_ids`) instead of
+    the name, so that the following aggregation hashes an integer per point; attach the
+    names after aggregating (one row per district and hour).
     """
+    if key == "id":
+        ids = district_ids(polygons, name_col)
+        polygons = polygons.join(F.broadcast(ids), name_col).drop(name_col) \
+                           .withColumnRenamed("district_id", name_col)
     if method == "auto":
         nv = polygons.agg(F.max(F.size(F.flatten("rings")))).first()[0] or 0
         method = "bbox" if nv <= SIMPLE_MAX_VERTICES else "index"
@@ -121,17 +138,19 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
         pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
                      .withColumn("_cy", F.floor(F.col(lat) / cs)))
         hit = F.col("interior") | geo.point_within_edges("edges", F.col(lon), F.col(lat))
-        return (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
-                   .drop("_cx", "_cy", "edges", "interior", "part_id"))
+        out = (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
+                  .drop("_cx", "_cy", "edges", "interior", "part_id"))
+        return out.withColumnRenamed(name_col, "district_id") if key == "id" else out
     cells = polygon_cells(polygons, cell_size, name_col)
     right, _ = bounded_broadcast(cells, broadcast_max_cells)
     cs = F.lit(float(cell_size))
     pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
                  .withColumn("_cy", F.floor(F.col(lat) / cs)))
     hit = geo.point_within(F.col("rings"), F.col(lon), F.col(lat))
-    return (pts.join(right, ["_cx", "_cy"], "inner")
-               .where(hit)
-               .drop("_cx", "_cy", "rings", "part_id"))
+    out = (pts.join(right, ["_cx", "_cy"], "inner")
+              .where(hit)
+              .drop("_cx", "_cy", "rings", "part_id"))
+    return out.withColumnRenamed(name_col, "district_id") if key == "id" else out
 
 
 def polygon_centroids(polygons: DataFrame, name_col: str = "cd_name") -> DataFrame:

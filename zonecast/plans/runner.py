@@ -63,8 +63,12 @@ def run(spark: SparkSession, cfg: Config, raw_points: DataFrame, polygons: DataF
         _w(df.select("pickup_datetime", F.col("lat").alias("Lat"), F.col("lon").alias("Lon")), cfg, "cleaned")
 
     def preprocess():
-        pts = sp.spatial_within_join(_t(spark, cfg, "cleaned"), polygons)
-        _w(feat.build_features(feat.hourly_count(pts)), cfg, "features_hourly")
+        # district ids (INT) through the join and the per-point aggregation; names are
+        # attached to the district-hour rows afterwards (a broadcast of one row per district)
+        pts = sp.spatial_within_join(_t(spark, cfg, "cleaned"), polygons, key="id")
+        hourly = feat.hourly_count(pts, key="district_id")
+        named = hourly.join(F.broadcast(sp.district_ids(polygons)), "district_id").drop("district_id")
+        _w(feat.build_features(named), cfg, "features_hourly")
 
     def split():
         f = spl.chrono_split(_t(spark, cfg, "features_hourly"), cfg.test_size)
