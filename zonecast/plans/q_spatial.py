@@ -29,9 +29,14 @@ SELECT cd_name, pickup_datetime, pickups,
        LAG(pickups, 1) OVER w AS lag_1, LAG(pickups, 24) OVER w AS lag_24
 FROM hourly WINDOW w AS (PARTITION BY cd_name ORDER BY pickup_datetime)""")
 def q_grid_feature_job(spark, d):
-    """Points -> grid district by the point-in-polygon join -> hourly counts -> lags."""
+    """Points -> grid district by the point-in-polygon join -> hourly counts -> lags.
+    The district travels as an INT id through the join and the per-point aggregation;
+    names are attached to the district-hour rows."""
     from ..operators import features as feat
-    h = feat.hourly_count(grid_points(spark, d))
+    polys = grid_polygons(spark)
+    pts = sp.spatial_within_join(si.pickups(spark, d).drop("cd_name"), polys, key="id")
+    h = feat.hourly_count(pts, key="district_id")
+    h = h.join(F.broadcast(sp.district_ids(polys)), "district_id").drop("district_id")
     return feat.add_lags(h, lags=(1, 24)).select("cd_name", "pickup_datetime", "pickups", "lag_1", "lag_24")
 
 
