@@ -122,34 +122,32 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
         ids = district_ids(polygons, name_col)
         polygons = polygons.join(F.broadcast(ids), name_col).drop(name_col) \
                            .withColumnRenamed("district_id", name_col)
+    # one small aggregate over the polygon table: its complexity (for method="auto") and
+    # the number of bounding-box cells, which is the exact row count of the bbox cell
+    # table and an upper bound of the index (for the broadcast check)
+    b = geo.ring_bounds("rings")
+    csl = F.lit(float(cell_size))
+    n_cells_expr = ((F.floor(b["maxx"] / csl) - F.floor(b["minx"] / csl) + 1)
+                    * (F.floor(b["maxy"] / csl) - F.floor(b["miny"] / csl) + 1))
+    meta = polygons.agg(F.max(F.size(F.flatten("rings"))).alias("nv"), F.sum(n_cells_expr).alias("nc")).first()
+    nv, n_cells = (meta["nv"] or 0), (meta["nc"] or 0)
     if method == "auto":
-        nv = polygons.agg(F.max(F.size(F.flatten("rings")))).first()[0] or 0
         method = "bbox" if nv <= SIMPLE_MAX_VERTICES else "index"
+    cs = F.lit(float(cell_size))
+    pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
+                 .withColumn("_cy", F.floor(F.col(lat) / cs)))
     if method == "index":
         idx = polygon_cell_index(polygons, cell_size, name_col)
-        # size check on the polygon table itself: the index has at most one row per
-        # bounding-box cell of each part, so that count bounds it without building it twice
-        b = geo.ring_bounds("rings")
-        csl = F.lit(float(cell_size))
-        n_cells = polygons.agg(F.sum((F.floor(b["maxx"] / csl) - F.floor(b["minx"] / csl) + 1)
-                                     * (F.floor(b["maxy"] / csl) - F.floor(b["miny"] / csl) + 1))).first()[0] or 0
         right = F.broadcast(idx) if n_cells <= broadcast_max_cells else idx
-        cs = F.lit(float(cell_size))
-        pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
-                     .withColumn("_cy", F.floor(F.col(lat) / cs)))
         hit = F.col("interior") | geo.point_within_edges("edges", F.col(lon), F.col(lat))
         out = (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
                   .drop("_cx", "_cy", "edges", "interior", "part_id"))
-        return out.withColumnRenamed(name_col, "district_id") if key == "id" else out
-    cells = polygon_cells(polygons, cell_size, name_col)
-    right, _ = bounded_broadcast(cells, broadcast_max_cells)
-    cs = F.lit(float(cell_size))
-    pts = (points.withColumn("_cx", F.floor(F.col(lon) / cs))
-                 .withColumn("_cy", F.floor(F.col(lat) / cs)))
-    hit = geo.point_within(F.col("rings"), F.col(lon), F.col(lat))
-    out = (pts.join(right, ["_cx", "_cy"], "inner")
-              .where(hit)
-              .drop("_cx", "_cy", "rings", "part_id"))
+    else:
+        cells = polygon_cells(polygons, cell_size, name_col)
+        right = F.broadcast(cells) if n_cells <= broadcast_max_cells else cells
+        hit = geo.point_within(F.col("rings"), F.col(lon), F.col(lat))
+        out = (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
+                  .drop("_cx", "_cy", "rings", "part_id"))
     return out.withColumnRenamed(name_col, "district_id") if key == "id" else out
 
 
