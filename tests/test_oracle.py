@@ -36,6 +36,13 @@ def test_query_matches_oracle(spark, duck, name):
     drows = sorted((tuple(_norm(r[i]) for i in order) for r in rel.fetchall()), key=_key)
     assert len(srows) == len(drows)
     assert srows == drows
+    # column types agree too (the driver compares schemas)
+    m = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        assert m.get(t, t) == dtypes[f.name], (f.name, t, dtypes[f.name])
 
 
 def test_entry_smoke(spark):
