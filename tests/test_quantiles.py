@@ -26,3 +26,19 @@ def test_select_matches_numpy(spark, kind):
     glob = QS.exact_quantiles_select(df, "v", qs, (), max_band=50, buckets=8).first()
     allv = np.concatenate(list(vals.values()))
     assert [glob["q25"], glob["q50"], glob["q75"]] == pytest.approx(list(np.quantile(allv, qs)), rel=1e-12, abs=1e-12)
+
+
+def test_select_many_groups_uses_table_state(spark):
+    """More groups than the in-memory state limit: the state is written and equi-joined."""
+    rng = np.random.default_rng(9)
+    n_groups = QS.SMALL_STATE + 44
+    rows = [(int(g), float(v)) for g in range(n_groups) for v in rng.normal(size=int(rng.integers(1, 40)))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r["g"]: (r["q25"], r["q75"]) for r in QS.exact_quantiles_select(df, "v", (0.25, 0.75), ["g"],
+                                                                          max_band=8, buckets=4).collect()}
+    by = {}
+    for g, v in rows:
+        by.setdefault(g, []).append(v)
+    assert len(got) == n_groups
+    for g, vals in by.items():
+        assert list(got[g]) == pytest.approx(list(np.quantile(vals, [0.25, 0.75])), rel=1e-12, abs=1e-12)

@@ -118,3 +118,15 @@ def test_sink_csv_roundtrip(spark, tmp_path):
     back = scan_csv(spark, str(tmp_path / "o"), T.StructType([T.StructField("k", T.StringType()),
                                                              T.StructField("v", T.DoubleType())]))
     assert sorted(back.collect(), key=lambda r: r["k"]) == sorted(df.collect(), key=lambda r: r["k"])
+
+
+def test_ingest_json_array_documents(spark, tmp_path):
+    import datetime as dt
+    from zonecast.sources.files import ingest_json
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "response.json").write_text(json.dumps([{"pickup_datetime": "2024-01-01 00:10:00", "lat": 40.7, "lon": -73.9},
+                                                    {"pickup_datetime": "2024-01-01 00:20:00", "lat": 40.8, "lon": -73.8}]))
+    out = ingest_json(spark, str(land), str(tmp_path / "out"), dt.date(2024, 1, 2), array_documents=True)
+    rows = sorted((r["lat"], r["ingest_date"]) for r in out.collect())
+    assert rows == [(40.7, "20240102"), (40.8, "20240102")]
