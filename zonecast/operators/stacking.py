@@ -96,12 +96,12 @@ def _enet_grid(key, p):
         folds = {f: arr(r) for f, r in rows.items()}
         total = [sum(v[i] for v in folds.values()) for i in range(6)]
 
-        def fit_sums(s, a, l1):
+        def fit_sums(s, a, l1, w0=None):
             n, sx, sy, sxx, sxy, _ = s
             xbar, ybar = sx / n, sy / n
             G = sxx - n * np.outer(xbar, xbar)
             c = sxy - n * xbar * ybar
-            w = solve_enet(G, c, n, a, l1, ENET_MAX_ITER, 1e-12)
+            w = solve_enet(G, c, n, a, l1, ENET_MAX_ITER, 1e-12, w0)
             return float(ybar - xbar @ w), w
 
         def sse(s, b, w):
@@ -111,13 +111,15 @@ def _enet_grid(key, p):
         best = None
         alphas = sorted(ENET_ALPHAS, reverse=True)
         for l1 in ENET_L1:
+            warm = {}           # per fold: the solution at the previous (larger) alpha
             for a in alphas:
                 mses = []
                 for f, s in folds.items():
                     tr = [total[i] - s[i] for i in range(6)]
                     if tr[0] < 1:
                         continue
-                    b, w = fit_sums(tr, a, l1)
+                    b, w = fit_sums(tr, a, l1, warm.get(f))
+                    warm[f] = w
                     mses.append(sse(s, b, w) / s[0])
                 m = float(np.mean(mses)) if mses else np.inf
                 if best is None or m < best[0]:
