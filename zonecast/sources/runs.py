@@ -21,10 +21,23 @@ def new_run_id(prefix: str, now: _dt.datetime | None = None) -> str:
     return f"{prefix}_{now.strftime('%Y%m%d_%H%M%S')}"
 
 
+# rows per output file; a larger partition value is split into several files
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def sink_run(df: DataFrame, path: str, run_id: str, partition_by=("run_id",)) -> None:
-    """Append one run's rows (e.g. predictions partitioned by run_id, model, district)."""
+    """Append one run's rows (e.g. predictions partitioned by run_id, model, district).
+
+    Rows are first hash-partitioned by the partition columns that vary within the run
+    (never by the constant run_id, which would funnel the run into one task), so each
+    value is written by one task instead of one small file per task and value; large
+    values are split at ``MAX_RECORDS_PER_FILE`` rows per file."""
     out = df.withColumn("run_id", F.lit(run_id)).withColumn("written_at", F.current_timestamp())
-    out.write.mode("append").partitionBy(*partition_by).parquet(path)
+    varying = [c for c in partition_by if c != "run_id"]
+    if varying:
+        out = out.repartition(*varying)
+    (out.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(*partition_by).parquet(path))
 
 
 def latest_run_by_name(table: DataFrame, prefix: str) -> DataFrame:
