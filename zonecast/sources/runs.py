@@ -31,7 +31,9 @@ def sink_run(df: DataFrame, path: str, run_id: str, partition_by=("run_id",)) ->
     Rows are first hash-partitioned by the partition columns that vary within the run
     (never by the constant run_id, which would funnel the run into one task), so each
     value is written by one task instead of one small file per task and value; large
-    values are split at ``MAX_RECORDS_PER_FILE`` rows per file."""
+    values are split at ``MAX_RECORDS_PER_FILE`` rows per file. Run tables hold model
+    outputs (one row per district and hour at most), so one value per task is bounded
+    even for the busiest district."""
     out = df.withColumn("run_id", F.lit(run_id)).withColumn("written_at", F.current_timestamp())
     varying = [c for c in partition_by if c != "run_id"]
     if varying:
