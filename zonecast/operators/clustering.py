@@ -41,12 +41,14 @@ def kmeans_elbow(points: DataFrame, ks=ELBOW_K, n: int = SAMPLE_N, seed: int = S
     """Within-cluster sum of squares for each k on a reproducible sample."""
     from pyspark.ml.clustering import KMeans
     spark = points.sparkSession
+    from .models import _in_parallel
     sample = _vec(sample_n(points, n, seed).select("event_id", "Lat", "Lon")).cache()
-    rows = []
-    for k in ks:
-        m = KMeans(k=k, seed=seed, featuresCol="features").fit(sample)
-        rows.append((int(k), float(m.summary.trainingCost)))
-    sample.unpersist()
+    try:
+        # the fits are independent distributed jobs: submitted concurrently
+        rows = _in_parallel(lambda k: (int(k), float(KMeans(k=k, seed=seed, featuresCol="features")
+                                                      .fit(sample).summary.trainingCost)), list(ks), 8)
+    finally:
+        sample.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
