@@ -160,8 +160,9 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
     """Fit per district on ``train`` and predict ``score``; returns ``score`` with y_pred.
 
     ``names``: the districts to model, bounded by the caller (the top 10); each name is
-    one concurrent distributed fit. ``pooled``: one model for all districts with the
-    district index as an extra feature (for any number of districts).
+    one concurrent distributed fit. ``pooled`` (also the behaviour when no names are
+    given): one model for all districts with the district index as an extra feature, for
+    any number of districts.
     """
     from pyspark.ml import Pipeline
     label = "_label"
@@ -175,8 +176,9 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
                                 _estimator(kind, params, label, validation_col)])
         model = pipe.fit(tr)
         return model.transform(score).drop("features", "_key_idx")
-    if names is None:
-        raise ValueError("pass the district names to model (bounded, e.g. the top k) or pooled=True")
+    if names is None:       # no bounded list of districts: one pooled model for all of them
+        return fit_predict_trees(train, score, features, kind, params, target, key, pooled=True,
+                                 validation_col=validation_col)
 
     def fit_one(name):
         pipe = Pipeline(stages=[_assembler(features), _estimator(kind, params, label, validation_col)])
