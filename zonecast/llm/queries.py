@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import piece_bpe, quality, url_filter
 from .common import table
 
 QUERIES: dict = {}
@@ -50,3 +50,50 @@ FROM j"""
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def public_file(name: str) -> str:
+    """Place of a public tokenizer file (the operators take it as a parameter)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op9_piece_bpe")
+def op9_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                public_file("piece_bpe_32k.model")).drop("text")
+
+
+#: Rules of the contract (fixed values) and the names of junk sites (production parameter).
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+JUNK_NAMES = ("ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+_JUNK = "|".join(JUNK_NAMES)
+_URL_SQL = rf"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+           FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN regexp_matches(host, '(^|\.)({_JUNK})(\.|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
+
+
+@query("op10_url_filters", _URL_SQL)
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's rules decide first; other URLs are blocked when their host or a parent
+    of it is on the list of junk hosts, which Spark gathers from the table's own hosts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "entry string, verdict string")
+    junk = (url_filter.with_host_path(pages).select(
+        F.regexp_extract("host", rf"(?:^|\.)((?:{_JUNK})(?:\..*)?)$", 1).alias("site"))
+        .where("site != ''").select(F.col("site").alias("entry"), F.lit("block").alias("verdict")).distinct())
+    by_list = url_filter.judge(pages, junk).select(*pages.columns, F.col("verdict").alias("list_verdict"))
+    judged = url_filter.judge(by_list, rules, default="")
+    return judged.select("page_id", "host", "path", "rule",
+                         F.when(F.col("verdict") != "", F.col("verdict")).otherwise(F.col("list_verdict")).alias("verdict"))
