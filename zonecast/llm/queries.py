@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import piece_bpe, quality, url_filter
+from . import minhash, piece_bpe, quality, url_filter
 from .common import table
 
 QUERIES: dict = {}
@@ -97,3 +97,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(by_list, rules, default="")
     return judged.select("page_id", "host", "path", "rule",
                          F.when(F.col("verdict") != "", F.col("verdict")).otherwise(F.col("list_verdict")).alias("verdict"))
+
+
+@query("op4_minhash_near_dedup")
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, threshold=80)
