@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, piece_bpe, quality, url_filter
+from . import minhash, piece_bpe, quality, substring, url_filter
 from .common import table
 
 QUERIES: dict = {}
@@ -102,3 +102,23 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_minhash_near_dedup")
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, threshold=80)
+
+
+_SUBSTRING_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i AS p, md5(array_to_string(w[i:i + 49], ' ')) AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+own AS (SELECT g, min(doc_id) AS o FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM win JOIN own USING (g) WHERE doc_id > o),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+         FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op5_substring_dedup", _SUBSTRING_SQL)
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = substring.remove_repeats(table(spark, sf_dir, "documents"), width=50)
+    kept = F.when(F.col("n_removed") == 0, F.col("words_sha256")).otherwise(F.sha2(F.coalesce("kept_text", F.lit("")), 256))
+    return r.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
