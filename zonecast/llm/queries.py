@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, piece_bpe, quality, substring, url_filter
+from . import minhash, packing, piece_bpe, quality, substring, url_filter
 from .common import table
 
 QUERIES: dict = {}
@@ -122,3 +122,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = substring.remove_repeats(table(spark, sf_dir, "documents"), width=50)
     kept = F.when(F.col("n_removed") == 0, F.col("words_sha256")).otherwise(F.sha2(F.coalesce("kept_text", F.lit("")), 256))
     return r.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_texts(table(spark, sf_dir, "documents"), public_file("word_bpe_49k.json")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
