@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, piece_bpe, quality, substring, url_filter
+from . import minhash, packing, piece_bpe, quality, substring, toxicity, url_filter
 from .common import table
 
 QUERIES: dict = {}
@@ -128,3 +128,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), public_file("word_bpe_49k.json")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
