@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from zonecast.session import materialize
 
 MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 2000, 4000, 2000
-NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT = 15, 64, 0.05, 5
+NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT, STEMS = 15, 64, 0.05, 5, (4, 5, 6)
 _TERM = re.compile(r"\w+")
 
 
@@ -46,9 +46,19 @@ def held_out(id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
+def terms_of(word: str) -> list[str]:
+    """A word and its beginnings of ``STEMS`` characters (word families share them)."""
+    return [word, *[word[:n] + "-" for n in STEMS if len(word) > n]]
+
+
 def term_counts(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
-    found = Counter(w for w in _TERM.findall((text or "").lower()) if w in vocabulary)
-    return {vocabulary[w]: n for w, n in found.items()}
+    out: Counter[int] = Counter()
+    for word, n in Counter(_TERM.findall((text or "").lower())).items():
+        for t in terms_of(word):
+            k = vocabulary.get(t)
+            if k is not None:
+                out[k] += n
+    return out
 
 
 @dataclass
@@ -151,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(w, y) for t, y in zip(b["text"], b["y"]) for w in set(_TERM.findall((t or "").lower()))]
+            rows = [(w, y) for t, y in zip(b["text"], b["y"]) for w in {x for w in set(_TERM.findall((t or "").lower())) for x in terms_of(w)}]
             yield pd.DataFrame(rows, columns=["term", "y"])
 
     n1 = F.sum("y")
