@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, piece_bpe, quality, substring, toxicity, url_filter
+from . import minhash, packing, piece_bpe, quality, substring, toxicity, url_filter, winnowing
 from .common import table
 
 QUERIES: dict = {}
@@ -135,3 +135,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op1_winnowing")
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
