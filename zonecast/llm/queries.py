@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, piece_bpe, quality, substring, toxicity, url_filter, winnowing
+from zonecast.session import materialize, scratch_path
+
+from . import licenses, minhash, packing, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
 from .common import table
 
 QUERIES: dict = {}
@@ -140,3 +142,65 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_winnowing")
 def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+_ROLLUP_SQL = r"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t,
+             row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) AS k FROM documents),
+c AS (SELECT source, lang, k,
+        len(regexp_extract_all(array_to_string(list_distinct(string_split(t, chr(10))), ' '), '[^\x20\x09-\x0D]+')) AS a,
+        len(regexp_extract_all(t, '[\pL\pN_]+|[^\x20\x09-\x0D\pL\pN_]')) AS b FROM d),
+v AS (SELECT source, lang, 'words-1' AS version, k, a AS n FROM c UNION ALL SELECT source, lang, 'wordpunct-1', k, b FROM c)
+SELECT source, lang, version, CAST(count(*) FILTER (WHERE k = 1) AS BIGINT) AS n_docs,
+  CAST(coalesce(sum(n) FILTER (WHERE k = 1), 0) AS BIGINT) AS n_tokens FROM v GROUP BY source, lang, version"""
+
+
+@query("op7_token_rollups", _ROLLUP_SQL)
+def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents go in (batch 1), get a second tokenizer version and counts revised to
+    distinct lines (batch 2, committed twice), and exact copies go out (batch 3)."""
+    t = F.coalesce("text", F.lit(""))
+    docs = materialize(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", F.sha2(t, 256).alias("key"), rollups.word_count(t).alias("n"),
+        rollups.word_count(F.array_join(F.array_distinct(F.split(t, "\n")), " ")).alias("revised"),
+        rollups.wordpunct_count(t).alias("punct")), "rollup-counts")
+    state = lambda d, *pairs: d.select("doc_id", "source", "lang", F.explode(F.create_map(
+        *[x for v, n in pairs for x in (F.lit(v), F.col(n))])).alias("version", "tokens"))
+    first = state(docs, ("words-1", "n"))
+    second = state(docs, ("words-1", "revised"), ("wordpunct-1", "punct"))
+    kept = docs.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    copies = docs.join(kept, ["key", "doc_id"], "left_anti")
+    store = rollups.Rollup(spark, scratch_path(spark, "token-rollups"))
+    store.commit(1, rollups.deltas(None, first))
+    for _ in range(2):  # the second commit is a retry and changes nothing
+        store.commit(2, rollups.deltas(first, second))
+    store.commit(3, rollups.deltas(state(copies, ("words-1", "revised"), ("wordpunct-1", "punct")), None))
+    return store.totals()
+
+
+def _canonical_sql(t: str) -> str:
+    t = f"regexp_replace(lower(coalesce({t}, '')), '{licenses.COPYRIGHT_LINE}', '\\1', 'g')"
+    t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+    for a, b in licenses.EQUIVALENT:
+        t = f"replace({t}, ' {a} ', ' {b} ')"
+    return f"trim(regexp_replace({t}, ' +', ' ', 'g'), ' ')"
+
+
+def _text_sql(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_LICENSE_SQL = f"""
+WITH k AS (SELECT sha256({_canonical_sql('text')}) AS digest, min(license) AS license
+           FROM (VALUES {', '.join(f'({_text_sql(n)}, {_text_sql(t)})' for n, t in licenses.KNOWN.items())}) AS v(license, text) GROUP BY 1),
+w AS (SELECT doc_id, sha256({_canonical_sql('text')}) AS digest FROM documents),
+l AS (SELECT DISTINCT doc_id, license FROM (SELECT doc_id, sha256({_canonical_sql('line')}) AS digest
+        FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)) JOIN k USING (digest)),
+a AS (SELECT doc_id, string_agg(license, ', ' ORDER BY license) AS line_licenses FROM l GROUP BY doc_id)
+SELECT doc_id, digest, license, line_licenses FROM w LEFT JOIN k USING (digest) LEFT JOIN a USING (doc_id)"""
+
+
+@query("op8_license_scan", _LICENSE_SQL)
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = spark.createDataFrame(list(licenses.KNOWN.items()), "license string, text string")
+    return licenses.scan(table(spark, sf_dir, "documents"), known)
