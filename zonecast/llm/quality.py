@@ -82,7 +82,12 @@ def metrics(df: DataFrame, text: str = "text") -> DataFrame:
         "n_stop_words": F.size(F.filter(w, lambda x: x.isin(*stop_forms()))).cast("long"),
         "n_no_letter": F.size(F.filter(w, lambda x: ~x.rlike(r"\p{L}"))).cast("long"),
     }).drop(ln)
-    return _repeat_words(df, w, "n_repeat_words").drop(w)
+    df = _repeat_words(df, w, "n_repeat_words").drop(w)
+    # the generator keeps later filters on the metrics from being pushed below, which would
+    # evaluate every metric again for the filter
+    one = fresh(df, "m")
+    rest = [c for c in df.columns if c not in METRICS]
+    return df.select(*rest, F.explode(F.array(F.struct(*METRICS))).alias(one)).select(*rest, f"{one}.*")
 
 
 def compiled(rules: dict[str, str]) -> Column:

@@ -226,6 +226,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             yield pd.DataFrame({"score": [s for s, _ in got],
                                 "evidence": [[{"id": str(i), "label": y, "cosine": c} for i, y, c in e] for _, e in got]})
 
+    run = run.asNondeterministic()  # so that a filter on the score does not run it twice
     keep = [c for c in docs.columns if c == text or c not in ("score", "predicted", "evidence")]
     out = docs.select(*keep).withColumn("__r", run(F.col(text)))
     return out.select(*keep, F.col("__r.score").alias("score"), (F.col("__r.score") >= threshold).cast("int").alias("predicted"),
