@@ -104,7 +104,8 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     nxt = next_ids(base, "id")
     quarter = F.floor(F.length("text") / 4).cast("int")
     need = base.join(nxt, "id").groupBy(F.col("next_id").alias("id"), F.col("id").alias("before")).agg(F.max(quarter).alias("need"))
-    heads = (fp.join(need, "id").select(F.col("before").alias("id"), F.expr("left(text, need)").alias("head"), F.col("fp").alias("next_fp")))
+    heads = (fp.join(need, "id").select(F.col("before").alias("id"), F.expr("left(text, need)").alias("head"), F.col("fp").alias("next_fp"))
+             .groupBy("id").agg(F.max(F.struct("head", "next_fp")).alias("h")).select("id", "h.*"))
     joined = (fp.join(heads, "id", "left").withColumn("head", F.coalesce("head", F.lit("")))
               .withColumn("next_fp", F.coalesce("next_fp", F.expr("cast(array() as array<bigint>)")))
               .withColumn("n", F.length("text").cast("long")).withColumn("q", quarter))
