@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import parse_timestamp
+from ..session import materialize
 
 # Accepted spellings of the coordinate columns and of the time column.
 LAT_ALIASES = ("lat", "latitude", "pickup_latitude")
@@ -156,7 +157,8 @@ def _bound_cols(df: DataFrame, cols, factor, group_by):
             bounds[f"{c}_hi"] = b.select(f"{c}_hi").scalar()
         return df, bounds
     b = iqr_bounds(df, cols, factor, g)
-    return df.join(b, g, "inner"), {n: F.col(n) for c in cols for n in (f"{c}_lo", f"{c}_hi")}
+    from .quantiles import _null_safe
+    return _null_safe(df, b, g), {n: F.col(n) for c in cols for n in (f"{c}_lo", f"{c}_hi")}
 
 
 def iqr_filter(df: DataFrame, cols=("lat", "lon"), factor: float = IQR_FACTOR, group_by=()) -> DataFrame:
@@ -201,8 +203,13 @@ def fill_unknown(df: DataFrame, cols=("cd_name", "borough"), value: str = "Unkno
 
 
 def impute_train_mean(train: DataFrame, test: DataFrame, cols) -> tuple[DataFrame, DataFrame]:
-    """NULL features in both frames <- the *train* mean (scalar subqueries, no join)."""
-    means = {c: train.agg(F.avg(c)).scalar() for c in cols}   # scalar subqueries
+    """NULL features in both frames <- the *train* mean (one aggregation for all columns,
+    used as one scalar subquery)."""
+    cols = list(cols)
+    if not cols:
+        return train, test
+    one = train.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)])).scalar()
+    means = {c: one[f"m{i}"] for i, c in enumerate(cols)}
 
     def fill(df):
         return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in cols})
@@ -268,7 +275,8 @@ def clean_pickups(df: DataFrame, group_by=(), factor: float = IQR_FACTOR) -> Dat
     if "pickup_datetime" in df.columns:
         df = parse_ts_coerce(df, "pickup_datetime")
     df = nan_to_null(df)
-    df = dedup_all(df)
+    # written once: the bounds and the filter below both read it
+    df = materialize(dedup_all(df), "deduplicated")
     if {"lat", "lon"} <= set(df.columns):
         df = iqr_filter(df, ("lat", "lon"), factor, group_by)
         df = bbox_filter(df)

@@ -7,7 +7,9 @@ initialisation); its centres (k rows) are the only thing brought to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Elbow range 3..15, the 100,000-point sample with seed 42, k = 10.
@@ -18,18 +20,22 @@ K = 10
 
 
 def sample_n(df: DataFrame, n: int = SAMPLE_N, seed: int = SEED, id_col: str = "event_id") -> DataFrame:
-    """Exactly min(n, count) rows chosen by a seeded hash of ``id_col``.
+    """Exactly min(n, count) rows: those of least md5 of "<id>:<seed>" (ties by id).
 
-    A distributed pre-filter keeps each row with probability ~1.5 n / count (by hash, so
-    reproducible); only the survivors are ordered by hash and cut at n, so the final
-    top-n never sees more than ~1.5 n rows.
+    A pre-filter on the leading 32 hash bits lets about n + 6 sqrt(n) rows through, so the
+    final top-n sees little more than n. Should fewer than n pass (about one draw in 10^9),
+    all rows are ordered instead, with the same result by definition.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    frac = F.least(F.lit(1.0), F.lit(1.5 * n) / total + F.lit(0.001))
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
-    u = (F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30)))
-    pre = df.withColumn("_h", h).where(u < frac)
-    return pre.orderBy("_h", id_col).limit(n).drop("_h")
+    total = df.count()
+    h = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
+    hashed = df.withColumn("_h", h)
+    share = (n + 6 * math.sqrt(n) + 20) / max(1, total)
+    if share < 1:
+        cut = f"{int(share * (1 << 32)):08x}"
+        pre = hashed.where(F.col("_h") < cut)
+        if pre.count() >= n:
+            hashed = pre
+    return hashed.orderBy("_h", id_col).limit(n).drop("_h")
 
 
 def _vec(df, lat="Lat", lon="Lon"):
@@ -63,6 +69,18 @@ def kmeans_assign(points: DataFrame, k: int = K, seed: int = SEED):
     return m.transform(v).drop("features"), cents
 
 
+def cluster_report(assigned: DataFrame, cents: DataFrame) -> DataFrame:
+    """Count, share, mean point and mean distance to the centre of every centroid's cluster,
+    in one grouped pass over the points, left-joined to the centroids (k rows, broadcast)."""
+    c = F.broadcast(cents)
+    d = F.sqrt(F.pow(F.col("Lat") - F.col("Centroid_Lat"), 2) + F.pow(F.col("Lon") - F.col("Centroid_Lon"), 2))
+    s = assigned.join(c, "Cluster").groupBy("Cluster").agg(
+        F.count(F.lit(1)).alias("Pickups"), F.avg("Lat").alias("Avg_Lat"), F.avg("Lon").alias("Avg_Lon"),
+        F.bround(F.avg(d), 4).alias("Radius"))
+    s = s.withColumn("Pct_of_Total", F.bround(F.col("Pickups") / F.sum("Pickups").over(Window.partitionBy(F.lit(1))) * 100, 2))
+    return cents.join(s, "Cluster", "left").select("Cluster", "Pickups", "Pct_of_Total", "Avg_Lat", "Avg_Lon", "Radius")
+
+
 def cluster_summary(assigned: DataFrame) -> DataFrame:
     tot = assigned.agg(F.count(F.lit(1))).scalar()
     s = assigned.groupBy("Cluster").agg(F.count(F.lit(1)).alias("Pickups"), F.avg("Lat").alias("Avg_Lat"),
@@ -82,7 +100,4 @@ def kmeans_report(points: DataFrame, k: int = K, seed: int = SEED) -> DataFrame:
     """Cluster, Pickups, Pct_of_Total, Avg_Lat, Avg_Lon, Radius: centroids left-joined
     with the per-cluster statistics."""
     assigned, cents = kmeans_assign(points, k, seed)
-    summ = cluster_summary(assigned)
-    rad = cluster_radius(assigned, cents)
-    rep = cents.join(summ, "Cluster", "left").join(rad, "Cluster", "left")
-    return rep.select("Cluster", "Pickups", "Pct_of_Total", "Avg_Lat", "Avg_Lon", "Radius")
+    return cluster_report(assigned, cents)

@@ -200,23 +200,19 @@ def corr_pairs(wide: DataFrame, cols) -> DataFrame:
     column. For integer-valued columns (counts, calendar parts) the sums are exact."""
     cols = list(cols)
     p = len(cols)
-    x = [F.col(f"`{c}`").cast("double") for c in cols]
-    aggs = [F.count(F.lit(1)).cast("double").alias("n")] + [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"q{i}_{j}") for i in range(p) for j in range(i, p)]
-    one = wide.agg(*aggs)
-    n = F.col("n")
-
-    def q(i, j):
-        return F.col(f"q{min(i, j)}_{max(i, j)}")
-
-    def corr(i, j):
-        cov = n * q(i, j) - F.col(f"s{i}") * F.col(f"s{j}")
-        vi = n * q(i, i) - F.col(f"s{i}") * F.col(f"s{i}")
-        vj = n * q(j, j) - F.col(f"s{j}") * F.col(f"s{j}")
-        return F.try_divide(cov, F.nullif(F.sqrt(vi * vj), F.lit(0.0)))
-    st = F.explode(F.array(*[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), corr(i, j).alias("corr"))
-                             for i, a in enumerate(cols) for j, b in enumerate(cols)]))
-    return one.select(st.alias("s")).select("s.*")
+    x = [f"cast(`{c}` AS double)" for c in cols]
+    sums = [f"sum({x[i]}) AS s{i}" for i in range(p)]
+    sums += [f"sum({x[i]} * {x[j]}) AS q{i}_{j}" for i in range(p) for j in range(i, p)]
+    one = wide.selectExpr("cast(count(1) AS double) AS n", *sums)
+    var = [f"(n * q{i}_{i} - s{i} * s{i})" for i in range(p)]
+
+    def pair(i, j):
+        cov = f"(n * q{min(i, j)}_{max(i, j)} - s{i} * s{j})"
+        name = [c.replace("\\", "\\\\").replace("'", "\\'") for c in (cols[i], cols[j])]
+        return f"struct('{name[0]}' AS var_a, '{name[1]}' AS var_b, try_divide({cov}, nullif(sqrt({var[i]} * {var[j]}), 0D)) AS corr)"
+    # as SQL text: a few thousand expression nodes are parsed at once instead of call by call
+    pairs = ", ".join(pair(i, j) for i in range(p) for j in range(p))
+    return one.selectExpr(f"inline(array({pairs}))")
 
 
 def corr_matrix(points: DataFrame, names, key: str = "cd_name") -> DataFrame:

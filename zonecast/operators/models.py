@@ -30,7 +30,7 @@ RIDGE_ALPHA = 1.0
 LASSO_ALPHA = 0.1
 RF_PARAMS = dict(numTrees=500, minInstancesPerNode=5, seed=42, featureSubsetStrategy="all", maxDepth=30)
 GBM_PARAMS = dict(stepSize=0.03, maxDepth=6, minInstancesPerNode=50, maxIter=5000, seed=42)
-GBM_PATIENCE_TOL = 0.0          # stop when the validation error no longer improves
+GBM_PATIENCE = 200              # stop after so many rounds without a lower validation error
 BASE_FEATURES = ["sin_hour", "cos_hour", "sin_weekday", "cos_weekday", "is_weekend"]
 SINGLE_EXTRA = ["lag_1", "lag_2", "lag_24", "rolling_mean_3h", "rolling_mean_24h",
                 "rolling_std_3h", "rolling_std_24h", "pickup_density_cd"]
@@ -140,16 +140,58 @@ def _assembler(features, out="features"):
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
-def _estimator(kind: str, params: dict | None, label: str, validation_col: str | None = None):
+def best_round(errors, patience: int = GBM_PATIENCE) -> tuple[int, bool]:
+    """(rounds to keep, whether the patience ran out): the round of least validation error
+    before ``patience`` rounds in a row bring none lower."""
+    best = 0
+    for k, e in enumerate(errors):
+        if e < errors[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_boosted(train: DataFrame, valid: DataFrame, params: dict | None, label: str, patience: int = GBM_PATIENCE):
+    """Boosted trees cut at the round of least validation error, stopping ``patience`` rounds
+    after it. Rounds are fitted in doubling numbers (with one seed a longer fit begins with
+    the same trees), judged per round on ``valid``, and the model is fitted to the kept
+    number. Both frames carry ``features``. Returns (model, validation error per round)."""
+    limit = {**GBM_PARAMS, **(params or {})}["maxIter"]
+    rounds = min(limit, 2 * patience)
+    while True:
+        model = _estimator("gbm", {**(params or {}), "maxIter": rounds}, label).fit(train)
+        if valid.isEmpty():
+            return model, []
+        errors = list(model.evaluateEachIteration(valid, "squared"))
+        keep, stopped = best_round(errors, patience)
+        if stopped or rounds >= limit:
+            break
+        rounds = min(limit, 2 * rounds)
+    if keep < len(errors):
+        model = _estimator("gbm", {**(params or {}), "maxIter": keep}, label).fit(train)
+    return model, errors
+
+
+def _fitted(stages, kind: str, params: dict | None, label: str, data: DataFrame, validation_col: str | None):
+    """Fit feature stages and trees; returns frame -> frame with predictions."""
+    from pyspark.ml import Pipeline
+    prep = Pipeline(stages=stages).fit(data)
+    ready = prep.transform(data)
+    if kind == "gbm" and validation_col:
+        model, _ = fit_boosted(ready.where(~F.col(validation_col)), ready.where(F.col(validation_col)), params, label)
+    else:
+        model = _estimator(kind, params, label).fit(ready)
+    return lambda df: model.transform(prep.transform(df))
+
+
+def _estimator(kind: str, params: dict | None, label: str):
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
     if kind == "rf":
         p = {**RF_PARAMS, **(params or {})}
         return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="y_pred", **p)
     if kind == "gbm":
         p = {**GBM_PARAMS, **(params or {})}
-        if validation_col:
-            p.setdefault("validationTol", GBM_PATIENCE_TOL)
-            p["validationIndicatorCol"] = validation_col
         return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="y_pred", **p)
     raise ValueError(f"Unsupported model_type={kind}")
 
@@ -164,7 +206,6 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
     given): one model for all districts with the district index as an extra feature, for
     any number of districts.
     """
-    from pyspark.ml import Pipeline
     label = "_label"
     tr = train.withColumn(label, F.col(target).cast("double"))
     if validation_col:
@@ -172,18 +213,15 @@ def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str =
     if pooled:
         from pyspark.ml.feature import StringIndexer
         idx = StringIndexer(inputCol=key, outputCol="_key_idx", handleInvalid="keep")
-        pipe = Pipeline(stages=[idx, _assembler(list(features) + ["_key_idx"]),
-                                _estimator(kind, params, label, validation_col)])
-        model = pipe.fit(tr)
-        return model.transform(score).drop("features", "_key_idx")
+        predict = _fitted([idx, _assembler(list(features) + ["_key_idx"])], kind, params, label, tr, validation_col)
+        return predict(score).drop("features", "_key_idx")
     if names is None:       # no bounded list of districts: one pooled model for all of them
         return fit_predict_trees(train, score, features, kind, params, target, key, pooled=True,
                                  validation_col=validation_col)
 
     def fit_one(name):
-        pipe = Pipeline(stages=[_assembler(features), _estimator(kind, params, label, validation_col)])
-        model = pipe.fit(tr.where(F.col(key) == name))
-        return model.transform(score.where(F.col(key) == name)).drop("features")
+        predict = _fitted([_assembler(features)], kind, params, label, tr.where(F.col(key) == name), validation_col)
+        return predict(score.where(F.col(key) == name)).drop("features")
     empty = score.withColumn("y_pred", F.lit(None).cast("double")).where(F.lit(False))
     return _union(_in_parallel(fit_one, names, parallelism), empty)
 

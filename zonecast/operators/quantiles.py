@@ -27,6 +27,16 @@ BUCKETS = 4096
 SMALL_STATE = 256
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner equi-join on ``keys`` that also pairs NULL keys; the keys appear once."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = one if cond is None else cond & one
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+
+
 def _attach(x: DataFrame, targets: DataFrame, g, cols, small: bool) -> DataFrame:
     """Pair each value with the targets of its group whose interval [L, U] holds it.
     Small state (<= SMALL_STATE targets, e.g. global or per-column quantiles): the
@@ -34,7 +44,7 @@ def _attach(x: DataFrame, targets: DataFrame, g, cols, small: bool) -> DataFrame
     no shuffle). Large state (many groups): an equi-join on the group keys."""
     if not small:
         t = targets.select(*g, *cols)
-        return x.join(t, g).where(F.col("_v").between(F.col("L"), F.col("U")))
+        return _null_safe(x, t, g).where(F.col("_v").between(F.col("L"), F.col("U")))
     rows = targets.select(*g, *cols).collect()
     if not rows:
         return x.where(F.lit(False)).select(*g, "_v", *[F.lit(None).alias(c) for c in cols])
@@ -60,20 +70,18 @@ def _keep(tgt: DataFrame, name: str) -> tuple[DataFrame, bool]:
 
 
 def exact_quantiles_select(df: DataFrame, col: str, qs=(0.25, 0.75), group_by=(), max_band: int = MAX_BAND,
-                           buckets: int = BUCKETS, max_passes: int = 30) -> DataFrame:
-    from pyspark import StorageLevel
+                           buckets: int = BUCKETS) -> DataFrame:
+    """Exact quantiles per group (a NULL key is a group of its own). Passes go on until every
+    interval is small: each one cuts it to a bucket whose least and greatest value are known,
+    so it shrinks whatever the spread of the values."""
     g = list(group_by)
     x = df.where(F.col(col).isNotNull() & ~F.isnan(col)).select(*g, F.col(col).cast("double").alias("_v"))
-    # the passes below are eager; keep the (group, value) column cached for their
-    # duration so that the upstream (parsing, dedup shuffles) runs once, not per pass
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _select(x, g, qs, max_band, buckets, max_passes)
-    finally:
-        x.unpersist()
+    # the passes below are eager: the (group, value) column is written once to the shared
+    # folder, so that the upstream (parsing, dedup shuffles) runs once, not per pass
+    return _select(materialize(x, "quantile_values"), g, qs, max_band, buckets)
 
 
-def _select(x: DataFrame, g, qs, max_band, buckets, max_passes) -> DataFrame:
+def _select(x: DataFrame, g, qs, max_band, buckets) -> DataFrame:
     stats = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("L"), F.max("_v").alias("U"))
     pos = [F.lit(float(q)) * (F.col("n") - 1).cast("double") for q in qs]
     items = []
@@ -87,7 +95,7 @@ def _select(x: DataFrame, g, qs, max_band, buckets, max_passes) -> DataFrame:
                         F.col("n").alias("n_in")))
     keys = g + ["qi", "which"]
     tgt, small = _keep(tgt, "quantile_targets")
-    for _ in range(max_passes):
+    while True:
         open_ = (F.col("n_in") > max_band) & (F.col("L") < F.col("U"))
         pending = tgt.where(open_)
         if pending.isEmpty():
@@ -98,7 +106,7 @@ def _select(x: DataFrame, g, qs, max_band, buckets, max_passes) -> DataFrame:
         hist = (h.groupBy(*keys, bucket.alias("b"))
                  .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax")))
         w = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.join(pending.select(*keys, "k", "pos", "below"), keys)
+        hist = _null_safe(hist, pending.select(*keys, "k", "pos", "below"), keys)
         cum = hist.withColumn("_before", F.col("below") + F.coalesce(F.sum("c").over(w), F.lit(0)))
         chosen = cum.where((F.col("_before") <= F.col("k")) & (F.col("k") < F.col("_before") + F.col("c")))
         new = chosen.select(*keys, "k", "pos", F.col("bmin").alias("L"), F.col("bmax").alias("U"),
@@ -112,7 +120,7 @@ def _select(x: DataFrame, g, qs, max_band, buckets, max_passes) -> DataFrame:
     vals = point.unionByName(band)
     lo = vals.where("which = 0").select(*g, "qi", "pos", F.col("val").alias("v_lo"))
     hi = vals.where("which = 1").select(*g, "qi", F.col("val").alias("v_hi"))
-    both = lo.join(hi, g + ["qi"])
+    both = _null_safe(lo, hi, g + ["qi"])
     p = F.col("pos")
     fl, ce = F.floor(p), F.ceil(p)
     qv = F.when(fl == ce, F.col("v_lo")).when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")) \

@@ -27,12 +27,13 @@ def log_pipeline_step(spark: SparkSession, path: str, step: str, status: str, du
 
 
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Tolerant CSV read of a text log: every field as text; a row with more fields than
-    the header is dropped, a short row is padded with NULLs. The schema carries one spare
-    column: only a too-long row can fill it."""
-    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("_extra", T.StringType())])
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return df.where(F.col("_extra").isNull()).drop("_extra")
+    """Tolerant CSV read of a text log, line by line, every field as text: a row with more
+    fields than the columns is dropped (also when the extra field is empty), a short row is
+    padded with NULLs. Header lines are skipped."""
+    line = F.col("value")
+    n_fields = F.size(F.split(F.regexp_replace(line, r'"(?:[^"]|"")*"', "q"), ",", -1))
+    rows = (spark.read.text(path).where((line != ",".join(LOG_COLUMNS)) & (F.trim(line) != "") & (n_fields <= len(LOG_COLUMNS))))
+    return rows.select(F.from_csv(line, ", ".join(f"{c} string" for c in LOG_COLUMNS)).alias("r")).select("r.*")
 
 
 def tidy_log(log: DataFrame) -> DataFrame:

@@ -148,3 +148,11 @@ def hybrid_run(rf: DataFrame, lgbm: DataFrame, conv: DataFrame, min_rows: int =
     summary = preds.groupBy("district", "method").agg(M.rmse("y_true", "y_pred_blend").alias("rmse_blend"))
     return (preds.withColumnRenamed("y_rf", "y_pred_rf").withColumnRenamed("y_lgbm", "y_pred_lgbm")
                  .withColumnRenamed("y_conv", "y_pred_conv"), summary.select("district", "rmse_blend", "method"))
+
+
+def run_all_districts(train: DataFrame, test: DataFrame, model_type: str = "ensemble", **kw):
+    """(predictions, summary) of the top districts with one model type: ``ensemble`` (random
+    forest and boosting, blended) or one of linear, ridge, lasso, rf, lgbm."""
+    if model_type == "ensemble":
+        return ensemble_run(train, test, **kw)
+    return single_model_run(train, test, model_type, **kw)

@@ -103,12 +103,17 @@ def q_kmeans_elbow(spark, d):
 
 @query("kmeans_assign")
 def q_kmeans_assign(spark, d):
+    """Every pickup with its cluster."""
     from . import standins as si
-    return rounded(CL.kmeans_report(si.pickups(spark, d)))
+    points, _ = CL.kmeans_assign(si.pickups(spark, d))
+    return points.select("event_id", F.col("Cluster").alias("cluster"))
 
 
-@query("sample_n")
+@query("sample_n", """SELECT l_orderkey, l_linenumber FROM (
+  SELECT l_orderkey, l_linenumber, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS id FROM lineitem)
+ORDER BY md5(id || ':42'), id LIMIT 2000""")
 def q_sample_n(spark, d):
-    """100,000 pickups drawn reproducibly (seed 42); all of them when there are fewer."""
-    from . import standins as si
-    return CL.sample_n(si.pickups(spark, d), 100_000, 42).select("event_id", "Lat", "Lon")
+    """2,000 line items drawn reproducibly (seed 42)."""
+    li = spark.read.parquet(f"{d}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("id"))
+    return CL.sample_n(li, 2000, 42, "id").drop("id")

@@ -34,16 +34,10 @@ def q_scan_skip_bad_file(spark, d):
     """Raw files plus a file without coordinates (orders) and a missing path: the bad
     ones are skipped, the good ones read as one table."""
     base = scratch_path(spark, "skip")
-    si.raw_pickups(spark, d).coalesce(1).write.option("header", True).csv(f"{base}/good")
-    si.table(spark, d, "orders").select("o_orderkey", "o_orderdate").coalesce(1) \
+    si.raw_pickups(spark, d).write.option("header", True).csv(f"{base}/good")
+    si.table(spark, d, "orders").select("o_orderkey", "o_orderdate") \
         .write.option("header", True).csv(f"{base}/bad")
-    sc = spark.sparkContext
-    fsmod = sc._jvm.org.apache.hadoop.fs
-    files = []
-    for sub in ("good", "bad"):
-        pth = fsmod.Path(f"{base}/{sub}")
-        fs = pth.getFileSystem(sc._jsc.hadoopConfiguration())
-        files += [s.getPath().toString() for s in fs.listStatus(pth) if s.getPath().getName().endswith(".csv")]
+    files = [f for sub in ("good", "bad") for f in spark.read.text(f"{base}/{sub}").inputFiles()]
     files.append(f"{base}/missing.csv")
     return FS.scan_many_union(spark, files).select("pickup_datetime", "Lat", "Lon")
 
@@ -61,9 +55,8 @@ def q_scan_skip_bad_rows(spark, d):
                             F.concat_ws(",", "timestamp_utc", "step", "status", "duration_min"))
                       .otherwise(F.concat_ws(",", "timestamp_utc", "step", "status", "duration_min", "details"))
                       .alias("value"))
-    head = spark.createDataFrame([(",".join(RL.LOG_COLUMNS),)], "value string")
     path = scratch_path(spark, "log_txt")
-    head.union(body).coalesce(1).write.text(path)
+    body.write.text(path)
     return RL.read_log_csv(spark, path)
 
 
@@ -136,12 +129,15 @@ def q_sink_csv(spark, d):
 
 @query("sink_append_log", "WITH " + si.RUNLOG_SQL + "\nSELECT * FROM runlog")
 def q_sink_append_log(spark, d):
-    """Log rows appended in two batches to the log table and read back whole."""
+    """Log rows appended in two batches to the log table and read back; a step logged through
+    ``log_pipeline_step`` lands in the same table (and is left out of the result, since it
+    carries the time of the run)."""
     path = scratch_path(spark, "append_log")
     log = si.run_log(spark, d)
+    RL.log_pipeline_step(spark, path, "self check", "success", 0.0)
     log.where(F.col("status").isNull()).write.mode("append").parquet(path)
     log.where(F.col("status").isNotNull()).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).where("step IS NULL OR step != 'self check'")
 
 
 @query("publish_latest", "WITH " + PREDS_SQL + "\nSELECT district, " + ", ".join(
@@ -307,42 +303,46 @@ def q_sequence_job(spark, d):
 
 @query("single_model_run")
 def q_single_model_run(spark, d):
-    """One model type per top-10 district (here: ridge) with the lag-1 comparison."""
+    """The linear model types one after the other, per top-10 district, with the lag-1
+    comparison and the type of each row (the tree types are ``rf_fit`` and ``gbm_fit``)."""
     from . import modeling as MR
     from .q_models import train_test
     tr, te = train_test(spark, d)
-    return rounded(MR.single_model_run(tr, te, "ridge")[1])
+    parts = [MR.single_model_run(tr, te, kind)[1].withColumn("model_type", F.lit(kind)) for kind in ("linear", "ridge", "lasso")]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @query("run_all_districts")
 def q_run_all_districts(spark, d):
-    """All top-10 districts with one model type (lasso) and the summary with the mean."""
+    """All top-10 districts with the default model type, the blended ensemble."""
     from . import modeling as MR
-    from .q_models import train_test
+    from .q_models import QUERY_GBM, QUERY_RF, train_test
     tr, te = train_test(spark, d)
-    return rounded(MR.single_model_run(tr, te, "lasso")[1])
+    return rounded(MR.run_all_districts(tr, te, rf_params=QUERY_RF, gbm_params=QUERY_GBM)[1])
 
 
 @query("gbm_early_stop")
 def q_gbm_early_stop(spark, d):
-    """Boosting with early stopping on the 14-day validation cut: rounds kept per district."""
+    """Boosting with early stopping on the 14-day validation cut: trees kept per district and
+    the round of least validation error."""
     from ..operators import models as MD
     from ..operators import splits as spl
     from . import modeling as MR
     from .q_models import QUERY_GBM, train_test
-    from pyspark.ml import Pipeline
     tr, te = train_test(spark, d)
     names = MR.top_names(tr)
     data = spl.cutoff_split(MR.relag_train_test(tr, te, names).where("split = 'train'"))
     data = data.withColumn("_is_val", F.col("fit_split") == "val").withColumn("_label", F.col("pickups").cast("double"))
     feats = MD.BASE_FEATURES + MD.ENSEMBLE_EXTRA
 
+    ready = MD._assembler(feats).transform(data)
+
     def fit(name):
-        p = Pipeline(stages=[MD._assembler(feats), MD._estimator("gbm", QUERY_GBM, "_label", "_is_val")])
-        m = p.fit(data.where(F.col("cd_name") == name))
-        return (name, int(m.stages[-1].getNumTrees))
+        part = ready.where(F.col("cd_name") == name)
+        model, errors = MD.fit_boosted(part.where("NOT _is_val"), part.where("_is_val"), QUERY_GBM, "_label")
+        return (name, int(model.getNumTrees), MD.best_round(errors)[0] if errors else int(model.getNumTrees))
     rows = MD._in_parallel(fit, names, 8)
-    return spark.createDataFrame(rows, "cd_name string, n_trees int")
+    return spark.createDataFrame(rows, "cd_name string, n_trees int, best_round int")
 
 
 @query("end_to_end_run")

@@ -54,16 +54,9 @@ def q_scan_many_union(spark, d):
     b = p.where(~F.col("Base").isin("view", "click")).select(
         F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss").alias("pickup_datetime"),
         F.col("Lat").alias("latitude"), F.col("Lon").alias("longitude"))
-    a.coalesce(1).write.option("header", True).csv(f"{base}/a")
-    b.coalesce(1).write.option("header", True).csv(f"{base}/b")
-    sc = spark.sparkContext
-    jvm_fs = sc._jvm.org.apache.hadoop.fs
-    conf = sc._jsc.hadoopConfiguration()
-    files = []
-    for sub in ("a", "b"):
-        pth = jvm_fs.Path(f"{base}/{sub}")
-        fs = pth.getFileSystem(conf)
-        files += [st.getPath().toString() for st in fs.listStatus(pth) if st.getPath().getName().endswith(".csv")]
+    a.write.option("header", True).csv(f"{base}/a")
+    b.write.option("header", True).csv(f"{base}/b")
+    files = [f for sub in ("a", "b") for f in spark.read.text(f"{base}/{sub}").inputFiles()]
     u = FS.scan_many_union(spark, files)
     return u.select("pickup_datetime", "Lat", "Lon", "pickups")
 
@@ -133,7 +126,7 @@ def q_clean_job_per_file(spark, d):
     each file separately."""
     base = scratch_path(spark, "raw_files")
     raw = si.raw_pickups(spark, d)
-    raw.repartition("Base").write.partitionBy("Base").option("header", True).csv(base)
+    raw.write.partitionBy("Base").option("header", True).csv(base)
     df = (spark.read.schema(T.StructType(RAW_SCHEMA.fields[:3])).option("header", True)
           .option("recursiveFileLookup", False).csv(base)
           .withColumn("Base", F.regexp_extract(F.col("_metadata.file_path"), "Base=([^/]+)", 1))

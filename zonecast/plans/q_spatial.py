@@ -79,7 +79,8 @@ def q_district_top_report(spark, d):
 @query("topk_semi_join", "WITH " + _TOP_GRID_SQL + """
 SELECT event_id, cd_name FROM gpts WHERE cd_name IN (SELECT cd_name FROM top)""")
 def q_topk_semi_join(spark, d):
-    g = grid_points(spark, d)
+    from ..session import materialize
+    g = materialize(grid_points(spark, d).select("event_id", "cd_name"), "grid_points")  # the join runs once
     top = eda.topk_by_pickups(g).select("cd_name")     # at most k rows
     return g.join(F.broadcast(top), "cd_name", "left_semi").select("event_id", "cd_name")
 

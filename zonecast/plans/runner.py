@@ -90,7 +90,7 @@ def run(spark: SparkSession, cfg: Config, raw_points: DataFrame, polygons: DataF
         RS.sink_run(summary, f"{cfg.out}/summary_sequence", run_id)
 
     def hybrid():
-        p = RS.latest_run_by_name(spark.read.parquet(f"{cfg.out}/predictions"), run_id)
+        p = RS.run_rows(spark.read.parquet(f"{cfg.out}/predictions"), run_id)
         sel = lambda m: p.where(F.col("model") == m)
         preds, summary = MR.hybrid_run(sel("rf"), sel("lgbm"), sel("conv"))
         hp = preds.select("district", F.lit("hybrid").alias("model"), "pickup_datetime", "y_true",
@@ -99,13 +99,13 @@ def run(spark: SparkSession, cfg: Config, raw_points: DataFrame, polygons: DataF
         RS.sink_run(summary, f"{cfg.out}/summary_hybrid", run_id)
 
     def evaluate():
-        p = RS.latest_run_by_name(spark.read.parquet(f"{cfg.out}/predictions"), run_id)
+        p = RS.run_rows(spark.read.parquet(f"{cfg.out}/predictions"), run_id)
         ev = M.add_best_model(M.model_eval_table(p.where(F.col("model").isin(*M.EVAL_MODELS))))
         RS.sink_run(ev, f"{cfg.out}/evaluation", f"eval_{run_id}")
 
     def forecast():
-        ev = RS.latest_run_by_name(spark.read.parquet(f"{cfg.out}/evaluation"), "eval_")
-        p = RS.latest_run_by_name(spark.read.parquet(f"{cfg.out}/predictions"), run_id)
+        ev = RS.run_rows(spark.read.parquet(f"{cfg.out}/evaluation"), f"eval_{run_id}")
+        p = RS.run_rows(spark.read.parquet(f"{cfg.out}/predictions"), run_id)
         tab = FC.forecast_table(ev.drop("run_id", "written_at"), p, sp.polygon_centroids(polygons))
         _w(tab, cfg, "forecast_next_hour")
 
@@ -119,11 +119,12 @@ def run(spark: SparkSession, cfg: Config, raw_points: DataFrame, polygons: DataF
         try:
             fn()
         except Exception as e:  # noqa: BLE001 - logged, pipeline stops
-            log_pipeline_step(spark, log_path, name, "failed", round((time.time() - t0) / 60, 2), str(e)[:200])
+            log_pipeline_step(spark, log_path, name, "failed", round((time.time() - t0) / 60, 2), str(e))
             status[name] = "failed"
             break
         log_pipeline_step(spark, log_path, name, "success", round((time.time() - t0) / 60, 2), f"run={run_id}")
         status[name] = "success"
     if status and all(v == "success" for v in status.values()):
-        RS.publish_latest(spark, f"{cfg.out}/evaluation", f"{cfg.out}/forecast_latest", "eval_")
+        if not RS.publish_latest(spark, f"{cfg.out}/evaluation", f"{cfg.out}/forecast_latest", "eval_"):
+            raise ValueError("the run succeeded but left no evaluation to publish")
     return status

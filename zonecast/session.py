@@ -8,6 +8,7 @@ materialises a DataFrame under the cluster's shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read. Only when it is
-    unset (a bare local test session) a fresh scratch folder is set.
+    unset in a single-process local session (tests) a fresh scratch folder is set; elsewhere
+    that is an error, since executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[.*\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to storage that all executors share")
         configured = tempfile.mkdtemp(prefix="zonecast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +19,10 @@ from ..operators.clean import LAT_ALIASES, LON_ALIASES, TIME_PRIORITY
 
 
 def scan_csv(spark: SparkSession, path, schema=None, header: bool = True, with_file: bool = False,
-             ignore_corrupt_files: bool = True) -> DataFrame:
+             ignore_corrupt_files: bool = False) -> DataFrame:
     """Headered CSV. With no schema every column is read as text (a declared schema is
-    preferred; inference would scan the data twice). Unreadable files are skipped."""
+    preferred; inference would scan the data twice). An unreadable file is an error unless
+    the caller asks to skip such files."""
     r = (spark.read.option("header", header).option("ignoreCorruptFiles", ignore_corrupt_files)
          .option("mode", "PERMISSIVE"))
     if schema is not None:
@@ -41,25 +43,32 @@ def scan_csv_dates(spark: SparkSession, path, schema: T.StructType, date_cols=("
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one headered CSV file (reads one line)."""
-    first = spark.read.text(path).limit(1).collect()
-    return [c.strip() for c in first[0][0].split(",")] if first else []
+    """Column names of one headered CSV file, by the CSV reader (quotes included)."""
+    return [c.strip() for c in spark.read.option("header", True).csv(path).columns]
 
 
 def scan_many_union(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The union of :func:`scan_many_report` without the list of skipped files."""
+    return scan_many_report(spark, files)[0]
+
+
+def scan_many_report(spark: SparkSession, files: list[str]) -> tuple[DataFrame, DataFrame]:
     """Read raw pickup files with differing header spellings as one table
     (pickup_datetime, Lat, Lon, pickups=1, source_file).
 
     Files are grouped by header (metadata only: one line each); each group is one
-    distributed read renamed to the common names; groups are united by name. A file
-    without a usable time or coordinate column is skipped; none left is an error.
+    distributed read renamed to the common names; groups are united by name. A missing
+    file or one without a usable time or coordinate column is skipped and listed with the
+    reason in the second result (file, reason); none left is an error, as is a file that
+    breaks while it is read.
     """
+    skipped: list[tuple[str, str]] = []
     groups: dict[tuple, list[str]] = {}
     for f in files:
         try:
             groups.setdefault(tuple(_header(spark, f)), []).append(f)
-        except Exception:  # unreadable file: skipped, like the reference's per-file try
-            continue
+        except AnalysisException as e:
+            skipped.append((f, str(e).splitlines()[0]))
     parts = []
     for cols, paths in groups.items():
         low = [c.lower() for c in cols]
@@ -67,6 +76,7 @@ def scan_many_union(spark: SparkSession, files: list[str]) -> DataFrame:
         lat = next((c for c, lc in zip(cols, low) if lc in LAT_ALIASES), None)
         lon = next((c for c, lc in zip(cols, low) if lc in LON_ALIASES), None)
         if not (tcol and lat and lon):
+            skipped += [(f, "no time or coordinate column: " + ", ".join(cols)) for f in paths]
             continue
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         df = spark.read.schema(schema).option("header", True).csv(paths)
@@ -77,11 +87,11 @@ def scan_many_union(spark: SparkSession, files: list[str]) -> DataFrame:
                                F.lit(1).alias("pickups"),
                                F.col("_metadata.file_name").alias("source_file")))
     if not parts:
-        raise ValueError("No valid cleaned files found.")
+        raise ValueError(f"no file has a time and a coordinate column; skipped: {skipped}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return out, spark.createDataFrame(skipped, "file string, reason string")
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
@@ -97,8 +107,8 @@ def sink_table(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite
 
 def ingest_json(spark: SparkSession, landing: str, out: str, ingest_date: _dt.date | None = None,
                 array_documents: bool = False, schema=None) -> DataFrame:
-    """JSON records landed by the fetcher -> tabular rows appended under
-    ``out/ingest_date=YYYYMMDD`` (the reference names its file by date).
+    """JSON records landed by the fetcher -> tabular rows under
+    ``out/ingest_date=YYYYMMDD``; ingesting a day again replaces that day.
     ``array_documents``: each file is one JSON array of records (an API response)
     instead of one record per line."""
     day = (ingest_date or _dt.datetime.now(_dt.timezone.utc).date()).strftime("%Y%m%d")
@@ -106,7 +116,8 @@ def ingest_json(spark: SparkSession, landing: str, out: str, ingest_date: _dt.da
     if schema is not None:
         r = r.schema(schema)
     df = r.json(landing)
-    df.withColumn("ingest_date", F.lit(day)).write.mode("append").partitionBy("ingest_date").parquet(out)
+    df.withColumn("ingest_date", F.lit(day)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(out)
     return spark.read.parquet(f"{out}/ingest_date={day}").withColumn("ingest_date", F.lit(day))
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def sink_run(df: DataFrame, path: str, run_id: str, partition_by=("run_id",)) -> None:
-    """Append one run's rows (e.g. predictions partitioned by run_id, model, district).
+    """Write one run's rows (e.g. predictions partitioned by run_id, model, district).
+    Writing a partition (run, model) again replaces it, so a rerun leaves no duplicates.
 
     Rows are first hash-partitioned by the partition columns that vary within the run
     (never by the constant run_id, which would funnel the run into one task), so each
@@ -36,9 +38,9 @@ def sink_run(df: DataFrame, path: str, run_id: str, partition_by=("run_id",)) ->
     even for the busiest district."""
     out = df.withColumn("run_id", F.lit(run_id)).withColumn("written_at", F.current_timestamp())
     varying = [c for c in partition_by if c != "run_id"]
-    if varying:
-        out = out.repartition(*varying)
-    (out.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if varying:  # with the district, so that one model's rows are not one task's
+        out = out.repartition(*varying, *[c for c in ("district", "cd_name") if c in df.columns and c not in varying])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*partition_by).parquet(path))
 
 
@@ -49,6 +51,11 @@ def latest_run_by_name(table: DataFrame, prefix: str) -> DataFrame:
     return runs.where(F.col("run_id") == last)
 
 
+def run_rows(table: DataFrame, run_id: str) -> DataFrame:
+    """Rows of exactly this run."""
+    return table.where(F.col("run_id") == run_id)
+
+
 def latest_run_by_mtime(table: DataFrame, prefix: str) -> DataFrame:
     """Rows of the run written last (``written_at``), among ids starting with ``prefix``."""
     runs = table.where(F.col("run_id").startswith(prefix))
@@ -60,8 +67,10 @@ def publish_latest(spark: SparkSession, eval_path: str, out_path: str, prefix: s
     """Copy the newest evaluation run to a fixed 'latest' table; False when none exists."""
     try:
         t = spark.read.parquet(eval_path)
-    except Exception:  # no table yet
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet
+            return False
+        raise
     latest = latest_run_by_name(t, prefix)
     if latest.isEmpty():
         return False
