@@ -5,7 +5,7 @@ Fitting uses labelled rows only, at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` c
 (the ``MAX_TERMS`` terms that differ most between the classes) and the example vectors;
 the document frequencies behind the TF-IDF weights are counted over all documents.
 
-The index keeps examples in blocks of 64 with, per term, the postings of every block and
+The index keeps examples in blocks of 128 with, per term, the postings of every block and
 the largest weight in it. A query adds up the block maxima of its terms, visits blocks by
 falling bound and stops when a bound is below the k-th best cosine, so the k nearest are
 exact. Their votes, weighted by cosine and by how many labelled rows an example stands
@@ -37,7 +37,9 @@ from pyspark.sql import types as T
 from zonecast.session import materialize
 
 MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 2000, 4000, 2000
-NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT, STEMS = 15, 64, 0.05, 5, (4, 5, 6)
+NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT, STEMS = 15, 128, 0.05, 5, (4, 5, 6)
+#: Score memo of a worker (texts with the same term counts have the same score).
+MEMO_SIZE = 50_000
 _TERM = re.compile(r"\w+")
 
 
@@ -51,13 +53,19 @@ def terms_of(word: str) -> list[str]:
     return [word, *[word[:n] + "-" for n in STEMS if len(word) > n]]
 
 
-def term_counts(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
-    out: Counter[int] = Counter()
+def heads_of(vocabulary: dict[str, int]) -> set[str]:
+    """First characters of the terms: a word that begins otherwise has none of them."""
+    return {t[:STEMS[0]] for t in vocabulary}
+
+
+def term_counts(text: str | None, vocabulary: dict[str, int], heads: set[str]) -> dict[int, int]:
+    out: dict[int, int] = {}
     for word, n in Counter(_TERM.findall((text or "").lower())).items():
-        for t in terms_of(word):
-            k = vocabulary.get(t)
-            if k is not None:
-                out[k] += n
+        if word[:STEMS[0]] in heads:
+            for t in terms_of(word):
+                k = vocabulary.get(t)
+                if k is not None:
+                    out[k] = out.get(k, 0) + n
     return out
 
 
@@ -72,6 +80,10 @@ class Model:
     blocks: list = field(default_factory=list)   # per block: (sorted terms, [terms x examples] weights)
     maxima: np.ndarray | None = None             # [terms x blocks] largest weight
     knots: tuple = ()
+    memo: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.heads = heads_of(self.vocabulary)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         t = np.array(sorted(counts), int)
@@ -89,7 +101,7 @@ class Model:
         for lo in range(0, len(rows), BLOCK):
             part = rows[lo:lo + BLOCK]
             terms = np.unique(np.concatenate([r[3] for r in part]))
-            grid = np.zeros((len(terms), len(part)))
+            grid = np.zeros((len(terms), len(part)), np.float32)
             for k, r in enumerate(part):
                 grid[np.searchsorted(terms, r[3]), k] = r[4]
             top = np.zeros(len(self.vocabulary))
@@ -105,13 +117,13 @@ class Model:
             return pos, cos
         bound = w @ self.maxima[t]
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(pos) >= k and bound[b] < cos[k - 1] - 1e-12):
+            if bound[b] <= 0 or (len(pos) >= k and bound[b] < cos[k - 1] - 1e-6):
                 break
             terms, grid = self.blocks[b]
             at = np.searchsorted(terms, t)
             at[at == len(terms)] = 0
             hit = terms[at] == t
-            c = w[hit] @ grid[at[hit]]
+            c = w[hit] @ grid[at[hit]].astype(float)
             p = b * BLOCK + np.arange(len(c))
             ok = (c > 0) & (p != skip)
             pos, cos = np.append(pos, p[ok]), np.append(cos, c[ok])
@@ -142,7 +154,16 @@ class Model:
         self.knots = (np.array([s[0] / s[2] for s in stack]), np.array([s[1] / s[2] for s in stack]))
 
     def score(self, text: str | None) -> tuple[float, list[tuple]]:
-        t, w = self.vector(term_counts(text, self.vocabulary))
+        counts = term_counts(text, self.vocabulary, self.heads)
+        key = tuple(sorted(counts.items()))
+        if key not in self.memo:
+            if len(self.memo) >= MEMO_SIZE:
+                self.memo.clear()
+            self.memo[key] = self._score(counts)
+        return self.memo[key]
+
+    def _score(self, counts: dict[int, int]) -> tuple[float, list[tuple]]:
+        t, w = self.vector(counts)
         pos, cos = self.nearest(t, w)
         raw = self.vote(pos, cos)
         fitted = float(np.interp(raw, *self.knots)) if len(self.knots) and len(self.knots[0]) else raw
@@ -180,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     model = Model(vocabulary, idf)
     weight = {y: totals.get(y, 0) / size[y] for y in (0, 1)}
     model.prior = totals.get(1, 0) / max(1, sum(totals.values()))
-    counted = F.pandas_udf(lambda s: s.map(lambda t: [x for kv in sorted(term_counts(t, vocabulary).items()) for x in kv]),
+    heads = heads_of(vocabulary)
+    counted = F.pandas_udf(lambda s: s.map(lambda t: [x for kv in sorted(term_counts(t, vocabulary, heads).items()) for x in kv]),
                            T.ArrayType(T.IntegerType()))
     rows = [(r["id"], r["y"], weight[r["y"]], dict(zip(r["c"][::2], r["c"][1::2])))
             for r in sample.select("id", "y", counted("text").alias("c")).collect()]  # the bounded sample
@@ -191,13 +213,13 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 def _idf(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
     """Inverse document frequencies over all documents, counted per task and then summed."""
-    n = len(vocabulary)
+    n, heads = len(vocabulary), heads_of(vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, total = np.zeros(n, "i8"), 0
         for b in batches:
             for t in b["text"]:
-                seen[list(term_counts(t, vocabulary))] += 1
+                seen[list(term_counts(t, vocabulary, heads))] += 1
             total += len(b)
         yield pd.DataFrame({"term": np.append(np.flatnonzero(seen), -1), "n": np.append(seen[seen > 0], total)})
 
