@@ -26,6 +26,7 @@ DEFAULT_CELL_SIZE = 0.01
 # Rows of the polygon-cell table above which it is not broadcast (about 100 bytes per
 # vertex-free row plus the ring arrays; the check keeps it far below executor memory).
 BROADCAST_MAX_CELLS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20   # of the cell table: every cell row carries rings or edges
 # Polygon parts with at most this many vertices are tested whole (no cell index).
 SIMPLE_MAX_VERTICES = 64
 
@@ -120,7 +121,7 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
     """
     if key == "id":
         ids = district_ids(polygons, name_col)
-        polygons = polygons.join(F.broadcast(ids), name_col).drop(name_col) \
+        polygons = polygons.join(ids, name_col).drop(name_col) \
                            .withColumnRenamed("district_id", name_col)
     # one small aggregate over the polygon table: its complexity (for method="auto") and
     # the number of bounding-box cells, which is the exact row count of the bbox cell
@@ -129,8 +130,10 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
     csl = F.lit(float(cell_size))
     n_cells_expr = ((F.floor(b["maxx"] / csl) - F.floor(b["minx"] / csl) + 1)
                     * (F.floor(b["maxy"] / csl) - F.floor(b["miny"] / csl) + 1))
-    meta = polygons.agg(F.max(F.size(F.flatten("rings"))).alias("nv"), F.sum(n_cells_expr).alias("nc")).first()
-    nv, n_cells = (meta["nv"] or 0), (meta["nc"] or 0)
+    meta = polygons.agg(F.max(F.size(F.flatten("rings"))).alias("nv"), F.sum(n_cells_expr).alias("nc"),
+                        F.sum(n_cells_expr * (F.size(F.flatten("rings")) * 24 + 100)).alias("nb")).first()
+    nv, n_cells, n_bytes = (meta["nv"] or 0), (meta["nc"] or 0), (meta["nb"] or 0)
+    small = n_cells <= broadcast_max_cells and n_bytes <= BROADCAST_MAX_BYTES
     if method == "auto":
         method = "bbox" if nv <= SIMPLE_MAX_VERTICES else "index"
     cs = F.lit(float(cell_size))
@@ -138,13 +141,13 @@ def spatial_within_join(points: DataFrame, polygons: DataFrame, lon: str = "Lon"
                  .withColumn("_cy", F.floor(F.col(lat) / cs)))
     if method == "index":
         idx = polygon_cell_index(polygons, cell_size, name_col)
-        right = F.broadcast(idx) if n_cells <= broadcast_max_cells else idx
+        right = F.broadcast(idx) if small else idx
         hit = F.col("interior") | geo.point_within_edges("edges", F.col(lon), F.col(lat))
         out = (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
                   .drop("_cx", "_cy", "edges", "interior", "part_id"))
     else:
         cells = polygon_cells(polygons, cell_size, name_col)
-        right = F.broadcast(cells) if n_cells <= broadcast_max_cells else cells
+        right = F.broadcast(cells) if small else cells
         hit = geo.point_within(F.col("rings"), F.col(lon), F.col(lat))
         out = (pts.join(right, ["_cx", "_cy"], "inner").where(hit)
                   .drop("_cx", "_cy", "rings", "part_id"))

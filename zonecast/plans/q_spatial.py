@@ -36,7 +36,7 @@ def q_grid_feature_job(spark, d):
     polys = grid_polygons(spark)
     pts = sp.spatial_within_join(si.pickups(spark, d).drop("cd_name"), polys, key="id")
     h = feat.hourly_count(pts, key="district_id")
-    h = h.join(F.broadcast(sp.district_ids(polys)), "district_id").drop("district_id")
+    h = h.join(sp.district_ids(polys), "district_id").drop("district_id")
     return feat.add_lags(h, lags=(1, 24)).select("cd_name", "pickup_datetime", "pickups", "lag_1", "lag_24")
 
 

@@ -67,7 +67,7 @@ def run(spark: SparkSession, cfg: Config, raw_points: DataFrame, polygons: DataF
         # attached to the district-hour rows afterwards (a broadcast of one row per district)
         pts = sp.spatial_within_join(_t(spark, cfg, "cleaned"), polygons, key="id")
         hourly = feat.hourly_count(pts, key="district_id")
-        named = hourly.join(F.broadcast(sp.district_ids(polygons)), "district_id").drop("district_id")
+        named = hourly.join(sp.district_ids(polygons), "district_id").drop("district_id")
         _w(feat.build_features(named), cfg, "features_hourly")
 
     def split():
