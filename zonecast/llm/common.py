@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,14 @@ def groups_for(n_rows: int, rows_per_group: int) -> int:
     return max(1, math.ceil(n_rows / rows_per_group))
 
 
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker. Functions of this package travel to
+    the workers by value, with globals of their own per task; what is costly to build and
+    the same for every task (a tokenizer, its memo) is kept here instead."""
+    name = "zonecast_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name not in ``df``, so that working columns never clash with the caller's."""
     taken = {c.lower() for c in df.columns}

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import worker_cache
+
 #: Sequences a task keeps open, and remembered words of a worker's tokenizer.
 OPEN_BINS, MEMO_SIZE = 64, 600_000
 
@@ -198,9 +200,6 @@ class WordIds:
         return out
 
 
-_WORD_IDS: dict[str, WordIds] = {}
-
-
 def pack_texts(df: DataFrame, tokenizer_file: str, id: str = "doc_id", text: str = "text", end_id: int = 2,
                tokens: int = 4096, segments: int = 256, loss: int = 4096, open_bins: int = OPEN_BINS) -> DataFrame:
     """Tokenize every whole text, append ``end_id`` and pack; every token bears loss.
@@ -212,9 +211,10 @@ def pack_texts(df: DataFrame, tokenizer_file: str, id: str = "doc_id", text: str
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if tokenizer_file not in _WORD_IDS:
-            _WORD_IDS[tokenizer_file] = WordIds(tokenizer_file)
-        words = _WORD_IDS[tokenizer_file]
+        cache, key = worker_cache(), f"word_ids:{tokenizer_file}"
+        if key not in cache:
+            cache[key] = WordIds(tokenizer_file)
+        words = cache[key]
 
         def read(part: pa.RecordBatch):
             texts = part.column("text").to_pylist()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, worker_cache
 
 SPACE = "▁"
 #: Chunks and token pairs remembered by a worker before the memo starts anew.
@@ -142,14 +142,12 @@ class PrefixTableEncoder:
         return self.sp.decode(ids)
 
 
-_ENCODERS: dict[str, PrefixTableEncoder] = {}
-
-
 def encoder(model_file: str) -> PrefixTableEncoder:
     """One encoder per model and Python worker."""
-    if model_file not in _ENCODERS:
-        _ENCODERS[model_file] = PrefixTableEncoder(model_file)
-    return _ENCODERS[model_file]
+    cache, key = worker_cache(), f"piece_bpe:{model_file}"
+    if key not in cache:
+        cache[key] = PrefixTableEncoder(model_file)
+    return cache[key]
 
 
 def encode(df: DataFrame, model_file: str, text: str = "text", out: str = "ids", ends: bool = True) -> DataFrame:
