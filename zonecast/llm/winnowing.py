@@ -100,13 +100,17 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     next document and are edited to a shorter text; of rows sharing an id, the greatest
     text serves as "next"."""
     base = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    fp = fingerprint(base).withColumn("fp", hashes(F.col("fingerprint"))).select("id", "text", "fp")
+    every = fingerprint(base).withColumn("fp", hashes(F.col("fingerprint"))).select("id", "text", "fp")
+    # both joins below read the very same rows, so their shuffle by id is made once
+    fp = every.where("id IS NOT NULL")
     nxt = next_ids(base, "id")
     quarter = F.floor(F.length("text") / 4).cast("int")
-    need = base.join(nxt, "id").groupBy(F.col("next_id").alias("id"), F.col("id").alias("before")).agg(F.max(quarter).alias("need"))
+    sizes = base.select("id", quarter.alias("q"))  # before the join, so that no text is shuffled for it
+    need = sizes.join(nxt, "id").groupBy(F.col("next_id").alias("id"), F.col("id").alias("before")).agg(F.max("q").alias("need"))
     heads = (fp.join(need, "id").select(F.col("before").alias("id"), F.expr("left(text, need)").alias("head"), F.col("fp").alias("next_fp"))
              .groupBy("id").agg(F.max(F.struct("head", "next_fp")).alias("h")).select("id", "h.*"))
-    joined = (fp.join(heads, "id", "left").withColumn("head", F.coalesce("head", F.lit("")))
+    alone = every.where("id IS NULL").withColumns({"head": F.lit(""), "next_fp": F.expr("cast(null as array<bigint>)")})
+    joined = (fp.join(heads, "id", "left").unionByName(alone).withColumn("head", F.coalesce("head", F.lit("")))
               .withColumn("next_fp", F.coalesce("next_fp", F.expr("cast(array() as array<bigint>)")))
               .withColumn("n", F.length("text").cast("long")).withColumn("q", quarter))
     edited = joined.withColumn("edited", F.expr("concat(left(text, int(n - q)), left(head, q))"))
