@@ -24,18 +24,22 @@ an empty table gives no rows; result columns replace same-named input columns.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.session import materialize
 
+from .common import worker_cache
+
 MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 2000, 4000, 2000
 NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT, STEMS = 15, 128, 0.05, 5, (4, 5, 6)
 #: Score memo of a worker (texts with the same term counts have the same score).
@@ -236,13 +240,19 @@ def _idf(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """Add ``score``, ``predicted`` (score >= threshold) and ``evidence`` (nearest examples:
     id as text, label, cosine)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # as bytes that carry their classes, so that workers need not have the package installed
+    shared, key = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), f"toxicity:{uuid.uuid4().hex}"
     kind = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.StructType([
         T.StructField("id", T.StringType()), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType())])))])
 
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        cache = worker_cache()
+        if key not in cache:
+            for old in [k for k in cache if k.startswith("toxicity:")]:
+                del cache[old]
+            cache[key] = cloudpickle.loads(shared.value)
+        m = cache[key]
         for b in batches:
             got = [m.score(t) for t in b]
             yield pd.DataFrame({"score": [s for s, _ in got],
