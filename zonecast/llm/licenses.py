@@ -60,7 +60,7 @@ def canonical(text: Column) -> Column:
     t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     for a, b in EQUIVALENT:
         t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(F.regexp_replace(t, " +", " "))
+    return F.trim(t)  # blanks are single inside already
 
 
 def digest(text: Column) -> Column:

@@ -183,7 +183,7 @@ def _canonical_sql(t: str) -> str:
     t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
     for a, b in licenses.EQUIVALENT:
         t = f"replace({t}, ' {a} ', ' {b} ')"
-    return f"trim(regexp_replace({t}, ' +', ' ', 'g'), ' ')"
+    return f"trim({t}, ' ')"
 
 
 def _text_sql(s: str) -> str:
