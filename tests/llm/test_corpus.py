@@ -136,7 +136,7 @@ def test_pack_texts(spark, docs, rows):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    odd = [(900, "It's  12<|endoftext|>\tx\u00a0y\x1cz e\u0301\n\nİ ΣΑΣ"), (901, "")]
+    odd = [(900, "It's  12<|endoftext|>\tx\u00a0y\x1cz e\u0301\n\nİ ΣΑΣ"), (901, ""), (902, "a<|startoftext|>b <|startoftext|> <|endoftext|><|startoftext|> <|start c")]
     df = docs.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
     got = packing.pack_texts(df, path, tokens=64, segments=3, loss=60).collect()
     ids = {i: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for i, t in [*rows, *odd]}
