@@ -69,6 +69,15 @@ def kmeans_assign(points: DataFrame, k: int = K, seed: int = SEED):
     return m.transform(v).drop("features"), cents
 
 
+def assign_nearest(points: DataFrame, cents: DataFrame) -> DataFrame:
+    """``points`` with the ``Cluster`` of the nearest of the given centres (k rows, brought to
+    the driver; of equally near ones the smaller number)."""
+    def gap(c):
+        return F.pow(F.col("Lat") - c["Centroid_Lat"], 2) + F.pow(F.col("Lon") - c["Centroid_Lon"], 2)
+    near = F.array_min(F.array(*[F.struct(gap(c).alias("d"), F.lit(c["Cluster"]).alias("k")) for c in cents.collect()]))
+    return points.withColumn("Cluster", near["k"])
+
+
 def cluster_report(assigned: DataFrame, cents: DataFrame) -> DataFrame:
     """Count, share, mean point and mean distance to the centre of every centroid's cluster,
     in one grouped pass over the points, left-joined to the centroids (k rows, broadcast)."""

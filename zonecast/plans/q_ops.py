@@ -257,28 +257,44 @@ def q_model_presence_join(spark, d):
     return out
 
 
-# -- clustering pieces (rows-only) ---------------------------------------------------
+# -- clustering pieces, with given centres (the fit itself is ``kmeans_assign``) ----------
+
+# four centres in the city box and one far away, which receives no point
+CENTRES = [(0, 40.58, -74.02), (1, 40.66, -73.93), (2, 40.83, -73.98), (3, 40.91, -73.72), (4, 10.0, 10.0)]
+_CLUSTER_SQL = "WITH " + si.PICKUPS_SQL + """,
+cen(Cluster, clat, clon) AS (VALUES """ + ", ".join(f"({k}, CAST({a} AS DOUBLE), CAST({o} AS DOUBLE))" for k, a, o in CENTRES) + """),
+asg AS (SELECT event_id, any_value(Lat) AS Lat, any_value(Lon) AS Lon,
+          CAST(arg_min(Cluster, (Lat - clat) * (Lat - clat) + (Lon - clon) * (Lon - clon)) AS INTEGER) AS Cluster
+        FROM pickups, cen GROUP BY event_id),
+rep AS (SELECT asg.Cluster, COUNT(*) AS Pickups, round_even(COUNT(*) / (SELECT COUNT(*) FROM asg) * 100, 2) AS Pct_of_Total,
+          round(AVG(Lat), 6) AS Avg_Lat, round(AVG(Lon), 6) AS Avg_Lon,
+          round_even(AVG(sqrt((Lat - clat) * (Lat - clat) + (Lon - clon) * (Lon - clon))), 4) AS Radius
+        FROM asg JOIN cen USING (Cluster) GROUP BY asg.Cluster)
+"""
+
 
 def _assigned(spark, d):
-    return CL.kmeans_assign(si.pickups(spark, d))
+    cents = spark.createDataFrame(CENTRES, "Cluster int, Centroid_Lat double, Centroid_Lon double")
+    return CL.assign_nearest(si.pickups(spark, d), cents), cents
 
 
-@query("cluster_summary")
+@query("cluster_summary", _CLUSTER_SQL + "SELECT Cluster, Pickups, Avg_Lat, Avg_Lon, Pct_of_Total FROM rep")
 def q_cluster_summary(spark, d):
     a, _ = _assigned(spark, d)
     return rounded(CL.cluster_summary(a))
 
 
-@query("cluster_radius")
+@query("cluster_radius", _CLUSTER_SQL + "SELECT Cluster, Radius FROM rep")
 def q_cluster_radius(spark, d):
     a, c = _assigned(spark, d)
     return rounded(CL.cluster_radius(a, c))
 
 
-@query("cluster_left_join")
+@query("cluster_left_join", _CLUSTER_SQL + """
+SELECT CAST(cen.Cluster AS INTEGER) AS Cluster, Pickups, Pct_of_Total, Avg_Lat, Avg_Lon, Radius FROM cen LEFT JOIN rep ON rep.Cluster = cen.Cluster""")
 def q_cluster_left_join(spark, d):
-    """Centroids left-joined with the per-cluster statistics."""
-    return rounded(CL.kmeans_report(si.pickups(spark, d)))
+    """Centroids left-joined with the per-cluster statistics (one of them is empty)."""
+    return rounded(CL.cluster_report(*_assigned(spark, d)))
 
 
 # -- job-level compositions ---------------------------------------------------------
