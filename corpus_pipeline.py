@@ -6,7 +6,9 @@ repeated passages, and what is left is tokenized and packed. Every stage works o
 its predecessor kept, is written as Parquet in the shared checkpoint folder and reread by
 the next, so a lost executor costs tasks, not stages.
 
-Defined results: null texts count as empty (not toxic, rejected by the quality rules);
+Defined results: null texts count as empty (not toxic, rejected by the quality rules); rows
+that repeat an id count as one document where near copies are dropped, and each keeps its own
+text; rows with a null id are packed under the null id;
 columns beyond those of ``documents`` are not carried; an empty table gives no rows.
 """
 
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm import minhash, packing, quality, substring, toxicity
+from zonecast.llm.common import words
 from zonecast.llm.queries import public_file
 from zonecast.session import materialize
 
@@ -37,17 +40,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, the one of least id, of each group linked at 0.8 over five-word shingles."""
     docs = docs.select(*COLUMNS)
-    kept = minhash.near_duplicates(docs, k=5, threshold=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    kept = minhash.near_duplicates(docs, k=5, threshold=80).where("kept").select(F.col("doc_id").alias("kept_id"))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out passages of 50 words or more that occur in a document of smaller id. A changed
     text is its kept words joined by one blank; a document left without words goes."""
     docs = docs.select(*COLUMNS)
-    cut = substring.remove_repeats(docs, width=50).where("n_removed > 0").select("doc_id", "kept_text", F.lit(True).alias("changed"))
+    cut = (substring.remove_repeats(docs, width=50).where("n_removed > 0")
+           .select("doc_id", "words_sha256", "kept_text", F.lit(True).alias("changed")).dropDuplicates(["doc_id", "words_sha256"]))
     text = F.when(F.col("changed"), F.coalesce("kept_text", F.lit(""))).otherwise(F.col("text"))
-    out = docs.join(cut, "doc_id", "left").withColumn("text", text).where("changed IS NULL OR text != ''")
+    # an id that repeats may stand for several texts: the digest of the words tells them apart
+    out = docs.withColumn("words_sha256", F.sha2(F.array_join(words(F.col("text")), " "), 256))
+    out = out.join(cut, ["doc_id", "words_sha256"], "left").withColumn("text", text).where("changed IS NULL OR text != ''")
     return out.withColumn("n_chars", F.when(F.col("changed"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

@@ -242,3 +242,16 @@ def test_pipeline(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF01).count() == 0
+
+
+def test_pipeline_stages_on_odd_ids(spark):
+    long = " ".join(f"a{i}" for i in range(80))
+    rows = [(1, long), (2, "the start of " + long + " and the end"), (2, "the other text of id two"), (2, "the start of " + long + " and the end"),
+            (None, "the text without an id"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.substring_stage(spark, docs, "").collect()), key=str)
+    want = [(1, long), *[(2, "the start of and the end")] * 2, (2, "the other text of id two"), (None, "the text without an id"), (None, None)]
+    assert got == sorted(want, key=str)
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, "").collect()
+    assert {r.doc_id for r in kept} == {1, None}  # id 2 is one document, a near copy of 1
+    assert corpus_pipeline.quality_stage(spark, docs, "").columns == docs.columns
