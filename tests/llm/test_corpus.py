@@ -205,6 +205,22 @@ def test_toxicity_held_out(spark):
     assert {r.score for r in toxicity.score(edge, toxicity.fit(docs, labels.limit(0))).collect()} == {0.0}
 
 
+def test_toxicity_learns_rare_terms(spark):
+    """Terms that only toxic rows have count however rare they are, whatever the bound on the others."""
+    rng = random.Random(5)
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1][:66]
+    prose = lambda: " ".join(rng.choice([f"common{k}" for k in range(40)]) for _ in range(30))
+    rows = [(i, prose() + ("" if k >= 6 else f" {'loser' if k % 2 else 'scum'}")) for k, i in enumerate(ids)]
+    labels = spark.createDataFrame([(i, int(k < 6)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for max_terms in (toxicity.MAX_TERMS, 0):
+        model = toxicity.fit(docs, labels, max_terms=max_terms)
+        assert {"loser", "scum"} <= set(model.vocabulary) and "common1" not in model.vocabulary
+        got = toxicity.score(spark.createDataFrame([(1, "common1 loser"), (2, "common1 day")], "doc_id long, text string"), model).collect()
+        score = {r.doc_id: r.score for r in got}
+        assert score[1] > score[2] and [e.label for r in got if r.doc_id == 1 for e in r.evidence] == [1, 1, 1]
+
+
 def test_rollup_deltas(spark, tmp_path):
     schema = "doc_id long, source string, lang string, version string, tokens long, extra string"
     one = spark.createDataFrame([(1, "a", "en", "v1", 10, ""), (2, "a", "en", "v1", 5, ""), (3, None, "en", "v1", 7, ""), (4, "b", "de", "v1", None, "")], schema)

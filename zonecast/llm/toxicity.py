@@ -1,14 +1,16 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under TF-IDF cosine over the model's terms.
 
 Fitting uses labelled rows only, at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean ones
 (those of least id hash; the bounds are parameters). From this sample come the vocabulary
-(the ``MAX_TERMS`` terms that differ most between the classes) and the example vectors;
-the document frequencies behind the TF-IDF weights are counted over all documents.
-
-The index keeps examples in blocks of 128 with, per term, the postings of every block and
-the largest weight in it. A query adds up the block maxima of its terms, visits blocks by
-falling bound and stops when a bound is below the k-th best cosine, so the k nearest are
-exact. Their votes, weighted by cosine and by how many labelled rows an example stands
+and the example vectors: every term that only one class has, however rare, and of the terms
+of both classes those of at least ``TERM_SUPPORT`` rows and log odds over 1 that are among
+the ``MAX_TERMS`` of greatest gain (terms that both classes use alike only blur the cosine).
+The document frequencies behind the TF-IDF weights are counted over all documents.
+
+The index keeps examples in blocks of 128; per term it has the postings, and for every block
+that holds the term the largest weight in it. A query adds up the block maxima of its terms,
+visits the blocks of greatest bound, then all others whose bound reaches the k-th best cosine,
+so the k nearest are exact. Their votes, weighted by cosine and by how many labelled rows an example stands
 for, plus a small prior, give a raw score; a monotone calibration (pool adjacent
 violators) fitted on leave-one-out votes of the sample turns it into a probability.
 
@@ -23,6 +25,7 @@ an empty table gives no rows; result columns replace same-named input columns.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 from collections import Counter
@@ -42,8 +45,9 @@ from .common import worker_cache
 
 MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 2000, 4000, 2000
 NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT, STEMS = 15, 128, 0.05, 5, (4, 5, 6)
-#: Score memo of a worker (texts with the same term counts have the same score).
-MEMO_SIZE = 50_000
+FIRST_BLOCKS = 4
+#: Memos of a worker: scores (texts with the same term counts have the same one), words.
+MEMO_SIZE, WORDS_SIZE = 10_000, 200_000
 _TERM = re.compile(r"\w+")
 
 
@@ -57,22 +61,27 @@ def terms_of(word: str) -> list[str]:
     return [word, *[word[:n] + "-" for n in STEMS if len(word) > n]]
 
 
-def heads_of(vocabulary: dict[str, int]) -> set[str]:
-    """First characters of the terms: a word that begins otherwise has none of them."""
-    return {t[:STEMS[0]] for t in vocabulary}
-
-
-def term_counts(text: str | None, vocabulary: dict[str, int], heads: set[str]) -> dict[int, int]:
+def term_counts(text: str | None, vocabulary: dict[str, int], seen: dict[str, tuple]) -> dict[int, int]:
+    """Counts of the vocabulary terms; ``seen`` remembers the terms of words."""
     out: dict[int, int] = {}
+    if len(seen) > WORDS_SIZE:
+        seen.clear()
     for word, n in Counter(_TERM.findall((text or "").lower())).items():
-        if word[:STEMS[0]] in heads:
-            for t in terms_of(word):
-                k = vocabulary.get(t)
-                if k is not None:
-                    out[k] = out.get(k, 0) + n
+        got = seen.get(word)
+        if got is None:
+            got = tuple(k for k in map(vocabulary.get, terms_of(word)) if k is not None)
+            if len(word) < 64:
+                seen[word] = got
+        for k in got:
+            out[k] = out.get(k, 0) + n
     return out
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, int]
@@ -81,17 +90,17 @@ class Model:
     labels: np.ndarray | None = None
     weights: np.ndarray | None = None
     prior: float = 0.0
-    blocks: list = field(default_factory=list)   # per block: (sorted terms, [terms x examples] weights)
-    maxima: np.ndarray | None = None             # [terms x blocks] largest weight
     knots: tuple = ()
+    vectors: list = field(default_factory=list)  # (terms, weights) of the examples until calibrated
+    postings: tuple | None = None                # (example, weight), by term and example
+    maxima: tuple | None = None                  # per term and block: (first posting, block, largest weight)
+    at: np.ndarray | None = None                 # first of a term's maxima
     memo: dict = field(default_factory=dict)
-
-    def __post_init__(self):
-        self.heads = heads_of(self.vocabulary)
+    seen: dict = field(default_factory=dict)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         t = np.array(sorted(counts), int)
-        w = np.array([1 + np.log(counts[k]) for k in t]) * self.idf[t] if len(t) else np.zeros(0)
+        w = (1 + np.log([counts[k] for k in t.tolist()])) * self.idf[t] if len(t) else np.zeros(0)
         return t, w / max(np.linalg.norm(w), 1e-12)
 
     def build(self, examples: list[tuple[object, int, float, dict[int, int]]]) -> None:
@@ -101,38 +110,49 @@ class Model:
         self.ids = [r[0] for r in rows]
         self.labels = np.array([r[1] for r in rows], float)
         self.weights = np.array([r[2] for r in rows], float)
-        self.blocks, bounds = [], []
-        for lo in range(0, len(rows), BLOCK):
-            part = rows[lo:lo + BLOCK]
-            terms = np.unique(np.concatenate([r[3] for r in part]))
-            grid = np.zeros((len(terms), len(part)), np.float32)
-            for k, r in enumerate(part):
-                grid[np.searchsorted(terms, r[3]), k] = r[4]
-            top = np.zeros(len(self.vocabulary))
-            top[terms] = grid.max(axis=1)
-            self.blocks.append((terms, grid))
-            bounds.append(top)
-        self.maxima = np.array(bounds).T if bounds else np.zeros((len(self.vocabulary), 0))
+        self.vectors, self.postings = [r[3:] for r in rows], None
+        if not rows:
+            return
+        term = np.concatenate([r[3] for r in rows])
+        pos = np.repeat(np.arange(len(rows)), [len(r[3]) for r in rows])
+        order = np.lexsort((pos, term))
+        term, pos, w = term[order], pos[order], np.concatenate([r[4] for r in rows])[order].astype(np.float32)
+        first = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(pos // BLOCK, prepend=-1))
+        self.postings = pos.astype(np.int32), w
+        self.maxima = np.append(first, len(pos)), (pos[first] // BLOCK).astype(np.int32), np.maximum.reduceat(w, first)
+        self.at = np.searchsorted(term[first], np.arange(len(self.vocabulary) + 1))
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples (ties by position), exact."""
         pos, cos = np.zeros(0, int), np.zeros(0)
-        if not len(t) or not self.blocks:
+        if not len(t) or self.postings is None:
             return pos, cos
-        bound = w @ self.maxima[t]
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(pos) >= k and bound[b] < cos[k - 1] - 1e-6):
-                break
-            terms, grid = self.blocks[b]
-            at = np.searchsorted(terms, t)
-            at[at == len(terms)] = 0
-            hit = terms[at] == t
-            c = w[hit] @ grid[at[hit]].astype(float)
-            p = b * BLOCK + np.arange(len(c))
-            ok = (c > 0) & (p != skip)
-            pos, cos = np.append(pos, p[ok]), np.append(cos, c[ok])
-            order = np.lexsort((pos, -cos))[:k]
-            pos, cos = pos[order], cos[order]
+        first, block, top = self.maxima
+        size = self.at[t + 1] - self.at[t]
+        entry, weight = _ranges(self.at[t], size), np.repeat(w, size)
+        bound = np.bincount(block[entry], weight * top[entry], -(-len(self.ids) // BLOCK))
+        order = np.argsort(-bound, kind="stable")
+        for late in (False, True):
+            turn = np.zeros(len(bound), bool)
+            turn[order[FIRST_BLOCKS:] if late else order[:FIRST_BLOCKS]] = True
+            turn &= bound > 0
+            if len(pos) >= k:
+                turn &= bound >= cos[k - 1] - 1e-6
+            if not turn.any():
+                continue
+            use = turn[block[entry]]
+            e = entry[use]
+            n = first[e + 1] - first[e]
+            p = _ranges(first[e], n)
+            every = np.bincount(self.postings[0][p], np.repeat(weight[use], n) * self.postings[1][p], len(self.ids))
+            if skip >= 0:
+                every[skip] = 0
+            found = np.flatnonzero(every > 0)
+            if len(found) > k:
+                found = found[every[found] >= np.partition(every[found], -k)[-k]]
+            pos, cos = np.append(pos, found), np.append(cos, every[found])
+            best = np.lexsort((pos, -cos))[:k]
+            pos, cos = pos[best], cos[best]
         return pos, cos
 
     def vote(self, pos: np.ndarray, cos: np.ndarray) -> float:
@@ -143,12 +163,9 @@ class Model:
         """Pool adjacent violators over leave-one-out votes; ``empty``: (label, weight) of
         the sampled rows without a vocabulary term."""
         points = [(self.prior, y, n) for y, n in empty]
-        for lo in range(0, len(self.ids), BLOCK):
-            terms, grid = self.blocks[lo // BLOCK]
-            for j in range(grid.shape[1]):
-                t = terms[grid[:, j] > 0]
-                p, c = self.nearest(t, grid[grid[:, j] > 0, j], skip=lo + j)
-                points.append((self.vote(p, c), self.labels[lo + j], self.weights[lo + j]))
+        for j, (t, w) in enumerate(self.vectors):
+            points.append((self.vote(*self.nearest(t, w, skip=j)), self.labels[j], self.weights[j]))
+        self.vectors = []
         stack: list[list[float]] = []  # [x sum, y sum, weight, least x, greatest x]
         for x, y, n in sorted(points):
             stack.append([x * n, y * n, n, x, x])
@@ -158,8 +175,8 @@ class Model:
         self.knots = (np.array([s[0] / s[2] for s in stack]), np.array([s[1] / s[2] for s in stack]))
 
     def score(self, text: str | None) -> tuple[float, list[tuple]]:
-        counts = term_counts(text, self.vocabulary, self.heads)
-        key = tuple(sorted(counts.items()))
+        counts = term_counts(text, self.vocabulary, self.seen)
+        key = hashlib.blake2b(np.array(sorted(counts.items()), "<i8").tobytes(), digest_size=16).digest()
         if key not in self.memo:
             if len(self.memo) >= MEMO_SIZE:
                 self.memo.clear()
@@ -196,17 +213,19 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     if not m1 or not m0:
         return Model({}, np.zeros(0), prior=1.0 if m1 and not m0 else 0.0)
     p1, p0 = (n1 + 0.5) / (m1 + 1), (n0 + 0.5) / (m0 + 1)
-    best = (sample.select("text", "y").mapInPandas(terms, "term string, y int").groupBy("term")
-            .agg((n1 + n0).alias("n"), (F.sqrt(n1 + n0) * F.abs(F.log(p1) - F.log(p0))).alias("gain"),
-                 (F.log(p1) - F.log(p0)).alias("odds"))
-            .where((F.col("n") >= TERM_SUPPORT) & (F.abs("odds") > 1)).orderBy(F.desc("gain"), "term").limit(max_terms))
-    vocabulary = {r["term"]: k for k, r in enumerate(best.select("term").collect())}
+    found = (sample.select("text", "y").mapInPandas(terms, "term string, y int").groupBy("term")
+             .agg((n1 + n0).alias("n"), (F.sqrt(n1 + n0) * F.abs(F.log(p1) - F.log(p0))).alias("gain"),
+                  (F.log(p1) - F.log(p0)).alias("odds"), ((n1 == 0) | (n0 == 0)).alias("single"))
+             .withColumn("strong", (F.col("n") >= TERM_SUPPORT) & (F.abs("odds") > 1))
+             .where("single OR strong").orderBy(F.desc("strong"), F.desc("gain"), "term").select("term", "single", "strong"))
+    found = found.toArrow().to_pandas()  # terms of the bounded sample
+    best = found["term"][found["single"] | (found["strong"] & (np.arange(len(found)) < max_terms))]
+    vocabulary = {t: k for k, t in enumerate(best)}
     idf = _idf(docs, text, vocabulary)
     model = Model(vocabulary, idf)
     weight = {y: totals.get(y, 0) / size[y] for y in (0, 1)}
     model.prior = totals.get(1, 0) / max(1, sum(totals.values()))
-    heads = heads_of(vocabulary)
-    counted = F.pandas_udf(lambda s: s.map(lambda t: [x for kv in sorted(term_counts(t, vocabulary, heads).items()) for x in kv]),
+    counted = F.pandas_udf(lambda s: s.map(lambda t: [x for kv in sorted(term_counts(t, vocabulary, {}).items()) for x in kv]),
                            T.ArrayType(T.IntegerType()))
     rows = [(r["id"], r["y"], weight[r["y"]], dict(zip(r["c"][::2], r["c"][1::2])))
             for r in sample.select("id", "y", counted("text").alias("c")).collect()]  # the bounded sample
@@ -217,23 +236,22 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 def _idf(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
     """Inverse document frequencies over all documents, counted per task and then summed."""
-    n, heads = len(vocabulary), heads_of(vocabulary)
+    n = len(vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, total = np.zeros(n, "i8"), 0
+        seen, total, words = np.zeros(n, "i8"), 0, {}
         for b in batches:
             for t in b["text"]:
-                seen[list(term_counts(t, vocabulary, heads))] += 1
+                seen[list(term_counts(t, vocabulary, words))] += 1
             total += len(b)
         yield pd.DataFrame({"term": np.append(np.flatnonzero(seen), -1), "n": np.append(seen[seen > 0], total)})
 
     got = (docs.select(F.col(text).alias("text")).mapInPandas(count, "term long, n long").groupBy("term")
-           .agg(F.sum("n").alias("n")).collect())  # one row per vocabulary term
-    found = {r["term"]: r["n"] for r in got}
-    total = found.pop(-1, 0)
+           .agg(F.sum("n").alias("n")).toArrow())  # one row per vocabulary term
+    term, count = (got[c].to_numpy() for c in ("term", "n"))
+    total = count[term == -1].sum()
     df = np.zeros(n)
-    for k, v in found.items():
-        df[k] = v
+    df[term[term >= 0]] = count[term >= 0]
     return np.log((1 + total) / (1 + df)) + 1
 
 
