@@ -117,6 +117,20 @@ def test_winnowing_guarantee_and_next(spark):
     assert winnowing.edited_likeness(df.limit(0)).count() == 0
 
 
+def test_likeness_on_both_sides_of_the_short_length(spark):
+    text = " ".join(f"word{i:03d}" for i in range(66))  # 527 characters
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(600))
+    rows = [(1, text + " ending of it"), (2, text[:500]), (3, "x"), (4, han), (5, "一 " + han[:440])]
+    assert [len(t) < 512 for _, t in rows] == [False, True, True, False, True]
+    out = {r.doc_id: r for r in winnowing.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    prints = {i: set(r.fingerprint.split()) for i, r in out.items()}
+    assert prints[1] & prints[2] and out[1].near_next > 0.5  # long, then short
+    assert prints[4] & prints[5] and out[4].near_next > 0.5  # without blanks
+    short_edit = spark.createDataFrame([(1, text + " ending of it"), (2, "x")], "doc_id long, text string")
+    first = winnowing.edited_likeness(short_edit).where("doc_id = 1").first()
+    assert first.n_chars >= 512 and first.near_edited > 0.5  # three quarters unchanged, the edited text under 512
+
+
 def test_edited_likeness_edges(spark, docs):
     got = winnowing.edited_likeness(docs).collect()
     assert len(got) == docs.count()

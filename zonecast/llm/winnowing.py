@@ -1,12 +1,17 @@
 """Document fingerprints by winnowing, as built-in column expressions.
 
 A text is a sequence of units: its words, or its characters when it has fewer than
-``char_below`` of them (so that short texts have enough units). Every run of k units is
-hashed; each window of w consecutive hashes keeps its least one, of equals the rightmost;
+``char_below`` of them (so that short texts have enough units). A word of more than
+``LONG_WORD`` characters counts as its characters, so texts without blanks have units too.
+Every run of k units is hashed; each window of w consecutive hashes keeps its least one, of equals the rightmost;
 positions kept by several windows count once. Any run of at least ``k + w - 1`` units that
 two texts (of the same kind of unit) share puts a common hash into both fingerprints, and
 no hash comes from fewer than k units.
 
+``edited_likeness`` gives every text its word fingerprint, and a short text its character
+fingerprint besides: two short texts are compared by both, any other pair by words, so the
+guarantee for ``K + W - 1`` shared words holds between any two texts, whatever their lengths.
+
 The window minima take about log2(w) array passes: a value carries the upper hash bits and the
 negated position, so one ``least`` decides hash and tie together. Everything is a
 projection over the row: no shuffle, no user function.
@@ -27,7 +32,7 @@ from zonecast.session import materialize
 
 from .common import fresh, words
 
-K, W, CHAR_K, CHAR_W, CHAR_BELOW = 3, 12, 5, 4, 512
+K, W, CHAR_K, CHAR_W, CHAR_BELOW, LONG_WORD = 3, 12, 5, 4, 512, 64
 _POSITION = (1 << 28) - 1  # low bits of a window value hold the negated position
 
 
@@ -40,6 +45,15 @@ def _offsets(w: int) -> list[int]:
     return out
 
 
+def _units(text: Column) -> Column:
+    """The words; a long one gives its characters instead."""
+    w = words(text)
+    long = rf"[^\x20\x09-\x0D]{{{LONG_WORD + 1}}}"
+    chars = F.flatten(F.transform(w, lambda x: F.when(F.length(x) > LONG_WORD, F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)))
+                                  .otherwise(F.array(x))))
+    return F.when(F.coalesce(text, F.lit("")).rlike(long), chars).otherwise(w)
+
+
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", k: int = K, w: int = W,
                 char_k: int = CHAR_K, char_w: int = CHAR_W, char_below: int = CHAR_BELOW) -> DataFrame:
     """Add ``out``: array of (hash, position) in text order, positions counted in units."""
@@ -48,7 +62,7 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", k:
     short, u, h, m, p = (fresh(df, x) for x in ("short", "units", "hashes", "minima", "places"))
     t = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn(short, F.length(t) < char_below)
-    df = df.withColumn(u, F.when(F.col(short), F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0))).otherwise(words(F.col(text))))
+    df = df.withColumn(u, F.when(F.col(short), F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0))).otherwise(_units(F.col(text))))
     gram = lambda n: f"transform(sequence(0, size({u}) - {n}), i -> xxhash64({', '.join(f'{u}[i + {j}]' for j in range(n))}))"
     df = df.withColumn(h, F.expr(f"""CASE WHEN size({u}) = 0 THEN cast(array() AS array<bigint>)
         WHEN size({u}) < if({short}, {char_k}, {k}) THEN array(xxhash64({u}))
@@ -74,6 +88,28 @@ def hashes(fp: Column) -> Column:
     return F.array_distinct(F.transform(fp, lambda x: x["hash"]))
 
 
+def unit_hashes(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: the hashes ``w`` of the words and ``c`` of the characters (null unless the text is short)."""
+    short, c, w = (fresh(df, x) for x in ("short_text", "by_char", "by_word"))
+    keep = [x for x in df.columns if x != out]
+    df = fingerprint(df, text, w, char_below=0)
+    df = df.withColumn(short, F.when(F.length(text) < CHAR_BELOW, F.col(text)))
+    df = fingerprint(df, short, c)
+    by_char = F.when(F.col(short).isNotNull(), hashes(F.col(c)))
+    return df.select(*keep, F.struct(hashes(F.col(w)).alias("w"), by_char.alias("c")).alias(out))
+
+
+def every_hash(u: Column) -> Column:
+    """Word and character hashes of a text as one array."""
+    return F.when(u["c"].isNull(), u["w"]).otherwise(F.array_distinct(F.concat(u["c"], u["w"])))
+
+
+def pair_likeness(a: Column, b: Column) -> Column:
+    """Likeness of two texts: by all hashes if both are short, else by words."""
+    both = a["c"].isNotNull() & b["c"].isNotNull()
+    return F.when(both, likeness(every_hash(a), every_hash(b))).otherwise(likeness(a["w"], b["w"]))
+
+
 def as_text(fp: Column) -> Column:
     """A fingerprint as text: hashes in text order, hexadecimal."""
     return F.array_join(F.transform(fp, lambda x: F.lower(F.hex(x))), " ")
@@ -100,7 +136,7 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     next document and are edited to a shorter text; of rows sharing an id, the greatest
     text serves as "next"."""
     base = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    every = fingerprint(base).withColumn("fp", hashes(F.col("fingerprint"))).select("id", "text", "fp")
+    every = unit_hashes(base, "text", "fp").select("id", "text", "fp")
     # both joins below read the very same rows, so their shuffle by id is made once
     fp = every.where("id IS NOT NULL")
     nxt = next_ids(base, "id")
@@ -109,13 +145,14 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     need = sizes.join(nxt, "id").groupBy(F.col("next_id").alias("id"), F.col("id").alias("before")).agg(F.max("q").alias("need"))
     heads = (fp.join(need, "id").select(F.col("before").alias("id"), F.expr("left(text, need)").alias("head"), F.col("fp").alias("next_fp"))
              .groupBy("id").agg(F.max(F.struct("head", "next_fp")).alias("h")).select("id", "h.*"))
-    alone = every.where("id IS NULL").withColumns({"head": F.lit(""), "next_fp": F.expr("cast(null as array<bigint>)")})
+    none = F.expr("named_struct('w', cast(array() AS array<bigint>), 'c', cast(array() AS array<bigint>))")
+    alone = every.where("id IS NULL").withColumns({"head": F.lit(""), "next_fp": none})
     joined = (fp.join(heads, "id", "left").unionByName(alone).withColumn("head", F.coalesce("head", F.lit("")))
-              .withColumn("next_fp", F.coalesce("next_fp", F.expr("cast(array() as array<bigint>)")))
+              .withColumn("next_fp", F.coalesce("next_fp", none))
               .withColumn("n", F.length("text").cast("long")).withColumn("q", quarter))
     edited = joined.withColumn("edited", F.expr("concat(left(text, int(n - q)), left(head, q))"))
-    edited = fingerprint(edited, "edited").withColumn("edited_fp", hashes(F.col("fingerprint")))
+    edited = unit_hashes(edited, "edited", "edited_fp")
     return edited.select(F.col("id").alias(id), F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                         as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-                         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-                         likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+                         as_text(every_hash(F.col("fp"))).alias("fingerprint"), as_text(every_hash(F.col("edited_fp"))).alias("edited_fingerprint"),
+                         pair_likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+                         pair_likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
