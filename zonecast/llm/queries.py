@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecast.session import materialize, scratch_path
 
-from . import licenses, minhash, packing, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
+from . import best_fit, licenses, minhash, packing, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
 from .common import table
 
 QUERIES: dict = {}
@@ -204,3 +204,8 @@ SELECT doc_id, digest, license, line_licenses FROM w LEFT JOIN k USING (digest)
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame(list(licenses.KNOWN.items()), "license string, text string")
     return licenses.scan(table(spark, sf_dir, "documents"), known)
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_best_fit(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
