@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecast.session import materialize, scratch_path
 
-from . import best_fit, licenses, minhash, packing, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
+from . import best_fit, licenses, minhash, packing, part_codes, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
 from .common import table
 
 QUERIES: dict = {}
@@ -209,3 +209,35 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_best_fit_packing")
 def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_best_fit(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain Lloyd rounds over all parts and entries."""
+    near = """SELECT rid, part, min(d * 256 + entry) % 256 AS entry, min(d * 256 + entry) // 256 AS d FROM (
+        SELECT p.rid, p.part, c.entry, CAST(list_sum(list_transform(list_zip(p.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+        FROM p JOIN c{r} c USING (part)) GROUP BY rid, part"""
+    ctes = [f"""k AS (SELECT row_number() OVER () AS rid, vec_id, label,
+        list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+            f"""p AS (SELECT rid, vec_id, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS q
+      FROM k, range({parts}) t(part))""",
+            f"""c0 AS (SELECT part, entry, q FROM (SELECT part, q, row_number() OVER (PARTITION BY part ORDER BY vec_id, q) - 1 AS entry
+      FROM p WHERE vec_id IS NOT NULL) WHERE entry < {entries})"""]
+    for r in range(rounds):
+        ctes += [f"a{r} AS MATERIALIZED ({near.format(r=r)})",
+                 f"""m{r} AS (SELECT part, entry, i, sum(q[i])::BIGINT AS s, count(*) AS n
+      FROM (SELECT p.part, a.entry, p.q, unnest(range(1, len(p.q) + 1)) AS i FROM p JOIN a{r} a USING (rid, part)) GROUP BY part, entry, i)""",
+                 f"""c{r + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(n.q, c.q) AS q FROM c{r} c LEFT JOIN (
+        SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM m{r} GROUP BY part, entry) n
+      ON c.part = n.part AND c.entry = n.entry)"""]
+    return "WITH " + ",\n".join([*ctes, f"f AS MATERIALIZED ({near.format(r=rounds)})", f"""x AS (
+      SELECT k.vec_id, k.label, g.code, g.error FROM k JOIN (SELECT rid, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code,
+        CAST(sum(d) AS BIGINT) AS error FROM f GROUP BY rid) g USING (rid))"""]) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256 FROM x"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = part_codes.encode(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(part_codes.books_sha256(books)).alias("codebooks_sha256"))
