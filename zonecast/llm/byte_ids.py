@@ -1,4 +1,4 @@
-"""Ids of whole texts by a byte-level BPE file, chunk by chunk.
+"""Ids of whole texts by a byte-level BPE file, word by word.
 
 The byte-level pre-tokenizer never joins a character that is not white space with white
 space after it, so a text may be cut there and every chunk encoded alone. Chunks repeat
@@ -17,12 +17,14 @@ import struct
 import numpy as np
 
 #: Remembered chunks of a worker; when so many are young, the old ones go.
-MEMO_SIZE = 500_000
+MEMO_SIZE = 300_000
 #: White space to Python or to older Unicode tables only: texts with these are not cut.
 UNSURE = re.compile("[\x1c-\x1f\x85᠎]")
+#: White space besides blanks and line feeds, and what is unsure.
+ODD = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -     　]")
 CHUNK = re.compile(r"\s*\S+|\s+")
-#: A Latin word with a run of ASCII signs (no apostrophe) after it: two pre-tokens.
-SIMPLE = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]*)")
+#: Blanks and line feeds, a Latin word or number, ASCII signs (no apostrophe): each a pre-token of its own.
+SIMPLE = re.compile(r"([ \n]*)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def byte_signs() -> dict[int, str]:
@@ -42,12 +44,13 @@ class ByteIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(tokenizer_file)
-        self.whole = Tokenizer.from_file(tokenizer_file)
-        self.whole.encode_special_tokens = special_as_text
+        self.tok = self.whole = Tokenizer.from_file(tokenizer_file)
+        if special_as_text:
+            self.whole = Tokenizer.from_file(tokenizer_file)
+            self.whole.encode_special_tokens = True
         with open(tokenizer_file, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
+        pre, kind = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
         added = self.tok.get_added_tokens_decoder()
         self.added = [t.content for t in added.values()]
         # one special token parts the chunks of a joined call, which costs less than a call each
@@ -56,73 +59,95 @@ class ByteIds:
         self.mark_id, self.mark = marks[0] if marks else (None, None)
         self.can_cut = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                         and spec.get("normalizer") is None and bool(marks))
-        self.model, self.signs = self.tok.model, byte_signs()
-        kind = spec.get("model") or {}
         self.simple = self.can_cut and kind.get("type", "BPE") == "BPE" and not any(
             kind.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
-        self.memo: dict[str, bytes] = {}
+        self.model, self.signs = self.tok.model, byte_signs()
+        self.runs: dict[str, bytes] = {}      # ids of pre-tokens
+        self.old_runs: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}      # ids of a blank and the word
         self.old: dict[str, bytes] = {}
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def known(self, chunk: str) -> bytes | None:
-        got = self.memo.get(chunk)
-        if got is None:
-            got = self.old.get(chunk)
-            if got is not None:
-                self.memo[chunk] = got
-        return got
-
     def _pretoken(self, s: str) -> bytes:
-        got = self.known(s)
+        got = self.runs.get(s)
         if got is None:
-            ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.signs))]
-            got = self.memo[s] = struct.pack(f"<{len(ids)}I", *ids)
+            got = self.old_runs.get(s)
+            if got is None:
+                ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.signs))]
+                got = struct.pack(f"<{len(ids)}I", *ids)
+            self.runs[s] = got
+            if len(self.runs) > MEMO_SIZE:
+                self.old_runs, self.runs = self.runs, {}
         return got
 
-    def learn(self, chunks: list[str]) -> None:
-        """Take chunks into the memo: plain words by the model itself, the rest by the
-        whole tokenizer."""
-        rest = []
-        for c in chunks:
-            m = SIMPLE.fullmatch(c) if self.simple else None
-            if m is None:
-                rest.append(c)
-            else:
-                word, signs = m.groups()
-                got = self._pretoken(word)
-                self.memo[c] = got + self._pretoken(signs) if signs else got
-        self.memo.update(zip(rest, self.encode_chunks(rest)))
-
-    def forget(self) -> None:
-        if len(self.memo) > MEMO_SIZE:
-            self.old, self.memo = self.memo, {}
-
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks, each as if it stood alone."""
+        """Ids of chunks, each as if it stood alone: plain words by the model itself, the
+        rest by the whole tokenizer."""
         if not self.can_cut:
             return [self.encode_whole(c) for c in chunks]
-        out: list[bytes] = []
-        for k in range(0, len(chunks), 2000):
-            run = chunks[k:k + 2000]
-            own = {i: self.encode_whole(c) for i, c in enumerate(run) if any(a in c for a in self.added)}
-            plain = [c for i, c in enumerate(run) if i not in own] if own else run
-            ids = np.array(self.tok.encode(self.mark.join(plain), add_special_tokens=False).ids, "<u4")
+        out, rest, pretoken = [b""] * len(chunks), [], self._pretoken
+        for i, c in enumerate(chunks):
+            m = SIMPLE.fullmatch(c) if self.simple else None
+            if m is not None:
+                space, word, signs = m.groups()
+                if space == " ":
+                    got = pretoken(" " + word)
+                elif not space:
+                    got = pretoken(word)
+                else:       # all white space but the last character is one run; a last blank goes with the word
+                    got = (pretoken(space[:-1]) if len(space) > 1 else b"") + (
+                        pretoken(" " + word) if space[-1] == " " else pretoken(space[-1]) + pretoken(word))
+                out[i] = got + pretoken(signs) if signs else got
+            elif any(a in c for a in self.added):
+                out[i] = self.encode_whole(c)
+            else:
+                rest.append(i)
+        for k in range(0, len(rest), 2000):
+            run = rest[k:k + 2000]
+            ids = np.array(self.tok.encode(self.mark.join([chunks[i] for i in run]), add_special_tokens=False).ids, "<u4")
             cut = 4 * np.flatnonzero(ids == self.mark_id)
             raw = ids.tobytes()
-            got = [raw[a:b] for a, b in zip([0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)])] if plain else []
-            if own:
-                rest = iter(got)
-                got = [own[i] if i in own else next(rest) for i in range(len(run))]
-            out += got
+            for i, a, b in zip(run, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)]):
+                out[i] = raw[a:b]
         return out
 
+    def encode_cut(self, text: str) -> bytes:
+        """A text by its chunks, wherever it may be cut."""
+        if not self.can_cut or UNSURE.search(text) or any(a in text for a in self.added):
+            return self.encode_whole(text)
+        return b"".join(self.encode_chunks(CHUNK.findall(text)))
+
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [CHUNK.findall(t) if self.can_cut and not UNSURE.search(t) and not any(a in t for a in self.added) else None
-                 for t in texts]
-        self.learn([c for c in set().union(*(s for s in split if s)) if self.known(c) is None])
-        get = self.memo.__getitem__
-        out = [self.encode_whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
-        self.forget()
+        # where blanks follow other characters only, a text is its first word and words that
+        # each begin with a blank
+        split = [t.split(" ") if self.can_cut and not ODD.search(t) and "  " not in t and "\n " not in t
+                 and not any(a in t for a in self.added) else None for t in texts]
+        memo, missing = self.memo, set()
+        found = [None if s is None else list(map(memo.get, s)) for s in split]
+        for s, got in zip(split, found):
+            if s is not None:
+                got[0] = self.encode_cut(s[0]) if s[0] else b""
+                if None in got:
+                    missing.update([w for w, g in zip(s, got) if g is None])
+        new = [w for w in missing if w not in self.old]
+        memo.update((w, self.old[w]) for w in missing.difference(new))
+        for feeds in (False, True):
+            run = [w for w in new if ("\n" in w) == feeds]
+            memo.update(zip(run, self._with_feeds(run) if feeds else self.encode_chunks([" " + w for w in run])))
+        out = []
+        for t, s, got in zip(texts, split, found):
+            if s is None:
+                out.append(self.encode_cut(t))
+            else:
+                out.append(b"".join([memo[w] if g is None else g for w, g in zip(s, got)] if None in got else got))
+        if len(memo) > MEMO_SIZE:
+            self.old, self.memo = memo, {}
         return out
+
+    def _with_feeds(self, words: list[str]) -> list[bytes]:
+        """Ids of a blank and each word, the words cut once more at line feeds."""
+        parts = [CHUNK.findall(" " + w) for w in words]
+        flat = iter(self.encode_chunks([c for p in parts for c in p]))
+        return [b"".join([next(flat) for _ in p]) for p in parts]

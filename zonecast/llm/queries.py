@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonecast.session import materialize, scratch_path
 
-from . import best_fit, licenses, minhash, packing, part_codes, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
+from . import alignment, best_fit, licenses, minhash, packing, part_codes, piece_bpe, quality, rollups, substring, toxicity, url_filter, winnowing
 from .common import table
 
 QUERIES: dict = {}
@@ -241,3 +241,8 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = part_codes.encode(table(spark, sf_dir, "embeddings"))
     return codes.select("vec_id", "code", "error", "label_error", F.lit(part_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"), public_file("piece_bpe_32k.model"))
