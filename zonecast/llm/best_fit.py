@@ -118,11 +118,11 @@ def token_pieces(df: DataFrame, tokenizer_file: str, id: str = "doc_id", text: s
                 where, cols = [], [[], [], [], [], []]
                 for k, ids in enumerate(enc.of([t or "" for t in part.column("text").to_pylist()])):
                     ids += end
-                    n = len(ids) // 4
+                    n, view = len(ids) // 4, memoryview(ids)
                     cuts = [0, *range(n % tokens or tokens, n + 1, tokens)] if n else []
                     for j, (s, e) in enumerate(zip(cuts, cuts[1:])):
                         where.append(k)
-                        for c, v in zip(cols, (j, s, e - s, zlib.crc32(ids[4 * s:4 * e]), ids[4 * s:4 * e])):
+                        for c, v in zip(cols, (j, s, e - s, zlib.crc32(view[4 * s:4 * e]), ids[4 * s:4 * e] if with_ids else None)):
                             c.append(v)
                 arrays = [part.column("id").take(pa.array(where, pa.int64())), pa.array(cols[0], pa.int32()),
                           *[pa.array(c, pa.int64()) for c in cols[1:4]], *([pa.array(cols[4], pa.binary())] if with_ids else [])]

@@ -23,8 +23,13 @@ UNSURE = re.compile("[\x1c-\x1f\x85᠎]")
 #: White space besides blanks and line feeds, and what is unsure.
 ODD = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -     　]")
 CHUNK = re.compile(r"\s*\S+|\s+")
-#: Blanks and line feeds, a Latin word or number, ASCII signs (no apostrophe): each a pre-token of its own.
-SIMPLE = re.compile(r"([ \n]*)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]+)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII signs but the apostrophe, which may go with letters. A word of Latin letters, or a
+#: number, and a run of signs after it are pre-tokens of their own.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_WORD = r"(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]+)"
+LATIN = re.compile(_WORD)
+SIMPLE = re.compile(rf"([ \n]*)({_WORD})([{re.escape(SIGNS)}]*)")
+PACK = [struct.Struct(f"<{n}I").pack for n in range(17)]
 
 
 def byte_signs() -> dict[int, str]:
@@ -62,8 +67,7 @@ class ByteIds:
         self.simple = self.can_cut and kind.get("type", "BPE") == "BPE" and not any(
             kind.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
         self.model, self.signs = self.tok.model, byte_signs()
-        self.runs: dict[str, bytes] = {}      # ids of pre-tokens
-        self.old_runs: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}      # ids of runs of signs and white space
         self.memo: dict[str, bytes] = {}      # ids of a blank and the word
         self.old: dict[str, bytes] = {}
 
@@ -71,23 +75,41 @@ class ByteIds:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _pretoken(self, s: str) -> bytes:
+        """Ids of one pre-token by the model itself."""
+        ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.signs))]
+        return PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _run(self, s: str) -> bytes:
         got = self.runs.get(s)
         if got is None:
-            got = self.old_runs.get(s)
-            if got is None:
-                ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.signs))]
-                got = struct.pack(f"<{len(ids)}I", *ids)
-            self.runs[s] = got
-            if len(self.runs) > MEMO_SIZE:
-                self.old_runs, self.runs = self.runs, {}
+            got = self._pretoken(s)
+            if len(s) <= 8 and len(self.runs) < MEMO_SIZE:
+                self.runs[s] = got
         return got
 
+    def _learn(self, words: list[str]) -> None:
+        """Take words without white space into the memo, each with a blank before it."""
+        memo, old, rest = self.memo, self.old, []
+        for w in words:
+            core = w.rstrip(SIGNS)
+            if not (self.simple and core and (core.isascii() and core.isalpha() or LATIN.fullmatch(core))):
+                rest.append(w)
+            elif len(core) == len(w):
+                memo[w] = self._pretoken(" " + w)
+            else:
+                got = memo.get(core)
+                if got is None:
+                    got = old.get(core)
+                    memo[core] = got = self._pretoken(" " + core) if got is None else got
+                memo[w] = got + self._run(w[len(core):])
+        memo.update(zip(rest, self.encode_chunks([" " + w for w in rest])))
+
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks, each as if it stood alone: plain words by the model itself, the
         rest by the whole tokenizer."""
         if not self.can_cut:
             return [self.encode_whole(c) for c in chunks]
-        out, rest, pretoken = [b""] * len(chunks), [], self._pretoken
+        out, rest, run_of, pretoken = [b""] * len(chunks), [], self._run, self._pretoken
         for i, c in enumerate(chunks):
             m = SIMPLE.fullmatch(c) if self.simple else None
             if m is not None:
@@ -97,9 +119,9 @@ class ByteIds:
                 elif not space:
                     got = pretoken(word)
                 else:       # all white space but the last character is one run; a last blank goes with the word
-                    got = (pretoken(space[:-1]) if len(space) > 1 else b"") + (
-                        pretoken(" " + word) if space[-1] == " " else pretoken(space[-1]) + pretoken(word))
-                out[i] = got + pretoken(signs) if signs else got
+                    got = (run_of(space[:-1]) if len(space) > 1 else b"") + (
+                        pretoken(" " + word) if space[-1] == " " else run_of(space[-1]) + pretoken(word))
+                out[i] = got + run_of(signs) if signs else got
             elif any(a in c for a in self.added):
                 out[i] = self.encode_whole(c)
             else:
@@ -133,9 +155,9 @@ class ByteIds:
                     missing.update([w for w, g in zip(s, got) if g is None])
         new = [w for w in missing if w not in self.old]
         memo.update((w, self.old[w]) for w in missing.difference(new))
-        for feeds in (False, True):
-            run = [w for w in new if ("\n" in w) == feeds]
-            memo.update(zip(run, self._with_feeds(run) if feeds else self.encode_chunks([" " + w for w in run])))
+        feeds = [w for w in new if "\n" in w]
+        memo.update(zip(feeds, self._with_feeds(feeds)))
+        self._learn([w for w in new if "\n" not in w])
         out = []
         for t, s, got in zip(texts, split, found):
             if s is None:
