@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .timestamps import parse_forms
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
 # Borough by first digit of a district code: 1 Manhattan, 2 Bronx, 3 Brooklyn,
@@ -70,36 +72,16 @@ def weekday_name(weekday, long: bool = False) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), col_(weekday).cast("int") + 1)
 
 
-# year-month-day or month/day/year, an optional time down to fractions, AM/PM, a zone offset
-_STAMP = (r"^\s*(?:(\d{4})-(\d{1,2})-(\d{1,2})|(\d{1,2})/(\d{1,2})/(\d{4}))"
-          r"(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,9})?))?\s*([AaPp][Mm])?\s*(Z|z|[+-]\d{2}:?\d{2})?)?\s*$")
-
-
-def parse_timestamp(s, formats=None) -> Column:
+def parse_timestamp(s, formats=None, first=()) -> Column:
     """Coercing parse to TIMESTAMP_NTZ; text that does not fit gives NULL.
 
-    Without ``formats``: ISO dates and month/day/year dates, with or without a time,
-    seconds, fractions (to microseconds), AM / PM, or a zone. The fields are read out and
-    put together as they are, so the session zone and its clock changes play no part; a
-    written zone is turned to UTC. With ``formats``: the first pattern that fits, parsed in
-    the session zone."""
+    Without ``formats``: the forms of :mod:`zonecast.functions.timestamps`, those named in
+    ``first`` tried first. With ``formats``: the first pattern that fits, parsed in the
+    session zone."""
     c = col_(s).cast("string")
     if formats is not None:
         return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
-    g = lambda i: F.nullif(F.regexp_extract(c, _STAMP, i), F.lit(""))
-    num = lambda *i: F.coalesce(*[g(k) for k in i]).try_cast("int")
-    half = F.lower(g(10))
-    hour = num(7)
-    hour = (F.when(half.isNull(), F.coalesce(hour, F.lit(0))).when(~hour.between(1, 12), None)
-            .otherwise(hour % 12 + F.when(half == "pm", 12).otherwise(0)))
-    second = F.coalesce(F.substring(g(9), 1, 9), F.lit("0")).try_cast("decimal(16,6)")
-    zone = F.regexp_replace(g(11), ":", "")
-    minutes = (F.when(zone.isNull() | F.lower(zone).eqNullSafe("z"), F.lit(0)).otherwise(
-        F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int")
-        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int"))))
-    ok = num(2, 4).between(1, 12) & hour.between(0, 23) & F.coalesce(num(8), F.lit(0)).between(0, 59) & (second < 60)
-    stamp = F.try_make_timestamp_ntz(num(1, 6), num(2, 4), num(3, 5), hour, F.coalesce(num(8), F.lit(0)), second)
-    return F.when(ok, stamp - F.make_dt_interval(F.lit(0), F.lit(0), minutes))
+    return parse_forms(c, first)
 
 
 def timedelta_days(start, end) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import parse_timestamp
+from ..functions.timestamps import detect_forms
 from ..session import materialize
 
 # Accepted spellings of the coordinate columns and of the time column.
@@ -72,14 +73,21 @@ def require_latlon(df: DataFrame) -> DataFrame | None:
     return df.select("pickup_datetime", "Lat", "Lon", F.lit(1).alias("pickups"))
 
 
-def parse_ts_coerce(df: DataFrame, col: str = "pickup_datetime", formats=None, drop: bool = True) -> DataFrame:
+def parse_ts_coerce(df: DataFrame, col: str = "pickup_datetime", formats=None, drop: bool = True,
+                    detect: bool = True) -> DataFrame:
     """Text -> TIMESTAMP_NTZ; unparseable values become NULL and (by default) are dropped.
-    Columns already of a timestamp type are kept as they are."""
+    Columns already of a timestamp type are kept as they are. ``detect``: a bounded look at
+    the column decides which forms are tried first (never which are read).
+
+    The value is produced by a generator, so that filters on it are not pushed below and
+    the text is parsed once."""
     dt = df.schema[col].dataType
     if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
-        out = df.withColumn(col, F.col(col).cast("timestamp_ntz"))
+        out = df.withColumn(col, F.col(f"`{col}`").cast("timestamp_ntz"))
     else:
-        out = df.withColumn(col, parse_timestamp(col) if formats is None else parse_timestamp(col, formats))
+        first = detect_forms(df, col) if detect and formats is None else ()
+        value = parse_timestamp(F.col(f"`{col}`"), formats, first)
+        out = df.select(*[F.explode(F.array(value)).alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
     return out.dropna(subset=[col]) if drop else out
 
 
