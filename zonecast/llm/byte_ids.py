@@ -29,7 +29,7 @@ SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORD = r"(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]+)"
 LATIN = re.compile(_WORD)
 SIMPLE = re.compile(rf"([ \n]*)({_WORD})([{re.escape(SIGNS)}]*)")
-PACK = [struct.Struct(f"<{n}I").pack for n in range(17)]
+FORMATS = [f"<{n}I" for n in range(17)]
 
 
 def byte_signs() -> dict[int, str]:
@@ -77,7 +77,7 @@ class ByteIds:
     def _pretoken(self, s: str) -> bytes:
         """Ids of one pre-token by the model itself."""
         ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.signs))]
-        return PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}I", *ids)
+        return struct.pack(FORMATS[len(ids)] if len(ids) < len(FORMATS) else f"<{len(ids)}I", *ids)
 
     def _run(self, s: str) -> bytes:
         got = self.runs.get(s)

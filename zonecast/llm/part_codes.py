@@ -45,6 +45,8 @@ from zonecast.session import materialize
 
 #: Balls of at most so many points are leaves; magnitudes up to 2^27 keep sums in 64 bits.
 LEAF, LIMIT = 24, 1 << 27
+#: What is written of a tree: slices, children (-1: none), sums, balls and the order of the points.
+TREE = ("lo", "hi", "first", "second", "sums", "center", "radius", "order")
 
 
 class BallTree:
@@ -63,7 +65,8 @@ class BallTree:
         n = len(self.nodes)
         self.lo = np.array([x[0] for x in self.nodes], np.int64)
         self.hi = np.array([x[1] for x in self.nodes], np.int64)
-        self.children = [x[2] for x in self.nodes]
+        self.first = np.array([x[2][0] if x[2] else -1 for x in self.nodes], np.int64)
+        self.second = np.array([x[2][1] if x[2] else -1 for x in self.nodes], np.int64)
         total = np.concatenate([np.zeros((1, p.shape[1]), np.int64), np.cumsum(p, axis=0)])
         self.sums = total[self.hi] - total[self.lo]
         self.center = self.sums / np.maximum(self.hi - self.lo, 1)[:, None]
@@ -161,47 +164,53 @@ def merge_plan(centers: np.ndarray, radii: np.ndarray, counts: np.ndarray):
     return plans[int(np.flatnonzero(alive)[0])]
 
 
-def owners(tree: BallTree, points: np.ndarray, book: np.ndarray) -> Iterator[tuple[int, int, int | np.ndarray]]:
-    """Slices (lo, hi, entry or entries) of ``tree.order``: balls wholly owned by one entry,
-    and leaves with the entry of each point. ``points`` are in tree order; ties go to the
-    lower entry."""
-    if not len(tree.lo):
-        return
-    b = book.astype(float)
-    norm = (b ** 2).sum(1)
-    gap = np.sqrt(((b[:, None] - b[None]) ** 2).sum(2))
-    stack = [(0, np.arange(len(book)))]
-    while stack:
-        k, cand = stack.pop()
-        m, r = tree.center[k], tree.radius[k]
-        d = norm[cand] - 2 * (b[cand] @ m)              # squared distance less |m|^2
-        best = int(np.argmin(d))
-        margin = 1e-9 * (norm[cand].max() + float(m @ m) + r * r + 1)
-        cand = cand[d - d[best] <= 2 * r * gap[cand, cand[best]] + margin]
-        if len(cand) == 1:
-            yield int(tree.lo[k]), int(tree.hi[k]), int(cand[0])
-        elif tree.children[k]:
-            stack += [(c, cand) for c in tree.children[k]]
-        else:
-            p = points[tree.lo[k]:tree.hi[k]]
-            near = ((p[:, None] - book[cand][None]) ** 2).sum(2).argmin(1)     # cand ascends: lower entry on ties
-            yield int(tree.lo[k]), int(tree.hi[k]), cand[near]
+class Walk:
+    """One walk over a tree with a codebook: ``entry`` of every point in tree order, ``balls``
+    and ``ball_entry`` the balls found wholly owned, ``left`` the points settled one by one.
+    Levels of the tree are treated together; ties go to the lower entry."""
+
+    def __init__(self, tree: BallTree, points: np.ndarray, book: np.ndarray):
+        n = len(points)
+        self.entry = np.zeros(n, np.int64)
+        left = np.zeros(n, bool)
+        b = book.astype(float)
+        norm = (b ** 2).sum(1)
+        gap = np.sqrt(((b[:, None] - b[None]) ** 2).sum(2))
+        d = norm - 2 * (tree.center @ b.T)                   # squared distances less that of the origin
+        margin = 1e-9 * (norm.max() + (tree.center ** 2).sum(1) + tree.radius ** 2 + 1)
+        nodes, cand = np.zeros(min(1, len(tree.lo)), np.int64), np.ones((min(1, len(tree.lo)), len(book)), bool)
+        balls, ball_entry = [], []
+        while len(nodes):
+            masked = np.where(cand, d[nodes], np.inf)
+            best = masked.argmin(1)
+            reach = 2 * tree.radius[nodes][:, None] * gap[best] + margin[nodes][:, None]
+            cand = cand & (masked - masked[np.arange(len(nodes)), best][:, None] <= reach)
+            owned = cand.sum(1) == 1
+            balls.append(nodes[owned])
+            ball_entry.append(best[owned])
+            rest = ~owned
+            leaf = rest & (tree.first[nodes] < 0)
+            for k in nodes[leaf].tolist():
+                left[tree.lo[k]:tree.hi[k]] = True
+            inner = rest & ~leaf
+            nodes, cand = np.concatenate([tree.first[nodes[inner]], tree.second[nodes[inner]]]), np.concatenate([cand[inner], cand[inner]])
+        self.balls = np.concatenate(balls) if balls else np.zeros(0, np.int64)
+        self.ball_entry = np.concatenate(ball_entry) if balls else np.zeros(0, np.int64)
+        for k, e in zip(self.balls.tolist(), self.ball_entry.tolist()):
+            self.entry[tree.lo[k]:tree.hi[k]] = e
+        self.left = np.flatnonzero(left)
+        for at in range(0, len(self.left), 4096):
+            some = self.left[at:at + 4096]
+            self.entry[some] = ((points[some][:, None] - book[None]) ** 2).sum(2).argmin(1)
 
 
 def part_sums(tree: BallTree, points: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(count per entry, component sums per entry, points settled by owned balls)."""
-    count, total, owned = np.zeros(len(book), np.int64), np.zeros(book.shape, np.int64), 0
-    whole: dict = {}
-    at = {(int(a), int(z)): k for k, (a, z) in enumerate(zip(tree.lo, tree.hi))}
-    for lo, hi, entry in owners(tree, points, book):
-        if isinstance(entry, int):
-            count[entry] += hi - lo
-            total[entry] += tree.sums[whole.setdefault((lo, hi), at[lo, hi])]
-            owned += hi - lo
-        else:
-            np.add.at(count, entry, 1)
-            np.add.at(total, entry, points[lo:hi])
-    return count, total, owned
+    walk = Walk(tree, points, book)
+    count, total = np.bincount(walk.entry, minlength=len(book)), np.zeros(book.shape, np.int64)
+    np.add.at(total, walk.ball_entry, tree.sums[walk.balls])
+    np.add.at(total, walk.entry[walk.left], points[walk.left])
+    return count, total, len(points) - len(walk.left)
 
 
 def _blocks(rows: DataFrame, parts: int, block_rows: int) -> DataFrame:
@@ -227,7 +236,7 @@ def _blocks(rows: DataFrame, parts: int, block_rows: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), batch.column("id")),
              pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), batch.column("label")),
-             pa.array([pickle.dumps([(t.lo, t.hi, t.children, t.sums, t.center, t.radius, t.order, y) for t, y in made])], pa.binary())],
+             pa.array([pickle.dumps([({k: getattr(t, k) for k in TREE}, y) for t, y in made])], pa.binary())],
             names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,10 +261,9 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def _trees(payload: bytes) -> list[tuple[BallTree, np.ndarray]]:
     out = []
-    for lo, hi, children, sums, center, radius, order, points in pickle.loads(payload):
+    for fields, points in pickle.loads(payload):
         tree = BallTree.__new__(BallTree)
-        tree.lo, tree.hi, tree.children, tree.sums = lo, hi, children, sums
-        tree.center, tree.radius, tree.order = center, radius, order
+        tree.__dict__.update(fields)
         out.append((tree, points))
     return out
 
@@ -296,9 +304,7 @@ def _codes(blocks: DataFrame, books: list[np.ndarray]) -> DataFrame:
                 code = np.zeros((len(ids), len(books)), np.int64)
                 error = np.zeros(len(ids), np.int64)
                 for p, (tree, points) in enumerate(_trees(batch.column("trees")[k].as_py())):
-                    entry = np.zeros(len(points), np.int64)
-                    for lo, hi, e in owners(tree, points, books[p]):
-                        entry[lo:hi] = e
+                    entry = Walk(tree, points, books[p]).entry
                     code[tree.order, p] = entry
                     error[tree.order] += ((points - books[p][entry]) ** 2).sum(1)
                 hexed = ["".join(f"{c:02x}" for c in row) for row in code.tolist()]
