@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zonecast.operators import quantiles as QS
 
@@ -18,12 +19,12 @@ def test_select_matches_numpy(spark, kind):
     rows = [(g, float(v)) for g, arr in vals.items() for v in arr] + [("a", None), ("b", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double")
     qs = (0.25, 0.5, 0.75)
-    # tiny band and few buckets force several histogram passes
-    got = {r["g"]: r for r in QS.exact_quantiles_select(df, "v", qs, ["g"], max_band=50, buckets=8).collect()}
+    # a tiny band, few buckets and a coarse sketch force several sketch passes
+    got = {r["g"]: r for r in QS.exact_quantiles_select(df, "v", qs, ["g"], max_band=5, buckets=32, accuracy=100).collect()}
     for g, arr in vals.items():
         exp = np.quantile(arr, qs)
         assert [got[g]["q25"], got[g]["q50"], got[g]["q75"]] == pytest.approx(list(exp), rel=1e-12, abs=1e-12)
-    glob = QS.exact_quantiles_select(df, "v", qs, (), max_band=50, buckets=8).first()
+    glob = QS.exact_quantiles_select(df, "v", qs, (), max_band=5, buckets=32, accuracy=100).first()
     allv = np.concatenate(list(vals.values()))
     assert [glob["q25"], glob["q50"], glob["q75"]] == pytest.approx(list(np.quantile(allv, qs)), rel=1e-12, abs=1e-12)
 
@@ -42,3 +43,21 @@ def test_select_many_groups_uses_table_state(spark):
     assert len(got) == n_groups
     for g, vals in by.items():
         assert list(got[g]) == pytest.approx(list(np.quantile(vals, [0.25, 0.75])), rel=1e-12, abs=1e-12)
+
+
+def test_missed_brackets_are_settled_again(spark, monkeypatch):
+    """Brackets that do not hold their ranks are found out and replaced by the whole range."""
+    rng = np.random.default_rng(4)
+    rows = [(g, float(v)) for g in ("a", None) for v in rng.normal(size=400)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    right = QS._bracketed
+    monkeypatch.setattr(QS, "_bracketed", lambda *a: right(*a).withColumn("U0", F.col("low")).withColumn("L0", F.col("low")))
+    got = {r["g"]: r["q50"] for r in QS.exact_quantiles_select(df, "v", (0.5,), ["g"]).collect()}
+    for g in ("a", None):
+        assert got[g] == pytest.approx(float(np.quantile([v for h, v in rows if h == g], 0.5)), rel=1e-12)
+
+
+def test_two_scans_and_empty_input(spark):
+    df = spark.createDataFrame([(1, None), (2, float("nan"))], "g int, v double")
+    assert QS.exact_quantiles_select(df, "v", (0.5,), ["g"]).count() == 0
+    assert QS.exact_quantiles_select(df, "v", (0.5,)).count() == 0
