@@ -187,12 +187,11 @@ def test_kmeans_same_seed_same_output(spark):
 def test_tree_models_run_per_district(spark):
     df, _, _ = _frame(spark, n=80)
     feats = ["x0", "x1", "x2"]
-    out = MD.fit_predict_trees(df, df, feats, "rf", {"numTrees": 5, "maxDepth": 4}, target="y", names=["a", "b"])
+    out = MD.fit_predict_trees(df, df, feats, "rf", {"n_trees": 5, "max_depth": 4}, target="y")
     assert out.count() == 160
     r = out.select(F.sqrt(F.avg(F.pow(F.col("y") - F.col("y_pred"), 2))).alias("e"),
                    F.stddev_pop("y").alias("s")).first()
     assert r["e"] < r["s"]      # better than predicting the mean
     g = MD.fit_predict_trees(df.withColumn("v", F.col("pos") >= 60), df, feats, "gbm",
-                             {"maxIter": 20, "maxDepth": 2, "minInstancesPerNode": 5}, target="y",
-                             names=["a"], validation_col="v")
-    assert g.count() == 80
+                             {"rounds": 20, "max_depth": 2, "min_leaf": 5}, target="y", validation_col="v")
+    assert g.count() == 160 and g.where("y_pred is null").count() == 0

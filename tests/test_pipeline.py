@@ -12,8 +12,8 @@ def test_pipeline_end_to_end(spark, tmp_path):
         F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss").alias("pickup_datetime"), "Lat", "Lon", "Base",
         F.when(F.col("Base").isin("view", "click"), "a.csv").otherwise("b.csv").alias("source_file"))
     polys = si.dense_district_polygons(spark)
-    cfg = Config(out=str(tmp_path), rf_params={"numTrees": 10, "maxDepth": 5},
-                 gbm_params={"maxIter": 10, "maxDepth": 3, "minInstancesPerNode": 5})
+    cfg = Config(out=str(tmp_path), rf_params={"n_trees": 10, "max_depth": 5},
+                 gbm_params={"rounds": 10, "max_depth": 3, "min_leaf": 5})
     status = run(spark, cfg, raw, polys, run_id="run_20240101_000000")
     assert status and all(v == "success" for v in status.values()), status
     fc = spark.read.parquet(f"{tmp_path}/forecast_next_hour")

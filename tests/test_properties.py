@@ -51,9 +51,9 @@ def test_pooled_tree_fit(spark):
     assert out.count() == 120 and "y_pred" in out.columns
 
 
-def test_trees_without_names_fit_pooled(spark):
+def test_trees_fit_every_district_in_one_go(spark):
     from zonecast.operators import models as MD
     rows = [(k, float(i), float(2 * i)) for k in ("a", "b", "c") for i in range(40)]
     df = spark.createDataFrame(rows, "cd_name string, x0 double, y double")
-    out = MD.fit_predict_trees(df, df, ["x0"], "rf", {"numTrees": 3, "maxDepth": 3}, target="y")
+    out = MD.fit_predict_trees(df, df, ["x0"], "rf", {"n_trees": 3, "max_depth": 3}, target="y")
     assert out.count() == 120

@@ -9,9 +9,9 @@ Linear family (OLS, ridge, lasso, elastic net)
     coefficient table (one row per district).
 
 Trees (random forest, gradient boosting)
-    ``pyspark.ml`` estimators: the training itself is distributed. Per-district fits
-    loop over the (bounded, top-k) district names; ``pooled=True`` fits one model for all
-    districts with the district as an indexed categorical feature instead.
+    Per district by :mod:`zonecast.operators.trees`: all districts in one job, at the
+    reference's sizes. ``pooled=True`` fits one ``pyspark.ml`` model for all districts, with
+    the district as an indexed feature, whose training spreads the rows themselves.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from . import trees
+
 KEY = "cd_name"
 TS = "pickup_datetime"
 TARGET = "pickups"
@@ -158,11 +161,11 @@ def fit_boosted(train: DataFrame, valid: DataFrame, params: dict | None, label:
     the same trees), judged per round on ``valid``, and the model is fitted to the kept
     number. Both frames carry ``features``. Returns (model, validation error per round)."""
     limit = {**GBM_PARAMS, **(params or {})}["maxIter"]
+    if valid.isEmpty():
+        return _estimator("gbm", {**(params or {}), "maxIter": limit}, label).fit(train), []
     rounds = min(limit, 2 * patience)
     while True:
         model = _estimator("gbm", {**(params or {}), "maxIter": rounds}, label).fit(train)
-        if valid.isEmpty():
-            return model, []
         errors = list(model.evaluateEachIteration(valid, "squared"))
         keep, stopped = best_round(errors, patience)
         if stopped or rounds >= limit:
@@ -196,34 +199,39 @@ def _estimator(kind: str, params: dict | None, label: str):
     raise ValueError(f"Unsupported model_type={kind}")
 
 
+def fit_trees(train: DataFrame, features, kind: str = "rf", params: dict | None = None, target: str = TARGET,
+              key: str = KEY, validation_col: str | None = None) -> DataFrame:
+    """Model rows (one per tree) of every district of ``train``, in one job whatever their number,
+    written once. kind: rf | gbm; ``params`` as in ``trees.FOREST`` / ``trees.BOOST``."""
+    if kind == "rf":
+        model = trees.fit_forest(train, features, params, target, key)
+    elif kind == "gbm":
+        model = trees.fit_boosted(train, features, params, target, key, validation_col)
+    else:
+        raise ValueError(f"Unsupported model_type={kind}")
+    return materialize(model, f"{kind}_model")
+
+
 def fit_predict_trees(train: DataFrame, score: DataFrame, features, kind: str = "rf", params: dict | None = None,
-                      target: str = TARGET, key: str = KEY, names=None, pooled: bool = False,
-                      validation_col: str | None = None, parallelism: int | None = 8) -> DataFrame:
-    """Fit per district on ``train`` and predict ``score``; returns ``score`` with y_pred.
-
-    ``names``: the districts to model, bounded by the caller (the top 10); each name is
-    one concurrent distributed fit. ``pooled`` (also the behaviour when no names are
-    given): one model for all districts with the district index as an extra feature, for
-    any number of districts.
+                      target: str = TARGET, key: str = KEY, pooled: bool = False,
+                      validation_col: str | None = None) -> DataFrame:
+    """Fit per district on ``train`` and predict ``score``; returns ``score`` with y_pred (rows
+    of districts without training rows are left out).
+
+    ``pooled``: one ``pyspark.ml`` model for all districts with the district index as an extra
+    feature (``params`` are then the estimator's).
     """
+    if not pooled:
+        model = fit_trees(train, features, kind, params, target, key, validation_col)
+        return trees.predict(score, model, features, mean=kind == "rf", key=key).where("y_pred is not null")
     label = "_label"
     tr = train.withColumn(label, F.col(target).cast("double"))
     if validation_col:
         tr = tr.withColumn(validation_col, F.col(validation_col).cast("boolean"))
-    if pooled:
-        from pyspark.ml.feature import StringIndexer
-        idx = StringIndexer(inputCol=key, outputCol="_key_idx", handleInvalid="keep")
-        predict = _fitted([idx, _assembler(list(features) + ["_key_idx"])], kind, params, label, tr, validation_col)
-        return predict(score).drop("features", "_key_idx")
-    if names is None:       # no bounded list of districts: one pooled model for all of them
-        return fit_predict_trees(train, score, features, kind, params, target, key, pooled=True,
-                                 validation_col=validation_col)
-
-    def fit_one(name):
-        predict = _fitted([_assembler(features)], kind, params, label, tr.where(F.col(key) == name), validation_col)
-        return predict(score.where(F.col(key) == name)).drop("features")
-    empty = score.withColumn("y_pred", F.lit(None).cast("double")).where(F.lit(False))
-    return _union(_in_parallel(fit_one, names, parallelism), empty)
+    from pyspark.ml.feature import StringIndexer
+    idx = StringIndexer(inputCol=key, outputCol="_key_idx", handleInvalid="keep")
+    predict = _fitted([idx, _assembler(list(features) + ["_key_idx"])], kind, params, label, tr, validation_col)
+    return predict(score).drop("features", "_key_idx")
 
 
 def _in_parallel(fn, names, parallelism: int | None):

@@ -59,7 +59,8 @@ def single_model_run(train: DataFrame, test: DataFrame, kind: str = "linear", to
         coefs = MD.fit_linear(tr, feats, kind)
         pr = MD.predict_linear(te, coefs, feats)
     elif kind in ("rf", "lgbm"):
-        pr = MD.fit_predict_trees(tr, te, feats, "rf" if kind == "rf" else "gbm", params, names=names)
+        single = MD.trees.BOOST_SINGLE if kind == "lgbm" else {}
+        pr = MD.fit_predict_trees(tr, te, feats, "rf" if kind == "rf" else "gbm", {**single, **(params or {})})
     else:
         raise ValueError(f"Unsupported model_type={kind}")
     preds = pr.select(F.col(KEY).alias("district"), F.lit(kind).alias("model"), TS,
@@ -80,9 +81,9 @@ def ensemble_run(train: DataFrame, test: DataFrame, top_k: int = 10, rf_params:
     te = data.where("split = 'test'").withColumn("fit_split", F.lit("test"))
     fit, val = tr.where("fit_split = 'fit'"), tr.where("fit_split = 'val'")
     score_rows = val.unionByName(te)
-    rf = MD.fit_predict_trees(fit, score_rows, feats, "rf", rf_params, names=names)
+    rf = MD.fit_predict_trees(fit, score_rows, feats, "rf", rf_params)
     gb_train = tr.withColumn("_is_val", F.col("fit_split") == "val")
-    gb = MD.fit_predict_trees(gb_train, score_rows, feats, "gbm", gbm_params, names=names, validation_col="_is_val")
+    gb = MD.fit_predict_trees(gb_train, score_rows, feats, "gbm", gbm_params, validation_col="_is_val")
 
     def long(df, model):
         return df.select(F.col(KEY).alias("district"), F.lit(model).alias("model"), TS, "fit_split",

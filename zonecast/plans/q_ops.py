@@ -16,7 +16,7 @@ from ..operators import features as feat
 from ..operators import forecast as FC
 from ..operators import runlog as RL
 from ..operators import spatial as sp
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files as FS
 from ..sources import runs as RS
 from ..sources.polygons import grid_polygons, scan_polygons
@@ -167,21 +167,26 @@ def q_sink_eda_tables(spark, d):
     return eda.long_from_pivot(spark.read.parquet(paths[0]), "Hour")
 
 
-@query("model_store")
+@query("model_store", "WITH " + si.FEATURES_SQL + """
+SELECT cd_name, pickup_datetime, TRUE AS linear_equal, TRUE AS trees_equal, 'models_20240102_000000' AS run_id FROM features""")
 def q_model_store(spark, d):
-    """A fitted pipeline (assembler + linear regression on the feature table) saved to
-    shared storage, loaded back and applied: predictions of the loaded model."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+    """Two runs of models saved as rows (linear coefficients, boosted trees); the latest one
+    loaded and applied beside the models it came from, which give the same predictions."""
+    from ..operators import models as MD
     from .q_splits import features
-    f = features(spark, d)
+    f = materialize(features(spark, d), "model_store_features")
     feats = ["lag_1", "lag_2", "lag_24", "rolling_mean_3h", "sin_hour", "cos_hour"]
-    m = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
-                         LinearRegression(labelCol="pickups", predictionCol="y_pred")]).fit(f)
-    path = scratch_path(spark, "model")
-    RS.save_model(m, path)
-    return RS.load_pipeline_model(path).transform(f).select("cd_name", "pickup_datetime", "pickups", "y_pred")
+    path = scratch_path(spark, "models")
+    for run_id, rounds in (("models_20240101_000000", 2), ("models_20240102_000000", 20)):
+        coefs = MD.fit_linear(f, feats, "ridge")
+        model = MD.fit_trees(f, feats, "gbm", {"rounds": rounds})
+        RS.save_models(path, run_id, feats, linear=coefs, trees=model)
+    store = RS.load_models(spark, path, "models_")
+    out = MD.predict_linear(f, coefs, feats, out="l0")
+    out = MD.predict_linear(out, store["linear"], store["features"], out="l1")
+    out = MD.trees.predict(MD.trees.predict(out, model, feats, out="t0"), store["trees"], store["features"], out="t1")
+    return out.select("cd_name", "pickup_datetime", (F.col("l0") == F.col("l1")).alias("linear_equal"),
+                      (F.col("t0") == F.col("t1")).alias("trees_equal"), F.lit(store["run_id"]).alias("run_id"))
 
 
 # -- names and checks --------------------------------------------------------------
@@ -323,7 +328,7 @@ def q_single_model_run(spark, d):
     comparison and the type of each row (the tree types are ``rf_fit`` and ``gbm_fit``)."""
     from . import modeling as MR
     from .q_models import train_test
-    tr, te = train_test(spark, d)
+    tr, te = (materialize(t, "single_runs") for t in train_test(spark, d))    # the features once, not per type
     parts = [MR.single_model_run(tr, te, kind)[1].withColumn("model_type", F.lit(kind)) for kind in ("linear", "ridge", "lasso")]
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
@@ -332,46 +337,40 @@ def q_single_model_run(spark, d):
 def q_run_all_districts(spark, d):
     """All top-10 districts with the default model type, the blended ensemble."""
     from . import modeling as MR
-    from .q_models import QUERY_GBM, QUERY_RF, train_test
+    from .q_models import train_test
     tr, te = train_test(spark, d)
-    return rounded(MR.run_all_districts(tr, te, rf_params=QUERY_RF, gbm_params=QUERY_GBM)[1])
+    return rounded(MR.run_all_districts(tr, te)[1])
 
 
 @query("gbm_early_stop")
 def q_gbm_early_stop(spark, d):
-    """Boosting with early stopping on the 14-day validation cut: trees kept per district and
-    the round of least validation error."""
+    """Boosting of up to 5,000 rounds with early stopping on the 14-day validation cut, all
+    districts in one job: rounds fitted, the round of least validation error (the trees
+    kept), and whether the patience of 200 rounds ran out."""
     from ..operators import models as MD
     from ..operators import splits as spl
     from . import modeling as MR
-    from .q_models import QUERY_GBM, train_test
+    from .q_models import train_test
     tr, te = train_test(spark, d)
-    names = MR.top_names(tr)
-    data = spl.cutoff_split(MR.relag_train_test(tr, te, names).where("split = 'train'"))
-    data = data.withColumn("_is_val", F.col("fit_split") == "val").withColumn("_label", F.col("pickups").cast("double"))
-    feats = MD.BASE_FEATURES + MD.ENSEMBLE_EXTRA
-
-    ready = MD._assembler(feats).transform(data)
-
-    def fit(name):
-        part = ready.where(F.col("cd_name") == name)
-        model, errors = MD.fit_boosted(part.where("NOT _is_val"), part.where("_is_val"), QUERY_GBM, "_label")
-        return (name, int(model.getNumTrees), MD.best_round(errors)[0] if errors else int(model.getNumTrees))
-    rows = MD._in_parallel(fit, names, 8)
-    return spark.createDataFrame(rows, "cd_name string, n_trees int, best_round int")
+    data = spl.cutoff_split(MR.relag_train_test(tr, te, MR.top_names(tr)).where("split = 'train'"))
+    model = MD.trees.fit_boosted(data.withColumn("_is_val", F.col("fit_split") == "val"), MD.BASE_FEATURES + MD.ENSEMBLE_EXTRA,
+                                 valid_col="_is_val")
+    got = model.groupBy("cd_name").agg(F.count(F.lit(1)).alias("rounds"), F.count_if("kept").alias("n_trees"),
+                                       F.min("valid_rmse").alias("least_valid_rmse"), F.first("base").alias("base"))
+    return rounded(got.select("cd_name", "rounds", "n_trees", "least_valid_rmse",
+                              (F.col("rounds") - F.col("n_trees") == MD.trees.BOOST["patience"]).alias("patience_ran_out")))
 
 
 @query("end_to_end_run")
 def q_end_to_end_run(spark, d):
     """The whole pipeline (clean -> spatial join -> features -> split -> tree ensemble ->
-    sequence model -> hybrid -> evaluation -> forecast table) on the raw stand-in, with
-    the registered tree settings; returns the step log of the run."""
+    sequence model -> hybrid -> evaluation -> forecast table) on the raw stand-in; returns
+    the step log of the run."""
     from .runner import Config, run
-    from .q_models import QUERY_GBM, QUERY_RF
     raw = si.pickups(spark, d).select(F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss").alias("pickup_datetime"),
                                       "Lat", "Lon", "Base", F.concat(F.col("Base"), F.lit(".csv")).alias("source_file"))
     out = scratch_path(spark, "end_to_end")
-    status = run(spark, Config(out=out, rf_params=QUERY_RF, gbm_params=QUERY_GBM), raw,
+    status = run(spark, Config(out=out), raw,
                  si.dense_district_polygons(spark), run_id="run_" + _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S"))
     if not all(v == "success" for v in status.values()):
         raise RuntimeError(f"pipeline failed: {status}")

@@ -78,6 +78,35 @@ def publish_latest(spark: SparkSession, eval_path: str, out_path: str, prefix: s
     return True
 
 
+def save_models(path: str, run_id: str, features, **models: DataFrame) -> None:
+    """Keep fitted models as rows: each named model (one row per district or tree) under
+    ``path/<name>``, partitioned by run. Saving a run again replaces it. The feature names, in the
+    order of the coefficients and feature numbers, go with every row."""
+    names = F.array(*[F.lit(f) for f in features])
+    for name, rows in models.items():
+        sink_run(rows.withColumn("model_features", names), f"{path}/{name}", run_id)
+
+
+def load_models(spark: SparkSession, path: str, prefix: str, names=("linear", "trees"), run_id: str | None = None) -> dict:
+    """The models of a run (by default the latest whose id starts with ``prefix``) as
+    DataFrames, with ``run_id`` and ``features``; apply them by join (``predict_linear``,
+    ``trees.predict``)."""
+    out: dict = {}
+    for name in names:
+        table = spark.read.parquet(f"{path}/{name}")
+        if run_id is None:
+            run_id = latest_run_by_name(table, prefix).agg(F.max("run_id")).first()[0]
+            if run_id is None:
+                raise LookupError(f"no run starting with {prefix!r} under {path}")
+        rows = run_rows(table, run_id)
+        first = rows.select("model_features").first()
+        if first is None:
+            raise LookupError(f"run {run_id!r} has no {name} model under {path}")
+        out["features"] = list(first[0])
+        out[name] = rows.drop("run_id", "written_at", "model_features")
+    return {**out, "run_id": run_id}
+
+
 def save_model(model, path: str) -> None:
     """Persist a fitted ``pyspark.ml`` model or pipeline (overwrites)."""
     model.write().overwrite().save(path)
