@@ -226,6 +226,14 @@ def _schema(df: DataFrame, key: str) -> T.StructType:
     return T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL(MODEL_FIELDS).fields])
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Groups over many tasks: they are small in bytes and long in work, so that the number of
+    tasks is given here instead of being cut down by their size."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def fit_boosted(data: DataFrame, features, params: dict | None = None, target: str = TARGET, key: str = KEY,
                 valid_col: str | None = None, model: DataFrame | None = None) -> DataFrame:
     """Boosted trees per ``key``: (key, tree, kept, base, feature, threshold, left, right, value,
@@ -244,12 +252,12 @@ def fit_boosted(data: DataFrame, features, params: dict | None = None, target: s
         return _model_table(got, pa.field(key, table.schema.field(key).type), k, fields)
 
     if model is None:
-        return rows.groupBy(key).applyInArrow(lambda t: fit(_in_order(t), None), _schema(data, key))
+        return _dealt(rows, key).groupBy(key).applyInArrow(lambda t: fit(_in_order(t), None), _schema(data, key))
 
     def more(left: pa.Table, right: pa.Table) -> pa.Table:
         return fit(_in_order(left), sorted(right.select(fields.names).to_pylist(), key=lambda r: r["tree"]))
 
-    return rows.groupBy(key).cogroup(model.groupBy(key)).applyInArrow(more, _schema(data, key))
+    return _dealt(rows, key).groupBy(key).cogroup(_dealt(model, key).groupBy(key)).applyInArrow(more, _schema(data, key))
 
 
 def _in_order(table: pa.Table) -> pa.Table:
@@ -274,7 +282,7 @@ def fit_forest(data: DataFrame, features, params: dict | None = None, target: st
         got = forest(_matrix(table, names), table.column("y").to_numpy(), k, p, range(share, p["n_trees"], min(shares, p["n_trees"])))
         return _model_table(got, pa.field(key, table.schema.field(key).type), k, fields)
 
-    return rows.groupBy(key, "share").applyInArrow(fit, _schema(data, key))
+    return _dealt(rows, key, "share").groupBy(key, "share").applyInArrow(fit, _schema(data, key))
 
 
 def predict(df: DataFrame, model: DataFrame, features, mean: bool = False, key: str = KEY, out: str = "y_pred") -> DataFrame:
@@ -294,4 +302,4 @@ def predict(df: DataFrame, model: DataFrame, features, mean: bool = False, key:
             total += tree_values(t, x)
         return left.append_column(out, pa.array(total / len(trees) if mean else total + trees[0]["base"]))
 
-    return df.groupBy(key).cogroup(model.where("kept").groupBy(key)).applyInArrow(apply, schema)
+    return _dealt(df, key).groupBy(key).cogroup(_dealt(model.where("kept"), key).groupBy(key)).applyInArrow(apply, schema)

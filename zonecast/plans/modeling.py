@@ -66,6 +66,8 @@ def single_model_run(train: DataFrame, test: DataFrame, kind: str = "linear", to
     preds = pr.select(F.col(KEY).alias("district"), F.lit(kind).alias("model"), TS,
                       F.col("pickups").cast("double").alias("y_true"), F.col("y_pred").cast("double"),
                       F.col("lag_1").cast("double"))
+    if kind in ("rf", "lgbm"):
+        preds = materialize(preds, "single_model_predictions")      # applying many trees costs more than a table
     return preds, _summary(preds)
 
 
@@ -89,7 +91,7 @@ def ensemble_run(train: DataFrame, test: DataFrame, top_k: int = 10, rf_params:
         return df.select(F.col(KEY).alias("district"), F.lit(model).alias("model"), TS, "fit_split",
                          F.col("pickups").cast("double").alias("y_true"), F.col("y_pred").cast("double"),
                          F.col("lag_1").cast("double"))
-    both = long(rf, "rf").unionByName(long(gb, "lgbm"))
+    both = materialize(long(rf, "rf").unionByName(long(gb, "lgbm")), "ensemble_predictions")
     w = FC.soft_blend_weights(M.score(both.where("fit_split = 'val'")))
     test_preds = both.where("fit_split = 'test'").drop("fit_split")
     ens = (test_preds.join(w, ["district", "model"])
