@@ -76,7 +76,10 @@ class ByteIds:
 
     def _pretoken(self, s: str) -> bytes:
         """Ids of one pre-token by the model itself."""
-        ids = [t.id for t in self.model.tokenize(s.encode().decode("latin-1").translate(self.signs))]
+        return self._ids(s.encode().decode("latin-1").translate(self.signs))
+
+    def _ids(self, signs: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(signs)]
         return struct.pack(FORMATS[len(ids)] if len(ids) < len(FORMATS) else f"<{len(ids)}I", *ids)
 
     def _run(self, s: str) -> bytes:
@@ -89,18 +92,20 @@ class ByteIds:
 
     def _learn(self, words: list[str]) -> None:
         """Take words without white space into the memo, each with a blank before it."""
-        memo, old, rest = self.memo, self.old, []
+        memo, old, rest, blank = self.memo, self.old, [], self.signs[32]
         for w in words:
             core = w.rstrip(SIGNS)
-            if not (self.simple and core and (core.isascii() and core.isalpha() or LATIN.fullmatch(core))):
+            ascii_word = core.isascii() and core.isalpha()
+            if not (self.simple and core and (ascii_word or LATIN.fullmatch(core))):
                 rest.append(w)
-            elif len(core) == len(w):
-                memo[w] = self._pretoken(" " + w)
-            else:
-                got = memo.get(core)
-                if got is None:
-                    got = old.get(core)
-                    memo[core] = got = self._pretoken(" " + core) if got is None else got
+                continue
+            got = memo.get(core)
+            if got is None:
+                got = old.get(core)
+                if got is None:     # ASCII letters stand for themselves
+                    got = self._ids(blank + core) if ascii_word else self._pretoken(" " + core)
+                memo[core] = got
+            if len(core) < len(w):
                 memo[w] = got + self._run(w[len(core):])
         memo.update(zip(rest, self.encode_chunks([" " + w for w in rest])))
 
@@ -146,24 +151,29 @@ class ByteIds:
         # each begin with a blank
         split = [t.split(" ") if self.can_cut and not ODD.search(t) and "  " not in t and "\n " not in t
                  and not any(a in t for a in self.added) else None for t in texts]
-        memo, missing = self.memo, set()
-        found = [None if s is None else list(map(memo.get, s)) for s in split]
-        for s, got in zip(split, found):
-            if s is not None:
-                got[0] = self.encode_cut(s[0]) if s[0] else b""
-                if None in got:
-                    missing.update([w for w, g in zip(s, got) if g is None])
-        new = [w for w in missing if w not in self.old]
-        memo.update((w, self.old[w]) for w in missing.difference(new))
-        feeds = [w for w in new if "\n" in w]
-        memo.update(zip(feeds, self._with_feeds(feeds)))
-        self._learn([w for w in new if "\n" not in w])
-        out = []
-        for t, s, got in zip(texts, split, found):
+        memo, old, missing, held = self.memo, self.old, set(), []
+        for s in split:
             if s is None:
-                out.append(self.encode_cut(t))
+                held.append((None, ()))
+                continue
+            got = list(map(memo.get, s))
+            got[0] = self.encode_cut(s[0]) if s[0] else b""
+            holes = [i for i, g in enumerate(got) if g is None]
+            missing.update([s[i] for i in holes])
+            held.append((got, holes))
+        feeds, plain = [], []
+        for w in missing:
+            if w in old:
+                memo[w] = old[w]
             else:
-                out.append(b"".join([memo[w] if g is None else g for w, g in zip(s, got)] if None in got else got))
+                (feeds if "\n" in w else plain).append(w)
+        memo.update(zip(feeds, self._with_feeds(feeds)))
+        self._learn(plain)
+        out = []
+        for t, s, (got, holes) in zip(texts, split, held):
+            for i in holes:
+                got[i] = memo[s[i]]
+            out.append(self.encode_cut(t) if got is None else b"".join(got))
         if len(memo) > MEMO_SIZE:
             self.old, self.memo = memo, {}
         return out
