@@ -130,3 +130,25 @@ def test_ingest_json_array_documents(spark, tmp_path):
     out = ingest_json(spark, str(land), str(tmp_path / "out"), dt.date(2024, 1, 2), array_documents=True)
     rows = sorted((r["lat"], r["ingest_date"]) for r in out.collect())
     assert rows == [(40.7, "20240102"), (40.8, "20240102")]
+
+
+def test_bad_files_are_set_aside_one_by_one(spark, tmp_path):
+    """Missing, empty, cut and column-less files are listed; a file whose name is part of
+    another's stays; quoted headers and a byte order mark are read."""
+    import gzip
+
+    from zonecast.sources import files as FS
+    good = "pickup_datetime,lat,lon\n2014-04-01 00:00:00,40.5,-74.0\n"
+    (tmp_path / "a.csv").write_text(good)
+    (tmp_path / "ba.csv").write_text('\ufeff"Date/Time","Lat","Lon"\n4/1/2014 1:00,40.6,-74.1\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "none.csv").write_text("x,y\n1,2\n")
+    whole = gzip.compress(("pickup_datetime,lat,lon\n" + "".join(f"2014-04-01 00:00:{i % 60:02d},{40 + i % 997 / 1000},-74.0\n"
+                                                                for i in range(30000))).encode())
+    (tmp_path / "cut.csv.gz").write_bytes(whole[:-3000])
+    names = ["a.csv", "ba.csv", "empty.csv", "none.csv", "cut.csv.gz", "gone.csv"]
+    table, skipped = FS.scan_many_report(spark, [str(tmp_path / n) for n in names])
+    assert sorted(r.Lat for r in table.collect()) == [40.5, 40.6]
+    got = {r.file.rsplit("/", 1)[1]: r.reason for r in skipped.collect()}
+    assert sorted(got) == ["cut.csv.gz", "empty.csv", "gone.csv", "none.csv"] and got["empty.csv"] == "empty file"
+    assert "PATH_NOT_FOUND" in got["gone.csv"] and "FAILED_READ_FILE" in got["cut.csv.gz"]

@@ -7,7 +7,7 @@ required columns) only looks at ``df.columns`` on the driver: metadata, no data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,10 +74,10 @@ def require_latlon(df: DataFrame) -> DataFrame | None:
 
 
 def parse_ts_coerce(df: DataFrame, col: str = "pickup_datetime", formats=None, drop: bool = True,
-                    detect: bool = True) -> DataFrame:
+                    first=None) -> DataFrame:
     """Text -> TIMESTAMP_NTZ; unparseable values become NULL and (by default) are dropped.
-    Columns already of a timestamp type are kept as they are. ``detect``: a bounded look at
-    the column decides which forms are tried first (never which are read).
+    Columns already of a timestamp type are kept as they are. ``first``: the forms tried first;
+    by default those that a bounded look at the column shows (never which are read).
 
     The value is produced by a generator, so that filters on it are not pushed below and
     the text is parsed once."""
@@ -85,7 +85,8 @@ def parse_ts_coerce(df: DataFrame, col: str = "pickup_datetime", formats=None, d
     if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
         out = df.withColumn(col, F.col(f"`{col}`").cast("timestamp_ntz"))
     else:
-        first = detect_forms(df, col) if detect and formats is None else ()
+        if first is None:
+            first = detect_forms(df, col) if formats is None else ()
         value = parse_timestamp(F.col(f"`{col}`"), formats, first)
         out = df.select(*[F.explode(F.array(value)).alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
     return out.dropna(subset=[col]) if drop else out
@@ -169,16 +170,19 @@ def _bound_cols(df: DataFrame, cols, factor, group_by):
     return _null_safe(df, b, g), {n: F.col(n) for c in cols for n in (f"{c}_lo", f"{c}_hi")}
 
 
+def _inside(bounds: dict, cols):
+    cond = None
+    for c in cols:
+        cc = F.col(c).between(bounds[f"{c}_lo"], bounds[f"{c}_hi"])
+        cond = cc if cond is None else cond & cc
+    return cond
+
+
 def iqr_filter(df: DataFrame, cols=("lat", "lon"), factor: float = IQR_FACTOR, group_by=()) -> DataFrame:
     """Keep rows whose every column lies within [Q1 - f*IQR, Q3 + f*IQR] (inclusive).
     ``group_by`` (e.g. the source file) computes the bounds per group."""
-    keep = df.columns
     j, b = _bound_cols(df, cols, factor, group_by)
-    cond = None
-    for c in cols:
-        cc = F.col(c).between(b[f"{c}_lo"], b[f"{c}_hi"])
-        cond = cc if cond is None else cond & cc
-    return j.where(cond).select(*keep)
+    return j.where(_inside(b, cols)).select(*df.columns)
 
 
 def iqr_outliers(df: DataFrame, cols=("Lat", "Lon"), factor: float = IQR_FACTOR, group_by=()) -> DataFrame:
@@ -275,18 +279,43 @@ def clean_pickups(df: DataFrame, group_by=(), factor: float = IQR_FACTOR) -> Dat
     names -> time alias -> coerce + drop -> exact dedup -> IQR on lat/lon (per
     ``group_by``, e.g. the source file) -> bounding box -> positive count -> fill names.
     Sorting is left to the writer; Spark tables carry no order."""
+    return clean_with_report(df, group_by, factor)[0]
+
+
+def clean_with_report(df: DataFrame, group_by=(), factor: float = IQR_FACTOR) -> tuple[DataFrame, DataFrame]:
+    """:func:`clean_pickups` and what every step removed: (step, rows_before, rows_after).
+
+    The counts up to the duplicates are observed while the deduplicated table is written;
+    those after it come from one aggregation, which runs only if the report is read."""
     df = normalize_colnames(df)
     try:
         df = resolve_time_alias(df)
     except KeyError:
         pass
+    raw, parsed = Observation("raw"), Observation("parsed")
+    # looked at before the counting, which ends with the first action
+    first = detect_forms(df, "pickup_datetime") if "pickup_datetime" in df.columns else ()
+    df = df.observe(raw, F.count(F.lit(1)).alias("n"))
     if "pickup_datetime" in df.columns:
-        df = parse_ts_coerce(df, "pickup_datetime")
-    df = nan_to_null(df)
+        df = parse_ts_coerce(df, "pickup_datetime", first=first)
+    df = nan_to_null(df.observe(parsed, F.count(F.lit(1)).alias("n")))
     # written once: the bounds and the filter below both read it
     df = materialize(dedup_all(df), "deduplicated")
-    if {"lat", "lon"} <= set(df.columns):
-        df = iqr_filter(df, ("lat", "lon"), factor, group_by)
-        df = bbox_filter(df)
-    df = positive_filter(df)
-    return fill_unknown(df)
+    located = {"lat", "lon"} <= set(df.columns)
+    j, conds = df, []
+    if located:
+        j, bounds = _bound_cols(df, ("lat", "lon"), factor, group_by)
+        conds = [("iqr", _inside(bounds, ("lat", "lon"))),
+                 ("bounding_box", F.col("lat").between(*BBOX_LAT) & F.col("lon").between(*BBOX_LON))]
+    if "pickups" in df.columns:
+        conds.append(("positive", F.col("pickups") > 0))
+    out, passed, counts = j, F.lit(True), [F.count(F.lit(1))]
+    for _, cond in conds:
+        out, passed = out.where(cond), passed & cond
+        counts.append(F.count_if(passed))
+    steps = ["parse_time", "duplicates", *(name for name, _ in conds)]
+    tail = j.agg(F.array(*counts).alias("n")).select(F.concat(
+        F.array(F.lit(raw.get["n"]), F.lit(parsed.get["n"])).cast("array<bigint>"), F.col("n")).alias("n"))
+    report = tail.select(F.posexplode(F.array(*[F.lit(s) for s in steps])).alias("i", "step"), "n").select(
+        "step", F.get("n", F.col("i")).alias("rows_before"), F.get("n", F.col("i") + 1).alias("rows_after"))
+    return fill_unknown(out.select(*df.columns)), report

@@ -1,22 +1,30 @@
 """Spatial clustering of pickup points (SURVEY 2.6 ``sample_n``; 2.9 ``kmeans_elbow``,
 ``kmeans_assign``; 2.4 ``cluster_summary``, ``cluster_radius``; 2.3 ``cluster_left_join``).
 
-k-means is ``pyspark.ml.clustering.KMeans`` (distributed Lloyd iterations, k-means||
-initialisation); its centres (k rows) are the only thing brought to the driver.
+The elbow is mini-batch k-means for all k at once: every job assigns one batch to the centres
+of every k, and per-centre counts set the learning rates. The clusters themselves come from
+``pyspark.ml.clustering.KMeans`` (distributed Lloyd iterations, k-means||
+initialisation). Centres (k rows) are the only thing brought to the driver.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Elbow range 3..15, the 100,000-point sample with seed 42, k = 10.
+from ..session import materialize, scratch_path
+
+# Elbow range 3..15, the 100,000-point sample with seed 42, k = 10, batches of 10,000.
 ELBOW_K = range(3, 16)
 SAMPLE_N = 100_000
 SEED = 42
 K = 10
+BATCH = 10_000
+EPOCHS = 3          # passes over the batches at most
 
 
 def sample_n(df: DataFrame, n: int = SAMPLE_N, seed: int = SEED, id_col: str = "event_id") -> DataFrame:
@@ -43,19 +51,94 @@ def _vec(df, lat="Lat", lon="Lon"):
     return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(df)
 
 
-def kmeans_elbow(points: DataFrame, ks=ELBOW_K, n: int = SAMPLE_N, seed: int = SEED) -> DataFrame:
-    """Within-cluster sum of squares for each k on a reproducible sample."""
-    from pyspark.ml.clustering import KMeans
+def _seeds(xy: np.ndarray, k: int, rng: np.random.Generator, tries: int = 3, rounds: int = 10) -> np.ndarray:
+    """k-means++ centres (each drawn by its squared distance to those before it), moved by a few
+    rounds over the seed points; the best of ``tries``."""
+    best = (np.inf, xy[:1])
+    for _ in range(tries):
+        c = xy[rng.integers(len(xy))][None]
+        d = ((xy - c[0]) ** 2).sum(1)
+        while len(c) < k:
+            at = rng.choice(len(xy), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(xy))
+            c = np.vstack([c, xy[at]])
+            d = np.minimum(d, ((xy - c[-1]) ** 2).sum(1))
+        for _ in range(rounds):
+            near = ((xy[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            n = np.bincount(near, minlength=k)
+            sums = np.stack([np.bincount(near, xy[:, i], k) for i in (0, 1)], axis=1)
+            c = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], c)
+        cost = float(((xy[:, None] - c[None]) ** 2).sum(2).min(1).sum())
+        if cost < best[0]:
+            best = (cost, c)
+    return best[1]
+
+
+def _cluster_sums(points: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """(k, c, n, lat, lon, d): per centre of every k the points nearest to it (the smaller
+    number of equally near ones), their sums and squared distances. A task sends one row per centre."""
+    centres = {k: c.copy() for k, c in centres.items()}
+
+    def run(batches):
+        total = {k: np.zeros((len(c), 4)) for k, c in centres.items()}
+        for b in batches:
+            xy = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], axis=1)
+            for k, c in centres.items():
+                d = (xy[:, :1] - c[:, 0]) ** 2 + (xy[:, 1:] - c[:, 1]) ** 2
+                near = d.argmin(1)
+                for i, w in enumerate((None, xy[:, 0], xy[:, 1], d[np.arange(len(xy)), near])):
+                    total[k][:, i] += np.bincount(near, w, len(c))
+        rows = [(k, i, int(t[0]), *map(float, t[1:])) for k, ts in total.items() for i, t in enumerate(ts) if t[0]]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        cols = zip(*rows) if rows else [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["k", "c", "n", "lat", "lon", "d"])
+
+    parts = points.select("Lat", "Lon").mapInArrow(run, "k int, c int, n bigint, lat double, lon double, d double")
+    return parts.groupBy("k", "c").agg(*[F.sum(x).alias(x) for x in ("n", "lat", "lon", "d")])
+
+
+def minibatch_kmeans(points: DataFrame, ks=ELBOW_K, batch: int = BATCH, epochs: int = EPOCHS, seed: int = SEED,
+                     id_col: str = "event_id", tol: float = 1e-6) -> tuple[dict[int, np.ndarray], DataFrame]:
+    """({k: centres}, table (k, inertia)) for all ``ks`` from one run over batches of about
+    ``batch`` points. A batch moves each centre towards the mean of its points by the share that
+    they have in all points the centre has seen. Passes over the batches end when no centre of any
+    k has moved by more than ``tol`` over a whole pass, or after ``epochs``.
+
+    Seeds come from at most one batch's worth of points; a batch's job returns one row
+    per (k, centre)."""
+    ks = [int(k) for k in ks]
     spark = points.sparkSession
-    from .models import _in_parallel
-    sample = _vec(sample_n(points, n, seed).select("event_id", "Lat", "Lon")).cache()
-    try:
-        # the fits are independent distributed jobs: submitted concurrently
-        rows = _in_parallel(lambda k: (int(k), float(KMeans(k=k, seed=seed, featuresCol="features")
-                                                      .fit(sample).summary.trainingCost)), list(ks), 8)
-    finally:
-        sample.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double")
+    pts = points.where(F.col("Lat").isNotNull() & F.col("Lon").isNotNull()).select(
+        F.col("Lat").cast("double").alias("Lat"), F.col("Lon").cast("double").alias("Lon"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("_h"))
+    path = materialize(pts, "kmeans_points")
+    total = path.count()
+    if not total:
+        return {}, spark.createDataFrame([], "k int, inertia double")
+    n_batches = max(1, round(total / batch))
+    # batches of their own files, so that a step reads its batch only
+    whole = scratch_path(spark, "kmeans_batches")
+    (path.withColumn("_b", F.pmod("_h", F.lit(n_batches))).repartition(max(n_batches, spark.sparkContext.defaultParallelism), "_b", F.col("_h") % 8)
+         .write.partitionBy("_b").parquet(whole))
+    rng = np.random.default_rng(seed)
+    first = np.array([[r["Lat"], r["Lon"]] for r in path.orderBy("_h", "Lat", "Lon").limit(batch).collect()])
+    centres = {k: _seeds(first, k, rng) for k in ks}
+    seen = {k: np.zeros(k) for k in ks}
+    table = spark.read.parquet(whole)
+
+    for _ in range(epochs):
+        before = {k: centres[k].copy() for k in ks}
+        for b in range(n_batches):
+            for r in _cluster_sums(table.where(F.col("_b") == b), centres).collect():     # at most sum(ks) rows
+                seen[r["k"]][r["c"]] += r["n"]
+                at = centres[r["k"]][r["c"]]
+                at += (np.array([r["lat"], r["lon"]]) - r["n"] * at) / seen[r["k"]][r["c"]]
+        if max(float(np.abs(centres[k] - before[k]).max()) for k in ks) <= tol:
+            break
+    return centres, _cluster_sums(table, centres).groupBy("k").agg(F.sum("d").alias("inertia"))
+
+
+def kmeans_elbow(points: DataFrame, ks=ELBOW_K, n: int = SAMPLE_N, seed: int = SEED) -> DataFrame:
+    """Within-cluster sum of squares for each k on a reproducible sample, by mini-batches."""
+    return minibatch_kmeans(sample_n(points, n, seed).select("event_id", "Lat", "Lon"), ks, seed=seed)[1]
 
 
 def kmeans_assign(points: DataFrame, k: int = K, seed: int = SEED):

@@ -1,8 +1,8 @@
 """Per-district regressors.
 
 Linear family (OLS, ridge, lasso, elastic net)
-    One grouped aggregation computes the sufficient statistics of every district
-    (n, sums of x, y, x x^T, x y, y^2) with partial (map-side) aggregation, so a hot
+    Grouped aggregations compute the sufficient statistics of every district (means, then
+    n and the sums of x, y, x x^T, x y, y^2 about them) with partial (map-side) aggregation, so a hot
     district costs one row of partial sums per task, never a whole group in memory.
     The solve itself runs on that one-row-per-district table with ``applyInPandas``
     (p x p numpy algebra, p <= ~20), and predictions are a projection after joining the
@@ -42,18 +42,34 @@ ENSEMBLE_EXTRA = ["lag_1", "lag_2", "lag_24", "rolling_mean_3h", "rolling_mean_2
 
 # -- sufficient statistics -------------------------------------------------------------
 
-def gram_sums(df: DataFrame, features, target: str = TARGET, keys=(KEY,)) -> DataFrame:
-    """One row per group: n, sx[p], sy, sxx[p*p] (row-major), sxy[p], syy."""
-    xs = [F.col(f).cast("double") for f in features]
-    y = F.col(target).cast("double")
-    p = len(xs)
-    return df.groupBy(*keys).agg(
+def gram_sums(df: DataFrame, features, target: str = TARGET, keys=(KEY,), shift_keys=None) -> DataFrame:
+    """One row per group of sums over values less the mean of their ``shift_keys`` group (by
+    default the group itself; rows that share it can be added up): n, sx[p], sy, sxx[p*p]
+    (row-major), sxy[p], syy, and the means mx[p], my.
+
+    Raw sums of columns with a large mean and a small spread cancel; shifted ones do not. The
+    means are one more aggregation, joined back as one row per group."""
+    from .quantiles import _null_safe
+    shift_keys = list(keys if shift_keys is None else shift_keys)
+    p = len(features)
+    vals = df.select(*keys, *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)],
+                     F.col(target).cast("double").alias("_y"))
+    mean = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
+    means = vals.groupBy(*shift_keys).agg(F.array(*[mean(f"_x{i}") for i in range(p)]).alias("mx"), mean("_y").alias("my"))
+    j = _null_safe(vals, means, shift_keys).withColumns(
+        {**{f"_x{i}": F.col(f"_x{i}") - F.col("mx")[i] for i in range(p)}, "_y": F.col("_y") - F.col("my")})
+    xs, y = [F.col(f"_x{i}") for i in range(p)], F.col("_y")
+    half = [(i, k) for i in range(p) for k in range(i, p)]       # the other half is the same by symmetry
+    g = j.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.array(*[F.sum(x) for x in xs]).alias("sx"),
         F.sum(y).alias("sy"),
-        F.array(*[F.sum(xs[i] * xs[j]) for i in range(p) for j in range(p)]).alias("sxx"),
+        F.array(*[F.sum(xs[i] * xs[k]) for i, k in half]).alias("_half"),
         F.array(*[F.sum(x * y) for x in xs]).alias("sxy"),
-        F.sum(y * y).alias("syy"))
+        F.sum(y * y).alias("syy"), F.first("mx").alias("mx"), F.first("my").alias("my"))
+    at = {ik: n for n, ik in enumerate(half)}
+    full = F.array(*[F.col("_half")[at[min(i, k), max(i, k)]] for i in range(p) for k in range(p)])
+    return g.withColumn("sxx", full).drop("_half")
 
 
 def centered(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float]:
@@ -63,10 +79,10 @@ def centered(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float]:
     p = sx.size
     sxx = np.asarray(row["sxx"], dtype=float).reshape(p, p)
     sxy = np.asarray(row["sxy"], dtype=float)
-    xbar, ybar = sx / n, float(row["sy"]) / n
-    G = sxx - n * np.outer(xbar, xbar)
-    c = sxy - n * xbar * ybar
-    return G, c, xbar, ybar, n
+    xoff, yoff = sx / n, float(row["sy"]) / n           # what the means missed: rounding only
+    G = sxx - n * np.outer(xoff, xoff)
+    c = sxy - n * xoff * yoff
+    return G, c, np.asarray(row["mx"], float) + xoff, float(row["my"]) + yoff, n
 
 
 def solve_ridge(G, c, alpha: float) -> np.ndarray:

@@ -126,6 +126,8 @@ def _enet_grid(key, p):
                     best = (m, l1, a)
         _, l1, a = best
         b, w = fit_sums(total, a, l1)
+        first = pdf.iloc[0]         # the sums are about the district's means
+        b = b + float(first["my"]) - float(np.asarray(first["mx"], float) @ w)
         return pd.DataFrame([{key: pdf[key].iloc[0], "l1_ratio": l1, "alpha": a, "intercept": b,
                               "coef": [float(v) for v in w]}])
     return fit
@@ -135,7 +137,7 @@ def elastic_net_cv(meta: DataFrame, features, target: str = "y_true", key: str =
                    order: str = "pos") -> DataFrame:
     """Per district: (l1_ratio, alpha) by 3-fold contiguous CV mean squared error, then the
     model refitted on all meta rows. Returns (key, l1_ratio, alpha, intercept, coef)."""
-    g = gram_sums(fold_ids(meta, key, order), features, target, (key, "fold"))
+    g = gram_sums(fold_ids(meta, key, order), features, target, (key, "fold"), (key,))
     kt = dict(g.dtypes)[key]
     return g.groupBy(key).applyInPandas(
         _enet_grid(key, len(features)),

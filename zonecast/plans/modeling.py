@@ -104,13 +104,19 @@ def ensemble_run(train: DataFrame, test: DataFrame, top_k: int = 10, rf_params:
 
 def sequence_run(features: DataFrame, top_k: int = 10, seq_len: int = 24, reg: float = 1.0,
                  kind: str = "ridge") -> tuple[DataFrame, DataFrame]:
-    """The sequence model re-aimed: the 24 x 14 window flattened into a vector, one ridge
-    (or boosted-tree) regressor per district trained on the train windows, predictions of
-    the test windows mapped back to pickups with the district's min-max statistics."""
-    seq = materialize(sq.flatten_x(sq.sequence_job(features, top_k, seq_len)), "sequence_windows")
-    names = [r[KEY] for r in seq.select(KEY).distinct().collect()]      # <= top_k names
-    pr = MD.fit_predict_vector(seq.where("split = 'train'"), seq.where("split = 'test'"), kind, reg, "y", KEY, names)
-    sel = features.join(F.broadcast(eda.topk_by_rows(features, top_k).select(KEY)), KEY, "left_semi")
+    """The sequence model re-aimed: one ridge on the flattened 24 x 14 window per district,
+    from lag products, without building the windows (or boosted trees on built windows),
+    predictions of the test windows mapped back to pickups with the district's min-max statistics."""
+    top = F.broadcast(eda.topk_by_rows(features, top_k).select(KEY))
+    sel = features.join(top, KEY, "left_semi")
+    if kind == "ridge":
+        scaled = materialize(sc.minmax_scale(sel, sq.SEQ_FEATURES, KEY).select(KEY, TS, *sq.SEQ_FEATURES), "sequence_rows")
+        model = materialize(sq.fit_sequence_ridge(scaled, seq_len=seq_len, reg=reg), "sequence_model")
+        pr = spl.sequence_split(sq.predict_sequence_ridge(scaled, model, seq_len=seq_len)).where("split = 'test'")
+    else:
+        seq = materialize(sq.flatten_x(sq.sequence_job(features, top_k, seq_len)), "sequence_windows")
+        names = [r[KEY] for r in seq.select(KEY).distinct().collect()]      # <= top_k names
+        pr = MD.fit_predict_vector(seq.where("split = 'train'"), seq.where("split = 'test'"), kind, reg, "y", KEY, names)
     stats = sc.minmax_stats(sel, ["pickups"])
     pr = pr.select(KEY, TS, F.col("y").alias("y_true"), "y_pred")
     pr = sc.minmax_inverse(sc.minmax_inverse(pr, stats, "y_true", "pickups"), stats, "y_pred", "pickups")

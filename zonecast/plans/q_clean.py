@@ -28,14 +28,25 @@ def q_resolve_time_alias(spark, d):
     return C.resolve_time_alias(C.normalize_colnames(si.raw_pickups(spark, d)))
 
 
-@query("parse_ts_coerce", "WITH " + si.PICKUPS_SQL + """
-SELECT event_id, date_trunc('second', pickup_datetime) AS pickup_datetime FROM pickups""")
+@query("parse_ts_coerce", "WITH " + si.DIRTY_SQL + """
+SELECT event_id, pickup_datetime FROM dirty WHERE pickup_datetime IS NOT NULL""")
 def q_parse_ts_coerce(spark, d):
-    p = si.pickups(spark, d).select("event_id", F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss")
-                                    .alias("pickup_datetime"))
+    """Times written in eight forms and some that are none."""
+    p = si.dirty_pickups(spark, d).select("event_id", F.col("Date/Time").alias("pickup_datetime"))
     return C.parse_ts_coerce(p, "pickup_datetime")
 
 
+@query("unparsed_times", "WITH " + si.PICKUPS_SQL + """
+SELECT shape, COUNT(*) AS n, MIN(bad) AS example FROM (
+  SELECT CASE event_id % 4 WHEN 0 THEN 'n/a' WHEN 1 THEN '13/45/2014' WHEN 2 THEN '2014-02-30' END AS bad,
+         CASE event_id % 4 WHEN 0 THEN 'a/a' WHEN 1 THEN '99/99/9999' WHEN 2 THEN '9999-99-99' END AS shape
+  FROM pickups, range(2) copies(c) WHERE event_id % 9 = 8 AND (c = 0 OR event_id % 20 = 0)) WHERE bad IS NOT NULL GROUP BY shape""")
+def q_unparsed_times(spark, d):
+    """What the coercing parse drops: the shapes of unreadable times, counted."""
+    from ..functions.timestamps import unparsed_shapes
+    return unparsed_shapes(si.dirty_pickups(spark, d), "Date/Time")
+
+
 @query("drop_null_subset", "WITH " + si.FEATURES_ALL_SQL + """
 SELECT cd_name, pickup_datetime, pickups, lag_1, lag_2, lag_24 FROM feat_all
 WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_24 IS NOT NULL""")
@@ -51,16 +62,17 @@ def q_dedup_all(spark, d):
     return C.dedup_all(p)
 
 
-@query("dedup_subset", "WITH " + si.RAW_SQL + """
-SELECT DISTINCT "Date/Time", Lat, Lon, Base FROM raw""")
+@query("dedup_subset", "WITH " + si.DIRTY_SQL + """
+SELECT DISTINCT event_id, Lat, Lon, Base FROM dirty""")
 def q_dedup_subset(spark, d):
-    return C.dedup_subset(si.raw_pickups(spark, d), ["Date/Time", "Lat", "Lon", "Base"])
+    """One row per event of a source that writes every twentieth twice."""
+    return C.dedup_subset(si.dirty_pickups(spark, d).select("event_id", "Lat", "Lon", "Base"), ["event_id", "Base"])
 
 
-_IQR_SQL = si.PICKUPS_SQL + """,
+_IQR_SQL = si.DIRTY_SQL + """,
 q AS (
   SELECT quantile_cont(Lat, 0.25) AS la1, quantile_cont(Lat, 0.75) AS la3,
-         quantile_cont(Lon, 0.25) AS lo1, quantile_cont(Lon, 0.75) AS lo3 FROM pickups
+         quantile_cont(Lon, 0.25) AS lo1, quantile_cont(Lon, 0.75) AS lo3 FROM dirty
 ),
 b AS (
   SELECT la1 - 1.5 * (la3 - la1) AS lat_lo, la3 + 1.5 * (la3 - la1) AS lat_hi,
@@ -69,10 +81,12 @@ b AS (
 
 
 @query("iqr_filter", "WITH " + _IQR_SQL + """
-SELECT event_id, Lat AS lat, Lon AS lon, Base FROM pickups, b
+SELECT event_id, Lat AS lat, Lon AS lon, Base FROM dirty, b
 WHERE Lat BETWEEN lat_lo AND lat_hi AND Lon BETWEEN lon_lo AND lon_hi""")
 def q_iqr_filter(spark, d):
-    return C.iqr_filter(_lower_points(spark, d), ("lat", "lon"))
+    """Points with far outliers and repeated rows."""
+    p = si.dirty_pickups(spark, d).select("event_id", F.col("Lat").alias("lat"), F.col("Lon").alias("lon"), "Base")
+    return C.iqr_filter(p, ("lat", "lon"))
 
 
 _EV_IQR_GROUP_SQL = """
@@ -119,25 +133,35 @@ def q_bbox_outliers(spark, d):
     return C.bbox_outliers(si.pickups(spark, d).select("event_id", "Lat", "Lon"))
 
 
-@query("positive_filter", "WITH " + si.HOURLY_SQL + "\nSELECT cd_name, pickup_datetime, pickups FROM hourly WHERE pickups > 0")
+@query("positive_filter", "WITH " + si.HOURLY_SQL + "\nSELECT cd_name, pickup_datetime, pickups - 5 AS pickups FROM hourly WHERE pickups - 5 > 0")
 def q_positive_filter(spark, d):
-    return C.positive_filter(feat.hourly_count(si.pickups(spark, d)))
-
-
-@query("clean_job", "WITH " + _IQR_SQL + """
-SELECT date_trunc('second', pickup_datetime) AS pickup_datetime, lat, lon, base FROM (
-  SELECT DISTINCT date_trunc('second', pickup_datetime) AS pickup_datetime, Lat AS lat, Lon AS lon, Base AS base
-  FROM pickups) x, (
-  SELECT quantile_cont(lat, 0.25) AS la1, quantile_cont(lat, 0.75) AS la3,
-         quantile_cont(lon, 0.25) AS lo1, quantile_cont(lon, 0.75) AS lo3
-  FROM (SELECT DISTINCT date_trunc('second', pickup_datetime) AS t, Lat AS lat, Lon AS lon, Base AS base FROM pickups)) q2
-WHERE lat BETWEEN la1 - 1.5 * (la3 - la1) AND la3 + 1.5 * (la3 - la1)
-  AND lon BETWEEN lo1 - 1.5 * (lo3 - lo1) AND lo3 + 1.5 * (lo3 - lo1)
-  AND lat BETWEEN 40.5 AND 41.0 AND lon BETWEEN -74.3 AND -73.7""")
+    """Hourly counts less five, so that some are zero or negative."""
+    return C.positive_filter(feat.hourly_count(si.pickups(spark, d)).withColumn("pickups", F.col("pickups") - 5))
+
+
+_CLEAN_SQL = si.DIRTY_SQL + """,
+dd AS (SELECT DISTINCT pickup_datetime, Lat AS lat, Lon AS lon, Base AS base FROM dirty WHERE pickup_datetime IS NOT NULL),
+q2 AS (SELECT quantile_cont(lat, 0.25) AS la1, quantile_cont(lat, 0.75) AS la3,
+              quantile_cont(lon, 0.25) AS lo1, quantile_cont(lon, 0.75) AS lo3 FROM dd),
+fl AS (SELECT dd.*, lat BETWEEN la1 - 1.5 * (la3 - la1) AND la3 + 1.5 * (la3 - la1)
+                AND lon BETWEEN lo1 - 1.5 * (lo3 - lo1) AND lo3 + 1.5 * (lo3 - lo1) AS in_fence,
+              lat BETWEEN 40.5 AND 41.0 AND lon BETWEEN -74.3 AND -73.7 AS in_box FROM dd, q2)"""
+
+
+@query("clean_job", "WITH " + _CLEAN_SQL + "\nSELECT pickup_datetime, lat, lon, base FROM fl WHERE in_fence AND in_box")
 def q_clean_job(spark, d):
-    """The whole cleaning step on the raw layout (Date/Time text, Lat, Lon, Base)."""
-    raw = si.raw_pickups(spark, d).withColumnRenamed("Date/Time", "pickup_datetime")
-    return C.clean_pickups(raw)
+    """The whole cleaning step on a dirty source (times in many forms, repeated rows, outliers)."""
+    return C.clean_pickups(si.dirty_pickups(spark, d).select("Date/Time", "Lat", "Lon", "Base"))
+
+
+@query("clean_steps", "WITH " + _CLEAN_SQL + """,
+n AS (SELECT (SELECT COUNT(*) FROM dirty) AS a, (SELECT COUNT(*) FROM dirty WHERE pickup_datetime IS NOT NULL) AS b,
+             COUNT(*) AS c, COUNT(*) FILTER (WHERE in_fence) AS d, COUNT(*) FILTER (WHERE in_fence AND in_box) AS e FROM fl)
+SELECT 'parse_time' AS step, a AS rows_before, b AS rows_after FROM n UNION ALL SELECT 'duplicates', b, c FROM n
+UNION ALL SELECT 'iqr', c, d FROM n UNION ALL SELECT 'bounding_box', d, e FROM n""")
+def q_clean_steps(spark, d):
+    """Rows before and after every cleaning step."""
+    return C.clean_with_report(si.dirty_pickups(spark, d).select("Date/Time", "Lat", "Lon", "Base"))[1]
 
 
 @query("fill_unknown", "WITH " + si.GRID_SQL + """

@@ -89,13 +89,17 @@ def q_coord_stats(spark, d):
     return rounded(eda.coord_stats(si.pickups(spark, d)))
 
 
-_NULL_COLS = ["event_id", "pickup_datetime", "Lat", "Lon", "Base", "user_id", "boro_cd", "cd_name"]
+_NULL_COLS = ["event_id", "pickup_datetime", "Lat", "Lon", "Base", "cd_name"]
 
 
-@query("null_counts", "WITH " + si.PICKUPS_SQL + "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM pickups" for c in _NULL_COLS))
+@query("null_counts", "WITH " + si.DIRTY_SQL + ", gaps AS (SELECT * REPLACE (CASE WHEN event_id % 11 <> 4 THEN Lat END AS Lat) FROM dirty)\n"
+       + "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM gaps" for c in _NULL_COLS))
 def q_null_counts(spark, d):
-    return eda.null_counts(si.pickups(spark, d).select(*_NULL_COLS))
+    """A dirty source: unreadable times kept as nulls, every eleventh latitude missing."""
+    from ..operators.clean import parse_ts_coerce
+    p = si.dirty_pickups(spark, d).withColumnRenamed("Date/Time", "pickup_datetime")
+    p = p.withColumn("Lat", F.when(F.pmod("event_id", F.lit(11)) != 4, F.col("Lat")))
+    return eda.null_counts(parse_ts_coerce(p, "pickup_datetime", drop=False).select(*_NULL_COLS))
 
 
 @query("duplicate_count", "WITH " + si.PARTS_SQL + """

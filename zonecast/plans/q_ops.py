@@ -28,18 +28,42 @@ from .registry import query, r, rounded
 
 # -- sources and sinks -------------------------------------------------------------
 
-@query("scan_skip_bad_file", "WITH " + si.PICKUPS_SQL + """
-SELECT date_trunc('second', pickup_datetime) AS pickup_datetime, Lat, Lon FROM pickups""")
-def q_scan_skip_bad_file(spark, d):
-    """Raw files plus a file without coordinates (orders) and a missing path: the bad
-    ones are skipped, the good ones read as one table."""
+def _files_with_bad_ones(spark, d):
+    """Raw files, a file without coordinates (orders), a missing path, an empty file and a
+    compressed file that ends too early."""
     base = scratch_path(spark, "skip")
     si.raw_pickups(spark, d).write.option("header", True).csv(f"{base}/good")
     si.table(spark, d, "orders").select("o_orderkey", "o_orderdate") \
         .write.option("header", True).csv(f"{base}/bad")
     files = [f for sub in ("good", "bad") for f in spark.read.text(f"{base}/{sub}").inputFiles()]
-    files.append(f"{base}/missing.csv")
-    return FS.scan_many_union(spark, files).select("pickup_datetime", "Lat", "Lon")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    import gzip
+    text = "pickup_datetime,lat,lon\n" + "".join(f"2014-04-01 00:{i % 60:02d}:00,40.{i * 7919 % 9973},-74.0\n" for i in range(20_000))
+    for name, body in (("cut.csv.gz", gzip.compress(text.encode())[:-4000]), ("empty.csv", b"")):
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
+        out = path.getFileSystem(conf).create(path)
+        out.write(bytearray(body))
+        out.close()
+        files.append(f"{base}/{name}")
+    return [*files, f"{base}/missing.csv"]
+
+
+@query("scan_skip_bad_file", "WITH " + si.PICKUPS_SQL + """
+SELECT date_trunc('second', pickup_datetime) AS pickup_datetime, Lat, Lon FROM pickups""")
+def q_scan_skip_bad_file(spark, d):
+    """Of good and bad files the good ones are read as one table."""
+    return FS.scan_many_union(spark, _files_with_bad_ones(spark, d)).select("pickup_datetime", "Lat", "Lon")
+
+
+@query("skipped_files", """SELECT * FROM (VALUES ('bad', 'no columns'), ('cut.csv.gz', 'unreadable'), ('empty.csv', 'empty'),
+('missing.csv', 'missing')) AS v(file, reason) WHERE (SELECT COUNT(*) FROM orders) > 0""")
+def q_skipped_files(spark, d):
+    """The bad files and why they were skipped."""
+    report = FS.scan_many_report(spark, _files_with_bad_ones(spark, d))[1]
+    why = (F.when(F.col("reason").startswith("no time"), "no columns").when(F.col("reason") == "empty file", "empty")
+           .when(F.col("reason").contains("PATH_NOT_FOUND"), "missing").otherwise("unreadable"))
+    name = F.when(F.col("file").contains("/bad/"), "bad").otherwise(F.substring_index("file", "/", -1))
+    return report.select(name.alias("file"), why.alias("reason")).distinct()
 
 
 @query("scan_skip_bad_rows", "WITH " + si.RUNLOG_SQL + """

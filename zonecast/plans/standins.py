@@ -123,6 +123,27 @@ def raw_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "Lat", "Lon", "Base")
 
 
+#: Ways in which the time of a dirty row is written, by event_id % 9; the last kind cannot be read.
+DIRTY_FORMS = ["M/d/yyyy H:mm:ss", "yyyy-MM-dd HH:mm:ss", "MMM d yyyy", "yyyy/MM/dd HH:mm", "yyyyMMdd", "M-d-yyyy H:mm",
+               "M/d/yy H:mm", "M/d/yyyy h:mm:ss a"]
+DIRTY_BAD = ["n/a", "13/45/2014", "2014-02-30", None]
+
+
+def dirty_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pickups as a careless source writes them: times in eight forms and some that are none,
+    every twentieth row twice, points far off and points just outside the city box."""
+    p = pickups(spark, sf_dir)
+    e = F.col("event_id")
+    text = F.element_at(F.array(*[F.lit(b) for b in DIRTY_BAD]), (F.pmod(e, F.lit(4)) + 1).cast("int"))
+    for k, f in enumerate(DIRTY_FORMS):
+        text = F.when(F.pmod(e, F.lit(9)) == k, F.date_format("pickup_datetime", f)).otherwise(text)
+    lat = F.col("Lat") + F.when(F.pmod(e, F.lit(50)) == 3, 3.0).when(F.pmod(e, F.lit(30)) == 7, 0.2).otherwise(0.0)
+    lon = F.col("Lon") - F.when(F.pmod(e, F.lit(70)) == 5, 2.0).otherwise(0.0)
+    twice = F.explode(F.array_repeat(F.lit(1), F.when(F.pmod(e, F.lit(20)) == 0, 2).otherwise(1)))
+    return p.select("event_id", text.alias("Date/Time"), lat.alias("Lat"), lon.alias("Lon"), "Base", "cd_name",
+                    twice.alias("_copy")).drop("_copy")
+
+
 def pickups_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.eda import with_parts
     return with_parts(pickups(spark, sf_dir))
@@ -149,6 +170,17 @@ raw AS (
   SELECT strftime(pickup_datetime, '%-m/%-d/%Y %-H:%M:%S') AS "Date/Time", Lat, Lon, Base FROM pickups
 )"""
 
+#: What is left of the dirty rows' times: the precision that their form keeps, NULL if it is none.
+DIRTY_SQL = PICKUPS_SQL + """,
+dirty AS (
+  SELECT event_id, CASE WHEN event_id % 9 IN (0, 1, 7) THEN date_trunc('second', pickup_datetime)
+                        WHEN event_id % 9 IN (2, 4) THEN CAST(CAST(pickup_datetime AS DATE) AS TIMESTAMP)
+                        WHEN event_id % 9 IN (3, 5, 6) THEN date_trunc('minute', pickup_datetime) END AS pickup_datetime,
+         Lat + CAST(CASE WHEN event_id % 50 = 3 THEN 3.0 WHEN event_id % 30 = 7 THEN 0.2 ELSE 0.0 END AS DOUBLE) AS Lat,
+         Lon - CAST(CASE WHEN event_id % 70 = 5 THEN 2.0 ELSE 0.0 END AS DOUBLE) AS Lon, Base, cd_name
+  FROM pickups, range(2) copies(c) WHERE c = 0 OR event_id % 20 = 0
+)"""
+
 PARTS_SQL = PICKUPS_SQL + """,
 parts AS (
   SELECT *, CAST(hour(pickup_datetime) AS INTEGER) AS Hour, CAST(day(pickup_datetime) AS INTEGER) AS Day,

@@ -7,14 +7,19 @@ district keys in file names), comes from the ``_metadata.file_name`` column.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import re
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import key_from_slug
+from ..functions.scalars import key_from_slug, parse_timestamp
+from ..functions.timestamps import detect_forms
 from ..operators.clean import LAT_ALIASES, LON_ALIASES, TIME_PRIORITY
 
 
@@ -42,9 +47,38 @@ def scan_csv_dates(spark: SparkSession, path, schema: T.StructType, date_cols=("
             .option("timestampNTZFormat", fmt).csv(path))
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one headered CSV file, by the CSV reader (quotes included)."""
-    return [c.strip() for c in spark.read.option("header", True).csv(path).columns]
+def _plain(path: str) -> str:
+    """A path as it compares: no escapes, and local files without their scheme."""
+    return re.sub(r"^file:/+", "/", unquote(path))
+
+
+def _headers(spark: SparkSession, files: list[str]) -> tuple[dict[str, list[str]], list[tuple[str, str]]]:
+    """({file: column names}, [(file, reason) of those that cannot be read]).
+
+    One distributed pass over the lines of all files finds the first of each, and shows that
+    every file can be read to its end. A missing or broken file stops such a pass and is named
+    by the error; it is set aside and the pass repeated with the others, so there is one job, and
+    one more for each bad file."""
+    left, bad = list(dict.fromkeys(files)), []
+    while left:
+        try:
+            lines = spark.read.text(left).select("value", F.col("_metadata.file_path").alias("file"),
+                                                 F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("i"))
+            first = lines.groupBy("file").agg(F.min_by("value", F.struct("at", "i")).alias("head")).collect()
+        except (PySparkException, Py4JJavaError) as e:      # the second: a task that failed while reading
+            said = str(e)
+            lost = [f for f in left if _plain(f) in _plain(said)]
+            lost = [f for f in lost if not any(f != g and _plain(f) in _plain(g) for g in lost)]     # the longest name
+            if not lost:
+                raise
+            why = re.search(r"\[[A-Z_.]+\][^\n]*", said)
+            bad += [(f, why[0] if why else said.splitlines()[0]) for f in lost]
+            left = [f for f in left if f not in lost]
+            continue
+        heads = {_plain(r["file"]): [c.strip() for c in next(csv.reader([r["head"].lstrip("\ufeff")]), [])] for r in first}
+        bad += [(f, "empty file") for f in left if _plain(f) not in heads]
+        return {f: heads[_plain(f)] for f in left if _plain(f) in heads}, bad
+    return {}, bad
 
 
 def scan_many_union(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -56,19 +90,15 @@ def scan_many_report(spark: SparkSession, files: list[str]) -> tuple[DataFrame,
     """Read raw pickup files with differing header spellings as one table
     (pickup_datetime, Lat, Lon, pickups=1, source_file).
 
-    Files are grouped by header (metadata only: one line each); each group is one
-    distributed read renamed to the common names; groups are united by name. A missing
-    file or one without a usable time or coordinate column is skipped and listed with the
-    reason in the second result (file, reason); none left is an error, as is a file that
-    breaks while it is read.
+    Files are grouped by header; each group is one distributed read renamed to the common
+    names; groups are united by name. A file that is missing, empty or breaks while it is read
+    and one without a usable time or coordinate column are skipped and listed with the reason in
+    the second result (file, reason); none left is an error.
     """
-    skipped: list[tuple[str, str]] = []
+    heads, skipped = _headers(spark, files)
     groups: dict[tuple, list[str]] = {}
-    for f in files:
-        try:
-            groups.setdefault(tuple(_header(spark, f)), []).append(f)
-        except AnalysisException as e:
-            skipped.append((f, str(e).splitlines()[0]))
+    for f, cols in heads.items():
+        groups.setdefault(tuple(cols), []).append(f)
     parts = []
     for cols, paths in groups.items():
         low = [c.lower() for c in cols]
@@ -80,8 +110,8 @@ def scan_many_report(spark: SparkSession, files: list[str]) -> tuple[DataFrame,
             continue
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         df = spark.read.schema(schema).option("header", True).csv(paths)
-        from ..functions.scalars import parse_timestamp
-        parts.append(df.select(parse_timestamp(F.col(f"`{tcol}`")).alias("pickup_datetime"),
+        value = parse_timestamp(F.col(f"`{tcol}`"), first=detect_forms(df, tcol))
+        parts.append(df.select(F.explode(F.array(value)).alias("pickup_datetime"),      # parsed once, see clean.parse_ts_coerce
                                F.col(f"`{lat}`").try_cast("double").alias("Lat"),
                                F.col(f"`{lon}`").try_cast("double").alias("Lon"),
                                F.lit(1).alias("pickups"),
