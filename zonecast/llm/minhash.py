@@ -13,11 +13,11 @@ With 36 bands of 5 rows a pair at similarity 0.8 meets in no band with probabili
 Skew and size: equal sets form one class before banding (partial aggregation), so exact
 copies are one row from then on. Inside a bucket no pairs are listed: every member is
 tested against one centre, links are contracted into components, members still apart are
-tested against a newly drawn centre, and at the end only members of different components
-that share a bucket meet, in a join whose condition is the exact test, so only links leave
-it. A bucket of mutually near copies costs its size, and no link between components is
-missed. Buckets are joined by key, which adaptive execution splits when hot. Intermediate
-tables go to the shared checkpoint folder.
+tested against a newly drawn centre, and at the end members of different components meet by
+their rarest shingles, so that only pairs that can reach the threshold do, however much
+boilerplate a bucket shares. A bucket of mutually near copies costs its size, and no link between
+components is missed. Joins are by key, which adaptive execution splits when hot.
+Intermediate tables go to the shared checkpoint folder.
 
 Defined results: null or word-less texts have an empty set, are linked with nothing (not
 even each other) and are kept; a text of fewer than k words has its whole word sequence as
@@ -138,16 +138,26 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _linked_across(apart: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links between members (key, rep, c) of different components that share a bucket: one
-    join on the bucket whose condition holds the whole test, so that only links come out.
-    A pair is tested in the first bucket it shares."""
-    full = materialize(apart.join(sets.withColumnRenamed("id", "rep"), "rep"), "minhash-apart")
-    x, y = full.alias("x"), full.alias("y")
-    test = F.expr(f"""x.key = y.key AND x.c < y.c
-        AND 100 * least(size(x.set), size(y.set)) >= {threshold} * greatest(size(x.set), size(y.set))
-        AND x.key = array_min(array_intersect(x.keys, y.keys))
-        AND (100 + {threshold}) * size(array_intersect(x.set, y.set)) >= {threshold} * (size(x.set) + size(y.set))""")
-    return x.join(y, test).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    """All links between members (key, rep, c) of different components that share a bucket
+    with another one.
+
+    Two sets that reach the threshold share one of their rarest shingles: of n shingles, put
+    in one order for all sets, the first n - ceil(threshold * n) + 1 hold one of the other's.
+    The order is by frequency among the members, so what many texts have in common (boilerplate)
+    comes last and brings nobody together. Pairs meet on such a shingle only if their sizes, and
+    what is left of both sets after it, still allow the threshold; those are tested in full."""
+    full = materialize(apart.select("rep", "c").distinct().join(sets.select(F.col("id").alias("rep"), "set"), "rep"), "minhash-apart")
+    each = full.select("rep", "c", F.size("set").alias("n"), F.explode("set").alias("s"))
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    ordered = each.join(common, "s").groupBy("rep", "c", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("o"))
+    first = F.expr(f"n - int(ceil({threshold} * n / 100.0)) + 1")
+    prefix = materialize(ordered.select("rep", "c", "n", F.posexplode(F.slice("o", F.lit(1), first)).alias("i", "e"))
+                         .where("e.f > 1").select("rep", "c", "n", "i", F.col("e.s").alias("s")), "minhash-prefix")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    meet = F.expr(f"""x.s = y.s AND x.c < y.c AND 100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)
+        AND (100 + {threshold}) * (1 + least(x.n - x.i - 1, y.n - y.i - 1)) >= {threshold} * (x.n + y.n)""")
+    pairs = x.join(y, meet).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    return linked(pairs, sets, threshold)
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, threshold: int = 80,
