@@ -4,18 +4,21 @@ Totals per (source, language, tokenizer version) are sums, so a batch only has t
 changed: an inserted document counts plus, a deleted one minus, a revised count minus the
 old and plus the new. A batch is summed per key (map-side first, so a source that holds a
 third of all rows costs one row per task) and written to its own partition of the delta
-table. A batch is identified by its id: committing it again replaces that partition with
-the same rows, so a retry after a lost driver or executor changes nothing, and readers
-never see half a batch because Spark moves the files in when the write commits.
+table. A batch is identified by its id and written to a folder of its own per attempt; a
+commit list, one row per finished attempt, says which folder holds it. A batch committed
+again, empty or not, replaces itself by a later row of the list, so a retry after a lost driver
+or executor changes nothing, and readers, who follow the list, never see half a batch.
 
 Defined results: null sources, languages or versions form keys of their own; a null count
 is 0 tokens; a document in both states with equal key and count gives no delta; rows that
 repeat (id, version) within a state are summed; empty states give empty batches, which
-commit nothing; extra columns are ignored; keys whose documents are all gone stay with 0.
+add nothing and clear what their id held; extra columns are ignored; keys whose documents are all gone stay with 0.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,10 +62,22 @@ class Rollup:
 
     def commit(self, batch: int, changes: DataFrame) -> None:
         """Write batch ``batch``; a second commit of the same id replaces the first."""
+        attempt = uuid.uuid4().hex
         (changes.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-         .withColumn("batch", F.lit(batch)).coalesce(1)  # one row per key
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.path))
+         .coalesce(1)  # one row per key
+         .write.parquet(f"{self.path}/deltas/attempt={attempt}"))
+        # the batch counts from here on: one small file, moved in as a whole
+        (self.spark.range(1).select(F.lit(batch).cast("long").alias("batch"), F.lit(attempt).alias("attempt"),
+                                    F.unix_micros(F.current_timestamp()).alias("at"))
+         .coalesce(1).write.mode("append").parquet(f"{self.path}/commits"))
+
+    def current(self) -> DataFrame:
+        """The delta rows of the latest commit of every batch."""
+        commits = self.spark.read.schema("batch long, attempt string, at long").parquet(f"{self.path}/commits")
+        latest = commits.groupBy("batch").agg(F.max(F.struct("at", "attempt"))["attempt"].alias("attempt"))
+        rows = (self.spark.read.schema("source string, lang string, version string, docs long, tokens long, attempt string")
+                .option("basePath", f"{self.path}/deltas").parquet(f"{self.path}/deltas"))
+        return rows.join(latest, "attempt").drop("attempt")
 
     def totals(self) -> DataFrame:
-        rows = self.spark.read.schema("source string, lang string, version string, docs long, tokens long, batch int").parquet(self.path)
-        return rows.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
+        return self.current().groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
