@@ -10,8 +10,8 @@ digest and a name are under 200 bytes); a larger one is joined by shuffle.
 Defined results: null and empty texts, and texts without a letter or digit, have the digest
 of the empty string and match nothing; equal texts get equal results; of several known
 texts with one digest the least name is given; repeated rows each get theirs; an empty
-table gives no rows; extra columns are ignored, an id that repeats gets the lines of all
-its rows.
+table gives no rows; extra columns are ignored, an id that repeats, the null id too, gets the
+lines of all its rows.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ EQUIVALENT = [("licence", "license"), ("licences", "licenses"), ("licenced", "li
               ("sub license", "sublicense"), ("copyright owner", "copyright holder"), ("favour", "favor"),
               ("organisation", "organization"), ("organisations", "organizations"), ("authorisation", "authorization"),
               ("non commercial", "noncommercial"), ("whilst", "while"), ("per cent", "percent"), ("http", "https"), ("gnu gpl", "gnu general public license"),
-              ("version 3 0", "version 3"), ("v3", "version 3"), ("v2 0", "version 2 0")]
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright [^\n]*[0-9][0-9][0-9][0-9]|copyright \(c\)|\(c\)|©|all rights reserved)[^\n]*"
+              ("v3", "version 3"), ("version 3 0", "version 3"), ("v2", "version 2")]
+#: A line with the word or sign of copyright and a year, "copyright (c)" with a name, or the usual reservation.
+COPYRIGHT_LINE = (r"(^|\n)[^\p{L}\p{N}\n]*((copyright|\(c\)|©)[^\n]*[0-9][0-9][0-9][0-9]|copyright (\(c\)|©) *\p{L}|© *\p{L}"
+                  r"|all rights reserved)[^\n]*")
 #: Short licence texts and the usual one-line notices.
 KNOWN = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -59,7 +61,8 @@ def canonical(text: Column) -> Column:
     t = F.regexp_replace(t, COPYRIGHT_LINE, "$1")
     t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     for a, b in EQUIVALENT:
-        t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
+        for _ in range(2):      # neighbours share a blank: the second pass takes what the first left between two hits
+            t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(t)  # blanks are single inside already
 
 
@@ -84,4 +87,5 @@ def scan(df: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "text"
     line = docs.select("id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")).where("trim(line) != ''")
     found = (line.select("id", digest(F.col("line")).alias("digest")).join(k, "digest")
              .groupBy("id").agg(F.array_join(F.sort_array(F.collect_set("license")), ", ").alias("line_licenses")))
-    return whole.join(found, "id", "left").select(F.col("id").alias(id), "digest", "license", "line_licenses")
+    found = found.withColumnRenamed("id", "line_id")
+    return whole.join(found, F.col("id").eqNullSafe(F.col("line_id")), "left").select(F.col("id").alias(id), "digest", "license", "line_licenses")
