@@ -71,6 +71,38 @@ def test_near_duplicates(spark, docs, rows, k):
     assert minhash.near_duplicates(docs.limit(0), k=k).count() == 0
 
 
+def test_boilerplate_meets_only_where_it_can_be_linked(spark):
+    """Texts of common and own words share buckets without being near copies; planted near
+    copies among them, some linked over a third text only, are found as brute force finds them."""
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        base = common + [f"o{i}_{j}" for j in range(rng.choice([14, 20, 25]))]
+        texts.append(base)
+        for step in range(rng.choice([0, 0, 1, 3])):       # a chain: each copy differs a little from the last
+            base = base[:-4] + [f"n{i}_{step}_{j}" for j in range(4)]
+            texts.append(base)
+    rng.shuffle(texts)
+    sets = [{tuple(w[i:i + 2]) for i in range(len(w) - 1)} for w in texts]
+    root = list(range(len(texts)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(texts)):
+        for b in range(a):
+            n = len(sets[a] & sets[b])
+            if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, k=2).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
 def test_near_duplicates_odd_ids(spark):
     df = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "e f g h"), (2, "a b c d"), (None, "q r s t"), (None, None)],
                                "doc_id long, text string")
@@ -234,6 +266,12 @@ def test_rollup_deltas(spark, tmp_path):
     assert got == {("a", "en", "v1"): (1, 12), (None, "en", "v1"): (1, 7), ("b", "de", "v1"): (1, 0), ("a", "en", "v2"): (1, 3)}
     store.commit(4, rollups.deltas(two, None))
     assert all((r.n_docs, r.n_tokens) == (0, 0) for r in store.totals().collect())
+    store.commit(4, rollups.deltas(two, two))  # the same batch again, now without changes: it is cleared
+    got = {(r.source, r.lang, r.version): (r.n_docs, r.n_tokens) for r in store.totals().collect()}
+    assert got == {("a", "en", "v1"): (1, 12), (None, "en", "v1"): (1, 7), ("b", "de", "v1"): (1, 0), ("a", "en", "v2"): (1, 3)}
+    empty = rollups.Rollup(spark, str(tmp_path / "empty"))
+    empty.commit(1, rollups.deltas(None, one.limit(0)))
+    assert empty.totals().count() == 0
 
 
 def test_pipeline(spark):

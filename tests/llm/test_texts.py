@@ -152,6 +152,29 @@ def test_license_scan(spark):
     assert licenses.scan(df, known.limit(0)).where("license IS NOT NULL").count() == 0
 
 
+def test_license_spellings_and_copyright_lines(spark):
+    gpl = "This work is licensed under the "
+    rows = [(1, gpl + "GNU GPL v3.0"), (2, gpl + "GNU General Public Licence, version 3"), (3, gpl + "gnu gpl v3"), (4, gpl + "GNU GPL v2.0"),
+            (None, "Licensed under CC BY 4.0."), (None, None), (6, "(c) any list item\nReleased under the MIT License."),
+            (7, "(c) 2020 A. Person\nReleased under the MIT License."), (8, "© A. Person\nReleased under the MIT License."),
+            (9, "y " * 40_000 + "\nReleased under the MIT License.")]
+    known = spark.createDataFrame([*licenses.KNOWN.items(), ("three", "licence licence licence")], "license string, text string")
+    got = {(r.doc_id, r.license, r.line_licenses) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
+    notice, mit = "GPL-3.0 notice", "MIT notice"
+    assert got == {(1, notice, notice), (2, notice, notice), (3, notice, notice), (4, None, None), (None, "CC-BY-4.0 notice", "CC-BY-4.0 notice"),
+                   (None, None, "CC-BY-4.0 notice"), (6, None, mit), (7, mit, mit), (8, mit, mit), (9, None, mit)}
+    three = spark.createDataFrame([(1, "license license license")], "doc_id long, text string")
+    assert licenses.scan(three, known).first().license == "three"
+
+
+def test_a_large_known_list_is_joined_with_equal_results(spark, monkeypatch):
+    known = spark.createDataFrame(list(licenses.KNOWN.items()), "license string, text string")
+    df = spark.createDataFrame([(1, licenses.KNOWN["MIT"]), (2, "x\nReleased under the MIT License."), (3, None)], "doc_id long, text string")
+    small = sorted(map(tuple, licenses.scan(df, known).collect()))
+    monkeypatch.setattr(licenses, "MAX_BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, licenses.scan(df, known).collect())) == small
+
+
 URLS = [None, "", "no scheme", "http://", "HTTP://Shop.Example.COM/de/x?y#z", "x://example.net/en/", "x://a.b.example.net/en", "x://net", "x://net/",
         "x://sub.net/q", "x://notexample.com/de/", "x://example.com/de", "x://org/fr/", "x://a.org/fr/1#f", "x://evil.test/p?x", "x://deep.evil.test",
         "x://évil.test/p", "x://a.org?x=/fr/", "x://example.com/DE/"]

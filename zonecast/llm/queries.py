@@ -67,10 +67,12 @@ def op9_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_file("piece_bpe_32k.model")).drop("text")
 
 
-#: Rules of the contract (fixed values) and the names of junk sites (production parameter).
+#: Rules of the contract (fixed values), and the list of junk sites (production parameter; the
+#: operator takes lists of any size).
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-JUNK_NAMES = ("ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-_JUNK = "|".join(JUNK_NAMES)
+JUNK_SITES = [f"{name}.{zone}" for name in ("ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+              for zone in ("example.com", "example.net", "example.org")]
+_JUNK = "|".join(s.replace(".", r"\.") for s in JUNK_SITES)
 _URL_SQL = rf"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
            FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)),
@@ -83,18 +85,16 @@ r AS (SELECT *, CASE
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM h)
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-    WHEN regexp_matches(host, '(^|\.)({_JUNK})(\.|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
+    WHEN regexp_matches(host, '(^|\.)({_JUNK})$') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
 
 
 @query("op10_url_filters", _URL_SQL)
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's rules decide first; other URLs are blocked when their host or a parent
-    of it is on the list of junk hosts, which Spark gathers from the table's own hosts."""
+    of it is on the list of junk sites. Both lists go through the digest array."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "entry string, verdict string")
-    junk = (url_filter.with_host_path(pages).select(
-        F.regexp_extract("host", rf"(?:^|\.)((?:{_JUNK})(?:\..*)?)$", 1).alias("site"))
-        .where("site != ''").select(F.col("site").alias("entry"), F.lit("block").alias("verdict")).distinct())
+    junk = spark.createDataFrame([(site, "block") for site in JUNK_SITES], "entry string, verdict string")
     by_list = url_filter.judge(pages, junk).select(*pages.columns, F.col("verdict").alias("list_verdict"))
     judged = url_filter.judge(by_list, rules, default="")
     return judged.select("page_id", "host", "path", "rule",
@@ -182,7 +182,7 @@ def _canonical_sql(t: str) -> str:
     t = f"regexp_replace(lower(coalesce({t}, '')), '{licenses.COPYRIGHT_LINE}', '\\1', 'g')"
     t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
     for a, b in licenses.EQUIVALENT:
-        t = f"replace({t}, ' {a} ', ' {b} ')"
+        t = f"replace(replace({t}, ' {a} ', ' {b} '), ' {a} ', ' {b} ')"
     return f"trim({t}, ' ')"
 
 
