@@ -17,13 +17,19 @@ EXPECTED = ["timestamp", "step", "duration_min", "status", "details"]
 LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in LOG_COLUMNS])
 
 
+def append_log(rows: DataFrame, path: str) -> None:
+    """Append a batch of log rows; columns beyond the log's are left out, missing ones are NULL."""
+    cols = [F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in LOG_COLUMNS]
+    rows.select(*cols).write.mode("append").parquet(path)
+
+
 def log_pipeline_step(spark: SparkSession, path: str, step: str, status: str, duration_min=None,
                       details=None, now: _dt.datetime | None = None) -> None:
     """Append one row to the step log table (parquet, append mode)."""
     now = now or _dt.datetime.now(_dt.timezone.utc)
     row = (now.strftime("%Y-%m-%d %H:%M:%S UTC"), step, status,
            "" if duration_min is None else str(duration_min), details or "")
-    spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(path)
+    append_log(spark.createDataFrame([row], LOG_SCHEMA), path)
 
 
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,6 @@
-"""Registered queries: fitted models, stacking and clustering. These have no
-SQL oracle (iterative fits); the driver records a rows-only check and the tests hold
-the invariants (exact solutions against numpy, model beats the mean, weights sum to 1,
+"""Registered queries: fitted models, stacking and clustering. Linear models have
+an SQL oracle that solves for them; the others (iterative fits) have none: the driver
+records a rows-only check and the tests hold the invariants (exact solutions against numpy, model beats the mean, weights sum to 1,
 same seed gives the same output)."""
 
 from __future__ import annotations
@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..operators import clustering as CL
 from ..operators import stacking as st
 from . import modeling as MR
-from .q_eval import aligned
-from .q_splits import features, scaled_split
-from .registry import query, rounded
+from ..operators import models as MD
+from .q_eval import _GUARD, aligned
+from .q_splits import _SPLIT_SQL, SCALE_COLS, features, scaled_split
+from .registry import query, r, rounded
 
 
 def train_test(spark, d):
@@ -27,9 +28,65 @@ def _single(kind, params=None):
     return run
 
 
-query("linear_fit")(_single("linear"))
-query("ridge_fit")(_single("ridge"))
-query("lasso_fit")(_single("lasso"))
+def _linear_sql(kind: str, sweeps: int = 400) -> str:
+    """A linear model per district in SQL: scaled split, lags renewed inside each part, centred
+    moments, then Gauss-Jordan elimination (linear, ridge) or coordinate descent (lasso), one
+    step of either per turn of a recursive query."""
+    feats = MD.BASE_FEATURES + MD.SINGLE_EXTRA
+    new = {"lag_1", "lag_2", "lag_24", "rolling_mean_3h", "rolling_mean_24h"}
+    kept = [f for f in feats if f not in new]
+    stats = ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in kept)
+    scaled = ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" if c in SCALE_COLS else c for c in kept)
+    p = len(feats)
+    ridge = {"ridge": MD.RIDGE_ALPHA}.get(kind, 0.0)
+    gram = ", ".join("[" + ", ".join(f"covar_pop({f}, {g}) * COUNT(*)" + (f" + {ridge}" if f == g else "") for g in feats)
+                     + f", covar_pop({f}, pickups) * COUNT(*)]" for f in feats)
+    if kind == "lasso":
+        solve = f"""
+cd AS (
+  SELECT cd_name, a, n, mx, my, 0 AS k, list_transform(range({p}), lambda i: CAST(0 AS DOUBLE)) AS w FROM g
+  UNION ALL
+  SELECT cd_name, a, n, mx, my, k + 1, list_transform(range(1, {p + 1}), lambda i: CASE WHEN i <> j THEN w[i]
+           ELSE sign(rho) * greatest(abs(rho) - {MD.LASSO_ALPHA} * n, 0) / a[j][j] END)
+  FROM (SELECT *, k % {p} + 1 AS j, a[k % {p} + 1][{p + 1}] + a[k % {p} + 1][k % {p} + 1] * w[k % {p} + 1]
+               - list_sum(list_transform(range(1, {p + 1}), lambda i: a[k % {p} + 1][i] * w[i])) AS rho
+        FROM cd WHERE k < {p * sweeps})
+),
+coef AS (SELECT cd_name, w, mx, my FROM cd WHERE k = {p * sweeps})"""
+    else:
+        solve = f"""
+gj AS (
+  SELECT cd_name, a, mx, my, 1 AS k FROM g
+  UNION ALL
+  SELECT cd_name, list_transform(range(1, {p + 1}), lambda i: CASE WHEN i = k THEN row
+           ELSE list_transform(range(1, {p + 2}), lambda j: a[i][j] - a[i][k] * row[j]) END), mx, my, k + 1
+  FROM (SELECT *, list_transform(a[k], lambda v: v / a[k][k]) AS row FROM gj WHERE k <= {p})
+),
+coef AS (SELECT cd_name, list_transform(a, lambda v: v[{p + 1}]) AS w, mx, my FROM gj WHERE k = {p + 1})"""
+    return _SPLIT_SQL.replace("WITH", "WITH RECURSIVE", 1) + f""",
+st AS (SELECT {stats} FROM sp WHERE split = 'train'),
+top AS (SELECT cd_name FROM (SELECT cd_name, COUNT(*) AS n FROM sp WHERE split = 'train' GROUP BY 1) ORDER BY n DESC, cd_name LIMIT 10),
+rl AS (
+  SELECT cd_name, pickup_datetime, CAST(pickups AS DOUBLE) AS pickups, split, {scaled},
+         LAG(pickups, 1) OVER w AS lag_1, LAG(pickups, 2) OVER w AS lag_2, LAG(pickups, 24) OVER w AS lag_24,
+         AVG(pickups) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS rolling_mean_3h,
+         AVG(pickups) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS rolling_mean_24h
+  FROM sp, st WHERE cd_name IN (SELECT cd_name FROM top) WINDOW w AS (PARTITION BY cd_name, split ORDER BY pickup_datetime)
+),
+lin AS (SELECT * FROM rl WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_24 IS NOT NULL),
+g AS (SELECT cd_name, [{gram}] AS a, CAST(COUNT(*) AS DOUBLE) AS n, [{', '.join(f'AVG({f})' for f in feats)}] AS mx, AVG(pickups) AS my
+      FROM lin WHERE split = 'train' GROUP BY cd_name),{solve},
+pr AS (SELECT cd_name AS district, pickups AS y_true, CAST(lag_1 AS DOUBLE) AS lag_1,
+              my + list_sum(list_transform(range(1, {p + 1}), lambda i: w[i] * (x[i] - mx[i]))) AS y_pred
+       FROM (SELECT lin.*, w, mx, my, [{', '.join(f'CAST({f} AS DOUBLE)' for f in feats)}] AS x FROM lin JOIN coef USING (cd_name) WHERE split = 'test')),
+sc AS (SELECT district, sqrt(AVG(power(y_true - y_pred, 2))) AS model_rmse, sqrt(AVG(power(y_true - lag_1, 2))) AS baseline_rmse,
+              {_GUARD} AS correlation FROM pr GROUP BY 1)
+SELECT district, {r('model_rmse')}, {r('baseline_rmse')}, {r('100.0 * (1.0 - model_rmse / NULLIF(baseline_rmse, 0))', '"improvement_%"')},
+       {r('correlation')}, {r('AVG(model_rmse) OVER ()', 'mean_rmse')} FROM sc"""
+
+
+for _kind in ("linear", "ridge", "lasso"):
+    query(f"{_kind}_fit", _linear_sql(_kind))(_single(_kind))
 query("rf_fit")(_single("rf"))
 query("gbm_fit")(_single("lgbm"))
 

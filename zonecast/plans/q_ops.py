@@ -151,17 +151,17 @@ def q_sink_csv(spark, d):
     return FS.scan_csv(spark, path, "cd_name string, pickup_datetime timestamp_ntz, pickups long")
 
 
-@query("sink_append_log", "WITH " + si.RUNLOG_SQL + "\nSELECT * FROM runlog")
+@query("sink_append_log", "WITH " + si.RUNLOG_SQL + """
+SELECT * FROM runlog UNION ALL SELECT 'now', 'self check', 'success', '0.5', 'rows=' || COUNT(*) FROM runlog""")
 def q_sink_append_log(spark, d):
-    """Log rows appended in two batches to the log table and read back; a step logged through
-    ``log_pipeline_step`` lands in the same table (and is left out of the result, since it
-    carries the time of the run)."""
+    """Log rows appended in batches and a step logged through ``log_pipeline_step``, read back
+    (the time of the run shown as ``now``)."""
     path = scratch_path(spark, "append_log")
     log = si.run_log(spark, d)
-    RL.log_pipeline_step(spark, path, "self check", "success", 0.0)
-    log.where(F.col("status").isNull()).write.mode("append").parquet(path)
-    log.where(F.col("status").isNotNull()).write.mode("append").parquet(path)
-    return spark.read.parquet(path).where("step IS NULL OR step != 'self check'")
+    RL.append_log(log.where(F.col("status").isNull()), path)
+    RL.append_log(log.where(F.col("status").isNotNull()), path)
+    RL.log_pipeline_step(spark, path, "self check", "success", 0.5, f"rows={log.count()}")
+    return spark.read.parquet(path).withColumn("timestamp_utc", F.when(F.col("step") == "self check", "now").otherwise(F.col("timestamp_utc")))
 
 
 @query("publish_latest", "WITH " + PREDS_SQL + "\nSELECT district, " + ", ".join(
@@ -346,7 +346,12 @@ def q_sequence_job(spark, d):
     return sequence_job(features(spark, d)).select("cd_name", "pickup_datetime", "split")
 
 
-@query("single_model_run")
+def _single_runs_sql() -> str:
+    from .q_models import _linear_sql
+    return "\nUNION ALL\n".join(f"SELECT *, '{k}' AS model_type FROM ({_linear_sql(k)})" for k in ("linear", "ridge", "lasso"))
+
+
+@query("single_model_run", _single_runs_sql())
 def q_single_model_run(spark, d):
     """The linear model types one after the other, per top-10 district, with the lag-1
     comparison and the type of each row (the tree types are ``rf_fit`` and ``gbm_fit``)."""

@@ -17,22 +17,16 @@ def hourly_counts_stream(points: DataFrame, key: str = "cd_name", ts: str = "pic
                          watermark: str = "2 hours") -> DataFrame:
     """Streaming (or batch) DataFrame of points -> windowed hourly counts.
 
-    Watermarks need a TIMESTAMP event time, so the naive time is cast in the session
-    zone; the hour windows are shifted by the zone's sub-hour offset (e.g. 30 minutes
-    for +05:30) so that they stay aligned with the naive local hours."""
-    import datetime as _dt
-    from zoneinfo import ZoneInfo
-    tz = points.sparkSession.conf.get("spark.sql.session.timeZone")
-    try:
-        off = ZoneInfo(tz).utcoffset(_dt.datetime(2024, 1, 1))
-        shift = int(off.total_seconds() // 60) % 60
-    except Exception:  # unknown zone id: no shift
-        shift = 0
-    t = F.col(ts).cast("timestamp")
+    Watermarks need a TIMESTAMP event time: the naive time's distance from a naive epoch is
+    taken as an instant, and the window's start is turned back the same way, so that the
+    session zone and its clock changes play no part and windows stay on naive hours."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    t = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")))
     w = (points.withColumn("_t", t).withWatermark("_t", watermark)
-               .groupBy(F.col(key), F.window("_t", "1 hour", startTime=f"{shift} minutes"))
+               .groupBy(F.col(key), F.window("_t", "1 hour"))
                .agg(F.count(F.lit(1)).alias("pickups")))
-    return w.select(key, F.col("window.start").cast("timestamp_ntz").alias(ts), "pickups")
+    start = F.timestamp_add("SECOND", F.unix_seconds(F.col("window.start")), epoch)
+    return w.select(key, start.alias(ts), "pickups")
 
 
 def start_hourly_stream(spark, source_dir: str, schema, sink_dir: str, checkpoint: str,
