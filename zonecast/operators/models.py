@@ -106,7 +106,7 @@ def solve_enet(G, c, n: float, alpha: float, l1_ratio: float = 1.0, max_iter: in
             if diag[j] <= 0:
                 continue
             rho = c[j] - G[j] @ w + diag[j] * w[j]
-            new = np.sign(rho) * max(abs(rho) - l1, 0.0) / (diag[j] + l2)
+            new = np.sign(rho) * max(abs(rho) - l1, 0.0) / (diag[j] + l2) + 0.0      # no negative zero
             delta = max(delta, abs(new - w[j]))
             w[j] = new
         if delta < tol:

@@ -206,14 +206,14 @@ def _series(spark, d):
 
 
 _ALIGN_SQL = "WITH " + PREDS_SQL + """,
-s_rf AS (SELECT district, ROW_NUMBER() OVER (PARTITION BY district ORDER BY pickup_datetime DESC) AS rpos, y_true, y_pred AS y_rf
+s_rf AS (SELECT district, ROW_NUMBER() OVER (PARTITION BY district ORDER BY pickup_datetime DESC) AS rpos, pickup_datetime, y_true, y_pred AS y_rf
          FROM tp WHERE model = 'rf'),
 s_lg AS (SELECT district, ROW_NUMBER() OVER (PARTITION BY district ORDER BY pickup_datetime DESC) AS rpos, y_pred AS y_lgbm
          FROM tp WHERE model = 'lgbm'),
 c0 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY district ORDER BY pickup_datetime) AS p FROM tp WHERE model = 'conv'),
 s_cv AS (SELECT district, ROW_NUMBER() OVER (PARTITION BY district ORDER BY pickup_datetime DESC) AS rpos, y_pred AS y_conv
          FROM c0 WHERE p > 10),
-al AS (SELECT district, rpos, y_true, y_rf, y_lgbm, y_conv, COUNT(*) OVER (PARTITION BY district) - rpos AS pos
+al AS (SELECT district, rpos, pickup_datetime, y_true, y_rf, y_lgbm, y_conv, COUNT(*) OVER (PARTITION BY district) - rpos AS pos
        FROM s_rf JOIN s_lg USING (district, rpos) JOIN s_cv USING (district, rpos))"""
 
 

@@ -11,7 +11,7 @@ from ..operators import clustering as CL
 from ..operators import stacking as st
 from . import modeling as MR
 from ..operators import models as MD
-from .q_eval import _GUARD, aligned
+from .q_eval import _ALIGN_SQL, _GUARD, aligned
 from .q_splits import _SPLIT_SQL, SCALE_COLS, features, scaled_split
 from .registry import query, r, rounded
 
@@ -109,15 +109,93 @@ def _meta(spark, d):
     return holdout_split(aligned(spark, d)).where("part = 'meta'")
 
 
-@query("ridge_cv")
+_XS = ("y_rf", "y_lgbm", "y_conv")
+_META_SQL = _ALIGN_SQL + """,
+ho AS (SELECT *, COUNT(*) OVER (PARTITION BY district) AS n_al, CASE WHEN ROW_NUMBER() OVER (PARTITION BY district ORDER BY pos) - 1
+         < greatest(10, floor(CAST(0.6 AS DOUBLE) * COUNT(*) OVER (PARTITION BY district))) THEN 'meta' ELSE 'hold' END AS part FROM al),
+mt AS (SELECT * FROM ho WHERE part = 'meta')"""
+
+
+def _moments() -> str:
+    """Count, means and centred moments of the three series and the truth."""
+    return ("CAST(COUNT(*) AS DOUBLE) AS n, AVG(y_true) AS my, " + ", ".join(f"AVG({x}) AS m{i}" for i, x in enumerate(_XS)) + ", "
+            + ", ".join(f"covar_pop({_XS[i]}, {_XS[j]}) * COUNT(*) AS g{i}{j}" for i in range(3) for j in range(i, 3)) + ", "
+            + ", ".join(f"covar_pop({x}, y_true) * COUNT(*) AS c{i}" for i, x in enumerate(_XS)))
+
+
+#: Ridge for every alpha by elimination of [G + alpha | c | I], then exact leave-one-out errors.
+_RIDGE_CV_SQL = """,
+rm AS (SELECT district, """ + _moments() + """ FROM mt GROUP BY district),
+ra AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, CAST({a!r} AS DOUBLE))" for i, a in enumerate(st.RIDGE_ALPHAS)) + """) v(ai, alpha)),
+gj AS (
+  SELECT district, ai, 1 AS k, [[g00 + alpha, g01, g02, c0, 1, 0, 0], [g01, g11 + alpha, g12, c1, 0, 1, 0], [g02, g12, g22 + alpha, c2, 0, 0, 1]] AS a
+  FROM rm, ra
+  UNION ALL
+  SELECT district, ai, k + 1, list_transform(range(1, 4), lambda i: CASE WHEN i = k THEN row
+           ELSE list_transform(range(1, 8), lambda j: a[i][j] - a[i][k] * row[j]) END)
+  FROM (SELECT *, list_transform(a[k], lambda v: v / a[k][k]) AS row FROM gj WHERE k <= 3)
+),
+rs AS (SELECT district, ai, alpha, n, m0, m1, m2, my, a[1][4] AS w0, a[2][4] AS w1, a[3][4] AS w2, a FROM gj JOIN rm USING (district) JOIN ra USING (ai) WHERE k = 4),
+rl AS (SELECT district, ai, AVG(power((y_true - my - w0 * d[1] - w1 * d[2] - w2 * d[3])
+           / nullif(1 - 1 / n - list_sum(list_transform(range(1, 4), lambda i: d[i] * (a[i][5] * d[1] + a[i][6] * d[2] + a[i][7] * d[3]))), 0), 2)) AS e
+       FROM (SELECT rs.*, y_true, [y_rf - m0, y_lgbm - m1, y_conv - m2] AS d FROM mt JOIN rs USING (district)) GROUP BY 1, 2),
+rb AS (SELECT district, ai FROM rl QUALIFY ROW_NUMBER() OVER (PARTITION BY district ORDER BY e, ai) = 1),
+rc AS (SELECT district, alpha, my - w0 * m0 - w1 * m1 - w2 * m2 AS intercept, w0, w1, w2 FROM rs JOIN rb USING (district, ai))"""
+
+
+def _sweep(inner: str) -> str:
+    """One sweep of coordinate descent over the three weights."""
+    soft = lambda rho: f"(sign({rho}) * greatest(abs({rho}) - t1, 0) + 0.0)"
+    rho = ["c0 - g01 * w1 - g02 * w2", "c1 - g01 * w0 - g12 * w2", "c2 - g02 * w0 - g12 * w1"]
+    for i in range(3):
+        inner = f"SELECT * REPLACE (CASE WHEN g{i}{i} > 0 THEN {soft(rho[i])} / (g{i}{i} + t2) ELSE w{i} END AS w{i}) FROM ({inner})"
+    return inner
+
+
+def _enet_cv_sql(turns: int = 300, sweeps: int = 8) -> str:
+    """Elastic net for every fold left out (3: none) and grid point, held-out errors, best point."""
+    grid = [(i, l1, a) for i, l1 in enumerate(st.ENET_L1) for a in st.ENET_ALPHAS]
+    step = "SELECT e.*, w0, w1, w2, it FROM ecd JOIN em e USING (id) WHERE it < " + str(turns)
+    for _ in range(sweeps):
+        step = _sweep(step)
+    return f""",
+fd AS (SELECT *, CASE WHEN p < n // 3 + least(1, n % 3) THEN 0 WHEN p < 2 * (n // 3) + least(2, n % 3) THEN 1 ELSE 2 END AS fold
+       FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY district ORDER BY pos) - 1 AS p, COUNT(*) OVER (PARTITION BY district) AS n FROM mt)),
+eg AS (SELECT * FROM (VALUES {', '.join(f'({i}, {l1}, CAST({a!r} AS DOUBLE))' for i, l1, a in grid)}) v(li, l1, alpha)),
+em AS MATERIALIZED (SELECT row_number() OVER () AS id, *, alpha * CAST(l1 AS DOUBLE) * n AS t1, alpha * (1 - CAST(l1 AS DOUBLE)) * n AS t2
+       FROM (SELECT district, k, {_moments()} FROM fd, range(4) t(k) WHERE fold <> k GROUP BY district, k), eg),
+ecd AS (
+  SELECT id, 0 AS it, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2 FROM em
+  UNION ALL SELECT id, it + 1, w0, w1, w2 FROM ({step})
+),
+es AS (SELECT em.*, w0, w1, w2, my - w0 * m0 - w1 * m1 - w2 * m2 AS b FROM ecd JOIN em USING (id) WHERE it = {turns}),
+ee AS (SELECT district, li, alpha, AVG(e) AS e FROM (
+         SELECT fd.district, k, li, alpha, AVG(power(y_true - b - w0 * y_rf - w1 * y_lgbm - w2 * y_conv, 2)) AS e
+         FROM fd JOIN es ON fd.district = es.district AND fold = k GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
+eb AS (SELECT district, li, alpha FROM ee QUALIFY ROW_NUMBER() OVER (PARTITION BY district ORDER BY round(e, 9), li, alpha DESC) = 1),
+ec AS (SELECT district, CAST(l1 AS DOUBLE) AS l1_ratio, alpha, b AS intercept, w0, w1, w2 FROM es JOIN eb USING (district, li, alpha) WHERE k = 3)"""
+
+
+_HYBRID_SQL = _META_SQL + _RIDGE_CV_SQL + _enet_cv_sql() + """,
+hp AS (SELECT ho.*, rc.intercept + rc.w0 * y_rf + rc.w1 * y_lgbm + rc.w2 * y_conv AS pr, ec.intercept + ec.w0 * y_rf + ec.w1 * y_lgbm + ec.w2 * y_conv AS pe
+       FROM ho JOIN rc USING (district) JOIN ec USING (district) WHERE part = 'hold' AND n_al >= 20),
+hs AS (SELECT district, sqrt(AVG(power(y_true - pe, 2))) < sqrt(AVG(power(y_true - pr, 2))) AS use_enet FROM hp GROUP BY 1),
+hy AS (SELECT district, pos, pickup_datetime, y_true, CASE WHEN use_enet THEN pe ELSE pr END AS y_pred_blend, y_rf, y_lgbm, y_conv,
+              CASE WHEN use_enet THEN 'ElasticNet' ELSE 'Ridge' END AS method FROM hp JOIN hs USING (district)
+       UNION ALL SELECT district, pos, pickup_datetime, y_true, (y_rf + y_lgbm + y_conv) / 3, y_rf, y_lgbm, y_conv, 'MeanBlend' FROM ho WHERE n_al < 20)"""
+_RECURSIVE = ("WITH", "WITH RECURSIVE", 1)
+_W = ", ".join([r("alpha"), r("intercept"), r("w0"), r("w1"), r("w2")])
+
+
+@query("ridge_cv", (_META_SQL + _RIDGE_CV_SQL).replace(*_RECURSIVE) + f"\nSELECT district, {_W} FROM rc")
 def q_ridge_cv(spark, d):
-    return rounded(st.ridge_cv(_meta(spark, d), ["y_rf", "y_lgbm", "y_conv"])
+    return rounded(st.ridge_cv(_meta(spark, d), list(_XS))
                    .select("district", "alpha", "intercept", *[F.col("coef")[i].alias(f"w{i}") for i in range(3)]))
 
 
-@query("elastic_net_cv")
+@query("elastic_net_cv", (_META_SQL + _enet_cv_sql()).replace(*_RECURSIVE) + f"\nSELECT district, {r('l1_ratio')}, {_W} FROM ec")
 def q_elastic_net_cv(spark, d):
-    return rounded(st.elastic_net_cv(_meta(spark, d), ["y_rf", "y_lgbm", "y_conv"])
+    return rounded(st.elastic_net_cv(_meta(spark, d), list(_XS))
                    .select("district", "l1_ratio", "alpha", "intercept",
                            *[F.col("coef")[i].alias(f"w{i}") for i in range(3)]))
 
@@ -128,14 +206,17 @@ def _hybrid(spark, d):
     return MR.hybrid_run(s["rf"], s["lgbm"], s["conv"])
 
 
-@query("meta_select")
+@query("meta_select", _HYBRID_SQL.replace(*_RECURSIVE) + """
+SELECT district, """ + r("sqrt(AVG(power(y_true - y_pred_blend, 2)))", "rmse_blend") + ", method FROM hy GROUP BY district, method")
 def q_meta_select(spark, d):
     """Per district: the meta-model chosen (elastic net only when its hold-out RMSE is
     strictly lower) and its hold-out RMSE."""
     return rounded(_hybrid(spark, d)[1])
 
 
-@query("hybrid_output")
+@query("hybrid_output", _HYBRID_SQL.replace(*_RECURSIVE) + """
+SELECT district, CAST(pos AS BIGINT) AS pos, pickup_datetime, """ + ", ".join([r("y_true"), r("y_pred_blend"), r("y_rf", "y_pred_rf"),
+    r("y_lgbm", "y_pred_lgbm"), r("y_conv", "y_pred_conv")]) + ", method FROM hy")
 def q_hybrid_output(spark, d):
     return rounded(_hybrid(spark, d)[0])
 
