@@ -11,6 +11,8 @@ no hash comes from fewer than k units.
 ``edited_likeness`` gives every text its word fingerprint, and a short text its character
 fingerprint besides: two short texts are compared by both, any other pair by words, so the
 guarantee for ``K + W - 1`` shared words holds between any two texts, whatever their lengths.
+The published fingerprint keeps the kinds apart (words, then ``|`` and characters), so that the
+likeness of two texts can be told from their fingerprints alone.
 
 The window minima take about log2(w) array passes: a value carries the upper hash bits and the
 negated position, so one ``least`` decides hash and tie together. Everything is a
@@ -115,6 +117,11 @@ def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda x: F.lower(F.hex(x))), " ")
 
 
+def published(u: Column) -> Column:
+    """The word hashes and, if the text is short, ``|`` and the character hashes."""
+    return F.when(F.coalesce(F.size(u["c"]), F.lit(0)) > 0, F.concat_ws(" | ", as_text(u["w"]), as_text(u["c"]))).otherwise(as_text(u["w"]))
+
+
 def next_ids(ids: DataFrame, id: str) -> DataFrame:
     """(id, next_id) for every distinct id: the next larger one, the least after the last.
 
@@ -153,6 +160,6 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     edited = joined.withColumn("edited", F.expr("concat(left(text, int(n - q)), left(head, q))"))
     edited = unit_hashes(edited, "edited", "edited_fp")
     return edited.select(F.col("id").alias(id), F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                         as_text(every_hash(F.col("fp"))).alias("fingerprint"), as_text(every_hash(F.col("edited_fp"))).alias("edited_fingerprint"),
+                         published(F.col("fp")).alias("fingerprint"), published(F.col("edited_fp")).alias("edited_fingerprint"),
                          pair_likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
                          pair_likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
