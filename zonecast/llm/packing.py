@@ -5,9 +5,9 @@ what is left of three limits at once. Each example goes, whole, to the open sequ
 it fits and whose remaining room has the greatest dot product with its demand (both scaled
 by the limits). Where none fits, a new sequence is opened while fewer than ``open_bins``
 are open; beyond that the best gap is filled by cutting the example, so full sequences
-have no padding. At the end of a task the sequences still open are dissolved and laid out
-anew, and the last rest is cut into runs whose lengths are powers of two, which need no
-padding either.
+have no padding. At the end of a task the fullest open sequences are topped up with the examples
+of the least filled ones, which are cut for it, until one sequence is left; its content is cut
+into runs whose lengths are powers of two, which need no padding either.
 
 Each Spark task packs the rows of its own partition in one streaming pass next to the
 tokenizer: no shuffle, memory bounded by the open sequences, and a lost task is redone by
@@ -97,31 +97,35 @@ class Packer:
             start += take
 
     def finish(self) -> None:
-        """Lay out the pieces of the open sequences anew; the rest in powers of two."""
-        pieces = [p for k in np.flatnonzero(self.live) for p in self.bins[k]]
+        """Top up the fullest open sequences from the least filled; the rest in powers of two."""
+        order = sorted(np.flatnonzero(self.live).tolist(), key=lambda k: (self.room[k][0], k))
+        first, last = 0, len(order) - 1
+        while first < last:
+            t, giver = order[first], self.bins[order[last]]
+            example, start, ids, flags = giver.pop()
+            n = len(ids) // 4
+            take = self._cut(self.room[t], n, flags)
+            f = None if flags is None else flags[:take]
+            self._put(t, (example, start, ids[:4 * take], f), np.array([take, 1, self._loss(f, take)]))
+            if take < n:
+                giver.append((example, start + take, ids[4 * take:], None if flags is None else flags[take:]))
+            first += not self.live[t]
+            if not giver:
+                self.live[order[last]] = False
+                last -= 1
+        rest = [p for k in order[first:last + 1] for p in self.bins[k]]
         self.bins, self.live[:] = [[] for _ in self.bins], False
-        room, cur = self.cap.copy(), []
-        for example, start, ids, flags in pieces:
-            while ids:
-                take = self._cut(room, len(ids) // 4, flags)
-                f = None if flags is None else flags[:take]
-                cur.append((example, start, ids[:4 * take], f))
-                room -= [take, 1, self._loss(f, take)]
-                start, ids, flags = start + take, ids[4 * take:], None if flags is None else flags[take:]
-                if (room < 1).any():
-                    self.closed.append(cur)
-                    room, cur = self.cap.copy(), []
-        n = sum(len(p[2]) // 4 for p in cur)
+        n = sum(len(p[2]) // 4 for p in rest)
         while n:  # the largest power of two first
             left = 1 << (n.bit_length() - 1)
             n -= left
             run = []
             while left:
-                example, start, ids, flags = cur.pop(0)
+                example, start, ids, flags = rest.pop(0)
                 take = min(left, len(ids) // 4)
                 run.append((example, start, ids[:4 * take], None if flags is None else flags[:take]))
                 if 4 * take < len(ids):
-                    cur.insert(0, (example, start + take, ids[4 * take:], None if flags is None else flags[take:]))
+                    rest.insert(0, (example, start + take, ids[4 * take:], None if flags is None else flags[take:]))
                 left -= take
             self.closed.append(run)
 
