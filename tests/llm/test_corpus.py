@@ -274,6 +274,57 @@ def test_rollup_deltas(spark, tmp_path):
     assert empty.totals().count() == 0
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_placement_has_the_greatest_dot_product(seed):
+    """While a fitting sequence is open, an example goes whole to the one whose room has the
+    greatest dot product with its demand; loss and segment limits bind too."""
+    rng = np.random.default_rng(seed)
+    limits = (50, 6, 20)
+    p = packing.Packer(*limits, open_bins=5)
+    for i in range(60):
+        n = int(rng.integers(1, 45))
+        flags = rng.random(n) < 0.3
+        demand = np.array([n, 1, int(flags.sum())], float)
+        before = [(k, p.room[k].copy()) for k in np.flatnonzero(p.live)]
+        fits = [(float((r / limits) @ (demand / limits)), -k) for k, r in before if (r >= demand).all()]
+        held = {k: len(p.bins[k]) for k, _ in before}
+        closed = len(p.closed)
+        p.add(i, np.arange(n, dtype="<u4").tobytes(), flags)
+        if fits:
+            k = -max(fits)[1]
+            went = p.bins[k][-1] if p.live[k] and len(p.bins[k]) == held[k] + 1 else p.closed[closed][-1]
+            assert went[0] == i and len(went[2]) == 4 * n
+    p.finish()
+    placed = {}
+    for seq in p.closed:
+        assert sum(len(x[2]) // 4 for x in seq) <= 50 and len(seq) <= 6 and sum(int(x[3].sum()) for x in seq) <= 20
+        for i, start, ids, _ in seq:
+            placed.setdefault(i, []).extend(range(start, start + len(ids) // 4))
+    assert sorted(placed) == list(range(60)) and all(sorted(v) == list(range(len(v))) for v in placed.values())
+
+
+def test_most_sequences_are_closed_by_placement():
+    """What is open at the end is topped up from the least filled, not laid out anew."""
+    rng = np.random.default_rng(1)
+    p = packing.Packer(4096, 256, 4096)
+    for i in range(600):
+        p.add(i, np.zeros(int(rng.integers(50, 1500)), "<u4").tobytes())
+    whole = {k for k in range(64) if p.live[k]}
+    kept = {k: list(p.bins[k]) for k in whole}
+    before = len(p.closed)
+    p.finish()
+    begins = [seq[0][:2] for seq in p.closed[before:]]
+    assert sum(b[0][:2] in begins for b in kept.values() if b) > 0.6 * len(kept)
+    sizes = [sum(len(x[2]) // 4 for x in seq) for seq in p.closed]
+    assert all(n == 4096 or n & (n - 1) == 0 for n in sizes)
+
+
+def test_packing_repeated_and_null_ids(spark):
+    df = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "y"), (None, "c", "z"), (None, None, "w")], "doc_id long, text string, sequence_id string")
+    rows = packing.pack_texts(df, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert sorted((str(r.doc_id), r.doc_tokens) for r in rows if r.start == 0) == sorted([("1", 3), ("1", 3), ("None", 2), ("None", 1)])
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "near duplicates", "repeated passages", "packing"]
     docs = spark.read.parquet(f"{SF01}/documents.parquet")

@@ -11,6 +11,7 @@ import xxhash
 
 from zonecast.llm import licenses, piece_bpe, quality, url_filter, winnowing
 
+SF001 = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{i % 700}" for i in range(6000))
 TEXTS = [None, "", " \n\t", "one", "a b", "the cat sat on the mat and the dog sat on the log", "x " * 40, LONG, LONG,
@@ -131,6 +132,24 @@ def test_likeness_on_both_sides_of_the_short_length(spark):
     assert first.n_chars >= 512 and first.near_edited > 0.5  # three quarters unchanged, the edited text under 512
 
 
+def told_by(a: str, b: str) -> float:
+    """The likeness of two published fingerprints: by characters too if both have them."""
+    (aw, _, ac), (bw, _, bc) = (x.partition("|") for x in (a, b))
+    x, y = set(aw.split()), set(bw.split())
+    if ac and bc:
+        x, y = x | set(ac.split()), y | set(bc.split())
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_likenesses_follow_from_the_published_fingerprints(spark):
+    rows = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(10 ** 6 + i, t) for i, t in enumerate(["", None, "x", "a b", "w " * 255 + "ab", "w " * 255 + "abc"])], "doc_id long, text string"))
+    got = sorted(winnowing.edited_likeness(rows).collect(), key=lambda r: r.doc_id)
+    for r, after in zip(got, [*got[1:], got[0]]):
+        assert r.near_edited == pytest.approx(told_by(r.fingerprint, r.edited_fingerprint))
+        assert r.near_next == pytest.approx(told_by(r.fingerprint, after.fingerprint))
+
+
 def test_edited_likeness_edges(spark, docs):
     got = winnowing.edited_likeness(docs).collect()
     assert len(got) == docs.count()
@@ -213,3 +232,13 @@ def test_digest_array_collision(monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda b: len(b) % 2)  # many strings per digest
     a = url_filter.DigestArray(url_filter.DigestArray.build([(f"host{i}", "block") for i in range(30)]))
     assert (a.find([f"host{i}" for i in range(30)]) >= 0).all() and (a.find(["host99", "", "hosta"]) == -1).all()
+
+
+def test_rules_for_latin_words_spare_other_scripts(spark):
+    russian = " ".join("каждый охотник желает знать где сидит фазан если погода хорошая".split()[i % 10] + "аб"[i % 2] * (i % 7) for i in range(60))
+    chinese = " ".join("春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"[i % 15:i % 15 + 5] + str(i) for i in range(60))
+    polish = " ".join(f"zażółć{i} gęślą{i} jaźń{i}" for i in range(30))
+    rows = [(1, russian, "ru"), (2, chinese, "zh"), (3, polish, "pl"), (4, polish, "de"), (5, polish, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.kept for r in quality.judge(df, lang="lang").collect()} == {1: True, 2: True, 3: True, 4: False, 5: False}
+    assert {r.doc_id: r.kept for r in quality.judge(df).collect()} == {1: True, 2: True, 3: False, 4: False, 5: False}

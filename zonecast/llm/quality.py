@@ -26,8 +26,10 @@ STOP_WORDS = (
     "le", "la", "les", "et", "de", "des", "un", "une", "du", "est", "que", "en", "pour", "dans",
     "el", "los", "las", "y", "que", "no", "se", "por", "con", "para", "es", "una", "al", "del",
 )
+#: Languages of the stop words, as a language column may name them.
+STOP_LANGUAGES = ("en", "de", "fr", "es")
 METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words",
-           "n_no_letter")
+           "n_no_letter", "n_foreign")
 #: rule -> SQL condition under which a text FAILS, integer arithmetic over METRICS.
 BASE_RULES = {
     "too_short": "n_words < 10",
@@ -35,10 +37,12 @@ BASE_RULES = {
 }
 RULES = {
     "word_too_short": "word_chars < 2 * n_words",          # mean word length under 2
-    "word_too_long": "word_chars > 25 * n_words",          # mean word length over 25
+    # mean word length over 25, where blanks part words (Latin letters)
+    "word_too_long": "2 * n_foreign <= word_chars AND word_chars > 25 * n_words",
     "symbols": "100 * n_symbols > 15 * n_words",           # over 15 symbols per 100 words
     "no_letter_words": "100 * n_no_letter > 30 * n_words", # over 30 % of words without a letter
-    "few_stop_words": "n_words >= 50 AND 100 * n_stop_words < n_words",  # under 1 % function words
+    # under 1 % function words, where the words known are those of the script
+    "few_stop_words": "2 * n_foreign <= word_chars AND n_words >= 50 AND 100 * n_stop_words < n_words",
     "repeated_lines": "n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines",
 }
 
@@ -80,6 +84,8 @@ def metrics(df: DataFrame, text: str = "text") -> DataFrame:
         "n_lines": F.size(ln).cast("long"),
         "n_dup_lines": (F.size(ln) - F.size(F.array_distinct(ln))).cast("long"),
         "n_stop_words": F.size(F.filter(w, lambda x: x.isin(*stop_forms()))).cast("long"),
+        # letters of other scripts than Latin; a text of ASCII characters has none
+        "n_foreign": F.when(F.octet_length(t) > F.length(t), F.regexp_count(t, F.lit(r"[\p{L}&&[^\p{IsLatin}]]"))).otherwise(F.lit(0)).cast("long"),
         "n_no_letter": F.size(F.filter(w, lambda x: ~x.rlike(r"\p{L}"))).cast("long"),
     }).drop(ln)
     df = _repeat_words(df, w, "n_repeat_words").drop(w)
@@ -95,10 +101,14 @@ def compiled(rules: dict[str, str]) -> Column:
     return F.array_compact(F.array(*[F.when(F.expr(cond), F.lit(name)) for name, cond in rules.items()]))
 
 
-def judge(df: DataFrame, text: str = "text", rules: dict[str, str] | None = None) -> DataFrame:
-    """Metrics, ``base_failed``, ``failed_rules`` (names) and ``kept`` for every row."""
+def judge(df: DataFrame, text: str = "text", rules: dict[str, str] | None = None, lang: str | None = None) -> DataFrame:
+    """Metrics, ``base_failed``, ``failed_rules`` (names) and ``kept`` for every row. With a
+    ``lang`` column, ``few_stop_words`` holds only where it names one of ``STOP_LANGUAGES`` or nothing."""
     m = metrics(df, text)
-    rules = RULES if rules is None else rules
+    rules = dict(RULES if rules is None else rules)
+    if lang is not None and "few_stop_words" in rules:
+        known = ", ".join(f"'{x}'" for x in STOP_LANGUAGES)
+        rules["few_stop_words"] = f"({rules['few_stop_words']}) AND coalesce(lower(left(`{lang}`, 2)) IN ({known}), true)"
     return m.withColumns({
         "base_failed": F.expr(" OR ".join(f"({c})" for c in BASE_RULES.values())),
         "failed_rules": compiled(BASE_RULES | rules),

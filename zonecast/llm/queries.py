@@ -25,14 +25,15 @@ def query(name: str, sql: str | None = None):
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _STOPS = ", ".join(f"'{w}'" for w in quality.stop_forms())
+_KNOWN = ", ".join(f"'{x}'" for x in quality.STOP_LANGUAGES)
 _QUALITY_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+WITH d AS (SELECT doc_id, coalesce(lower(left(lang, 2)) IN ({_KNOWN}), true) AS known_lang, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
 win AS (SELECT doc_id, i AS p, array_to_string(w[i:i + 4], ' ') AS g
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
 dup AS (SELECT doc_id, p FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 rep AS (SELECT doc_id, sum(least(5, nxt - p)) AS n FROM (
           SELECT doc_id, p, coalesce(lead(p) OVER (PARTITION BY doc_id ORDER BY p), p + 5) AS nxt FROM dup) GROUP BY doc_id),
-m AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+m AS (SELECT d.doc_id, known_lang, length(regexp_replace(t, '[^\\pL]|\\p{{Latin}}', '', 'g')) AS n_foreign, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
         [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS ln,
         coalesce(rep.n, 0) AS n_repeat_words,
@@ -41,7 +42,7 @@ m AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word
       FROM d LEFT JOIN rep USING (doc_id)),
 f AS (SELECT *, len(ln) AS n_lines, len(ln) - len(list_distinct(ln)) AS n_dup_lines FROM m),
 j AS (SELECT *, {' OR '.join(f'({c})' for c in quality.BASE_RULES.values())} AS base_failed,
-        {' OR '.join(f'({c})' for c in quality.RULES.values())} AS more_failed FROM f)
+        {' OR '.join(f'({c})' + (' AND known_lang' if n == 'few_stop_words' else '') for n, c in quality.RULES.items())} AS more_failed FROM f)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT more_failed AS kept
@@ -50,7 +51,7 @@ FROM j"""
 
 @query("op6_quality_rules", _QUALITY_SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), lang="lang").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
