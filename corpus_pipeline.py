@@ -34,7 +34,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that a quality rule rejects."""
-    return quality.judge(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    return quality.judge(docs.select(*COLUMNS), lang="lang").where("kept").select(*COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
