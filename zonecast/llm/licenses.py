@@ -59,11 +59,15 @@ CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION W
 def canonical(text: Column) -> Column:
     t = F.lower(F.coalesce(text, F.lit("")))
     t = F.regexp_replace(t, COPYRIGHT_LINE, "$1")
-    t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    # every word with blanks of its own, so that a spelling is found beside an equal one
+    t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
     for a, b in EQUIVALENT:
-        for _ in range(2):      # neighbours share a blank: the second pass takes what the first left between two hits
-            t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(t)  # blanks are single inside already
+        t = F.replace(t, F.lit(spaced(a)), F.lit(spaced(b)))
+    return F.trim(F.replace(t, F.lit("  "), F.lit(" ")))
+
+
+def spaced(words: str) -> str:
+    return f" {words.replace(' ', '  ')} "
 
 
 def digest(text: Column) -> Column:

@@ -181,10 +181,10 @@ def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _canonical_sql(t: str) -> str:
     t = f"regexp_replace(lower(coalesce({t}, '')), '{licenses.COPYRIGHT_LINE}', '\\1', 'g')"
-    t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+    t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"
     for a, b in licenses.EQUIVALENT:
-        t = f"replace(replace({t}, ' {a} ', ' {b} '), ' {a} ', ' {b} ')"
-    return f"trim({t}, ' ')"
+        t = f"replace({t}, '{licenses.spaced(a)}', '{licenses.spaced(b)}')"
+    return f"trim(replace({t}, '  ', ' '), ' ')"
 
 
 def _text_sql(s: str) -> str:
