@@ -50,7 +50,8 @@ def _levinson(r: Column, max_lag: int) -> Column:
         a = F.try_divide(num, den)
         new_phi = F.concat(F.transform(phi, lambda p, i: p - a * F.get(phi, k - 2 - i)), F.array(a))
         return F.struct(new_phi.alias("phi"), F.concat(acc["pacf"], F.array(a)).alias("pacf"))
-    init = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("pacf"))
+    # element types that allow NULL: a constant series has no partial autocorrelations
+    init = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).cast("array<double>").alias("pacf"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(max_lag)), init, step)["pacf"]
 
 

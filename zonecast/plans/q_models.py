@@ -172,7 +172,8 @@ es AS (SELECT em.*, w0, w1, w2, my - w0 * m0 - w1 * m1 - w2 * m2 AS b FROM ecd J
 ee AS (SELECT district, li, alpha, AVG(e) AS e FROM (
          SELECT fd.district, k, li, alpha, AVG(power(y_true - b - w0 * y_rf - w1 * y_lgbm - w2 * y_conv, 2)) AS e
          FROM fd JOIN es ON fd.district = es.district AND fold = k GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
-eb AS (SELECT district, li, alpha FROM ee QUALIFY ROW_NUMBER() OVER (PARTITION BY district ORDER BY round(e, 9), li, alpha DESC) = 1),
+ea AS (SELECT district, li, alpha, e FROM (SELECT DISTINCT district FROM mt) CROSS JOIN eg LEFT JOIN ee USING (district, li, alpha)),
+eb AS (SELECT district, li, alpha FROM ea QUALIFY ROW_NUMBER() OVER (PARTITION BY district ORDER BY round(e, 9) NULLS LAST, li, alpha DESC) = 1),
 ec AS (SELECT district, CAST(l1 AS DOUBLE) AS l1_ratio, alpha, b AS intercept, w0, w1, w2 FROM es JOIN eb USING (district, li, alpha) WHERE k = 3)"""
 
 
