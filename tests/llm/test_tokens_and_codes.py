@@ -145,7 +145,7 @@ def test_codes_equal_plain_rounds(spark, kind):
         v[200:600] = v[3]
     rows = [(int(i), x.tolist(), int(i % 3) if i % 5 else None, "e") for i, x in enumerate(v)]
     bad = [(900, None, 1, ""), (901, [0.0] * 15 + [float("nan")], 1, ""), (902, [0.0] * 15 + [float("inf")], 1, ""),
-           (903, [0.0] * 15 + [None], 1, "")]
+           (903, [0.0] * 15 + [None], 1, ""), (904, [], 1, "")]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, label int, error string").repartition(6)
     out, books = part_codes.encode(df, parts=4, entries=8, rounds=5, block_rows=150)
     want_books, codes, error = lloyd(np.floor(v.astype(float) * 4096).astype(np.int64), 4, 8, 5)

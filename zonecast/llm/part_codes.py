@@ -20,7 +20,7 @@ uses floating point with a margin, so an entry is only dropped when it surely lo
 ties reach the integer test. A round sends back one sum per (part, entry, position) and task;
 the codebooks (parts x entries rows) are the only thing the driver holds.
 
-Defined results: rows whose vector is null or has a null or non-finite component are dropped;
+Defined results: rows whose vector is null or empty or has a null or non-finite component are dropped;
 with fewer rows than entries the codebooks have as many entries as rows (rows without an id
 start none); equal ids start entries in the order of their components; repeated rows are
 coded each; an empty table gives no rows; other columns are ignored. All vectors kept must
@@ -320,18 +320,18 @@ def encode(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label:
     if not 1 <= entries <= 256:
         raise ValueError("entries must be between 1 and 256 (two hex digits)")
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
-    rows = df.where(F.col(vector).isNotNull() & finite).select(
+    rows = df.where((F.size(vector) > 0) & finite).select(
         F.col(id).alias("id"), F.col(label).alias("label"),
         F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"))
     first = [r["v"] for r in rows.where("id is not null").orderBy("id", "v").limit(entries).select("v").collect()]
     if any(len(v) % parts or len(v) != len(first[0]) for v in first):
         raise ValueError("vector lengths must be equal and divisible by the number of parts")
-    start = np.array(first, np.int64).reshape(len(first), parts, -1)
-    books = [start[:, p] for p in range(parts)]
-    if not len(first):                                     # no row to start a codebook with
+    if not first:                                          # no row to start a codebook with
         none = rows.where("false").select("id", F.lit("").alias("code"), F.lit(0).cast("bigint").alias("error"), "label",
                                           F.lit(0).cast("bigint").alias("label_error"))
-        return none.withColumnsRenamed({"id": id, "label": label}), books
+        return none.withColumnsRenamed({"id": id, "label": label}), [np.zeros((0, 0), np.int64)] * parts
+    start = np.array(first, np.int64).reshape(len(first), parts, -1)
+    books = [start[:, p] for p in range(parts)]
     blocks = materialize(_blocks(rows, parts, block_rows), "part-trees")
     for _ in range(rounds):
         books = _round(blocks, books)

@@ -219,7 +219,7 @@ def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
         FROM p JOIN c{r} c USING (part)) GROUP BY rid, part"""
     ctes = [f"""k AS (SELECT row_number() OVER () AS rid, vec_id, label,
         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v FROM embeddings
-      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
             f"""p AS (SELECT rid, vec_id, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS q
       FROM k, range({parts}) t(part))""",
             f"""c0 AS (SELECT part, entry, q FROM (SELECT part, q, row_number() OVER (PARTITION BY part ORDER BY vec_id, q) - 1 AS entry
