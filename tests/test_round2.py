@@ -44,3 +44,20 @@ def test_quantiles_keep_the_null_group(spark):
 def test_best_round_has_patience():
     errors = [5, 4, 4.5, 4.6, 3.9] + [4.0] * 300
     assert best_round(errors, 200) == (5, True) and best_round(errors, 2) == (2, True) and best_round(errors[:5], 200) == (5, False)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_streaming_hours_are_naive_hours(spark, zone):
+    """Hours that a zone's clock skips or repeats are counted as written."""
+    from zonecast.streaming.hourly import hourly_counts_stream
+    t = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 2, 59, 59), dt.datetime(2024, 3, 10, 3, 0),
+         dt.datetime(2024, 11, 3, 1, 30), dt.datetime(2024, 11, 3, 0, 59), dt.datetime(1960, 1, 1, 5, 15)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([("a", x) for x in t], "cd_name string, pickup_datetime timestamp_ntz")
+        got = {r.pickup_datetime: r.pickups for r in hourly_counts_stream(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {dt.datetime(2024, 3, 10, 2): 2, dt.datetime(2024, 3, 10, 3): 1, dt.datetime(2024, 11, 3, 1): 1,
+                   dt.datetime(2024, 11, 3, 0): 1, dt.datetime(1960, 1, 1, 5): 1}

@@ -152,3 +152,12 @@ def test_bad_files_are_set_aside_one_by_one(spark, tmp_path):
     got = {r.file.rsplit("/", 1)[1]: r.reason for r in skipped.collect()}
     assert sorted(got) == ["cut.csv.gz", "empty.csv", "gone.csv", "none.csv"] and got["empty.csv"] == "empty file"
     assert "PATH_NOT_FOUND" in got["gone.csv"] and "FAILED_READ_FILE" in got["cut.csv.gz"]
+
+
+def test_log_fields_may_hold_line_feeds(spark, tmp_path):
+    from zonecast.operators import runlog as RL
+    (tmp_path / "log.csv").write_text('timestamp_utc,step,status,duration_min,details\nt1,a,success,1,"two\nlines, one field"\n'
+                                      't2,b,failed\n\nt3,c,success,2,x,\nt4,d,,3,""\ntimestamp_utc,step,status,duration_min,details\n')
+    got = {r.step: tuple(r) for r in RL.read_log_csv(spark, str(tmp_path)).collect()}
+    assert got == {"a": ("t1", "a", "success", "1", "two\nlines, one field"), "b": ("t2", "b", "failed", None, None),
+                   "d": ("t4", "d", None, "3", None)}

@@ -84,9 +84,17 @@ def parse_timestamp(s, formats=None, first=()) -> Column:
     return parse_forms(c, first)
 
 
+def naive_micros(ts) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ since 1970 as its fields say (``timestamp_diff`` would go
+    through the session zone)."""
+    t = col_(ts).cast("timestamp_ntz")
+    second = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    return (F.unix_date(t.cast("date")).cast("bigint") * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60) * 1_000_000 + second
+
+
 def timedelta_days(start, end) -> Column:
     """Whole days of ``end - start`` rounded towards minus infinity (``timedelta.days``)."""
-    us = F.timestamp_diff("MICROSECOND", col_(start), col_(end))     # zone-free on NTZ
+    us = naive_micros(end) - naive_micros(start)
     return F.floor(us / F.lit(86400 * 1_000_000)).cast("bigint")
 
 

@@ -33,13 +33,19 @@ def log_pipeline_step(spark: SparkSession, path: str, step: str, status: str, du
 
 
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Tolerant CSV read of a text log, line by line, every field as text: a row with more
-    fields than the columns is dropped (also when the extra field is empty), a short row is
-    padded with NULLs. Header lines are skipped."""
-    line = F.col("value")
-    n_fields = F.size(F.split(F.regexp_replace(line, r'"(?:[^"]|"")*"', "q"), ",", -1))
-    rows = (spark.read.text(path).where((line != ",".join(LOG_COLUMNS)) & (F.trim(line) != "") & (n_fields <= len(LOG_COLUMNS))))
-    return rows.select(F.from_csv(line, ", ".join(f"{c} string" for c in LOG_COLUMNS)).alias("r")).select("r.*")
+    """Tolerant CSV read of a text log, every field as text: a row with more fields than the
+    columns is dropped (also when the extra field is empty), a short row is padded with
+    NULLs, empty fields are NULL. Quoted fields may hold line feeds, so a file is read by
+    one task (logs grow by files). Header lines are skipped."""
+    schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("_other", T.StringType())])
+    # records of another length come whole in ``_other``; their fields are counted outside quotes
+    rows = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "_other").csv(path)
+    n_fields = F.size(F.split(F.regexp_replace("_other", r'"(?:[^"]|"")*"', "q"), ",", -1))
+    header = F.lit(True)
+    for c in LOG_COLUMNS:
+        header = header & F.col(c).eqNullSafe(c)
+    return rows.where((F.col("_other").isNull() | (n_fields <= len(LOG_COLUMNS))) & ~header).select(
+        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in LOG_COLUMNS])
 
 
 def tidy_log(log: DataFrame) -> DataFrame:

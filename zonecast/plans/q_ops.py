@@ -393,14 +393,17 @@ def q_gbm_early_stop(spark, d):
 @query("end_to_end_run")
 def q_end_to_end_run(spark, d):
     """The whole pipeline (clean -> spatial join -> features -> split -> tree ensemble ->
-    sequence model -> hybrid -> evaluation -> forecast table) on the raw stand-in; returns
-    the step log of the run."""
+    sequence model -> hybrid -> evaluation -> forecast table) on the dirty raw stand-in;
+    returns the forecast table with the number of steps logged as successful and of rows
+    that cleaning took in and left."""
     from .runner import Config, run
-    raw = si.pickups(spark, d).select(F.date_format("pickup_datetime", "M/d/yyyy H:mm:ss").alias("pickup_datetime"),
-                                      "Lat", "Lon", "Base", F.concat(F.col("Base"), F.lit(".csv")).alias("source_file"))
+    raw = si.dirty_pickups(spark, d).select("Date/Time", "Lat", "Lon", "Base", F.concat(F.col("Base"), F.lit(".csv")).alias("source_file"))
     out = scratch_path(spark, "end_to_end")
     status = run(spark, Config(out=out), raw,
                  si.dense_district_polygons(spark), run_id="run_" + _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S"))
     if not all(v == "success" for v in status.values()):
         raise RuntimeError(f"pipeline failed: {status}")
-    return spark.read.parquet(f"{out}/pipeline_log").select("step", "status")
+    log = spark.read.parquet(f"{out}/pipeline_log").where("status = 'success'")
+    rows = spark.read.parquet(f"{out}/cleaning_report").agg(F.max("rows_before").alias("rows_in"), F.min("rows_after").alias("rows_kept"))
+    return spark.read.parquet(f"{out}/forecast_next_hour").withColumns(
+        {"steps_done": log.agg(F.count(F.lit(1))).scalar(), "rows_in": rows.select("rows_in").scalar(), "rows_kept": rows.select("rows_kept").scalar()})

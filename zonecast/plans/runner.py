@@ -59,8 +59,9 @@ def run(spark: SparkSession, cfg: Config, raw_points: DataFrame, polygons: DataF
 
     def clean():
         group = ("source_file",) if cfg.group_clean_by_file and "source_file" in raw_points.columns else ()
-        df = C.clean_pickups(raw_points, group_by=group)
+        df, report = C.clean_with_report(raw_points, group_by=group)
         _w(df.select("pickup_datetime", F.col("lat").alias("Lat"), F.col("lon").alias("Lon")), cfg, "cleaned")
+        _w(report, cfg, "cleaning_report")
 
     def preprocess():
         # district ids (INT) through the join and the per-point aggregation; names are

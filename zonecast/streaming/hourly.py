@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import naive_micros
+
 
 def hourly_counts_stream(points: DataFrame, key: str = "cd_name", ts: str = "pickup_datetime",
                          watermark: str = "2 hours") -> DataFrame:
@@ -21,7 +23,7 @@ def hourly_counts_stream(points: DataFrame, key: str = "cd_name", ts: str = "pic
     taken as an instant, and the window's start is turned back the same way, so that the
     session zone and its clock changes play no part and windows stay on naive hours."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    t = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")))
+    t = F.timestamp_micros(naive_micros(ts))
     w = (points.withColumn("_t", t).withWatermark("_t", watermark)
                .groupBy(F.col(key), F.window("_t", "1 hour"))
                .agg(F.count(F.lit(1)).alias("pickups")))
