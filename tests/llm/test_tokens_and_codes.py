@@ -40,6 +40,19 @@ def test_byte_ids_equal_the_library(as_text):
     assert all(np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids for t, g in zip(texts, got))
 
 
+def test_word_ids_equal_the_library():
+    from zonecast.llm.packing import WordIds
+    file = public_tokenizers.path("word_bpe_49k.json")
+    tok, words = Tokenizer.from_file(file), WordIds(file)
+    assert words.simple
+    signs = SIGNS.replace("<|endoftext|>", "<|endoftext|><|startoftext|>") + "ÀßÿÇŒǅÅABC|*"
+    rng = random.Random(4)
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["HELLO World!!", "Straße, ÉCOLE... naïve?", "İstanbul ı", "a--b c", "x|y|z ***"]
+    for t, got in zip(texts, words.of(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def naive_best_fit(lengths, cap):
     room = []
     for need in sorted(lengths, reverse=True):

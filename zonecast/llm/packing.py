@@ -21,6 +21,9 @@ ignored. A single token always fits (limits are at least 1).
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -30,10 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .byte_ids import SIGNS, byte_signs
 from .common import worker_cache
 
 #: Sequences a task keeps open, and remembered words of a worker's tokenizer.
 OPEN_BINS, MEMO_SIZE = 64, 600_000
+#: The pre-tokenizer that the short way for plain words is made for (fixed value), and their letters.
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_1 = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
 
 
 class Packer:
@@ -185,10 +192,44 @@ class WordIds:
         special = [(i, t) for i, t in sorted(self.tok.get_added_tokens_decoder().items())
                    if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.part_id, self.part = (special[0][0], special[0][1].content) if special else (None, None)
+        with open(tokenizer_file, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        # where case is folded and runs of letters and of signs are pre-tokens, a plain word needs the model only
+        self.simple = (steps == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in pre] == ["Split", "ByteLevel"]
+                       and pre[0].get("pattern", {}).get("Regex") == LETTER_RUNS and not pre[1].get("add_prefix_space"))
+        self.model, self.signs, self.runs = self.tok.model, byte_signs(), {"": b""}
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _pretoken(self, s: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(self.signs))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, word: str) -> bytes | None:
+        """Ids of Latin letters with ASCII signs after them; None for other words."""
+        core = word.rstrip(SIGNS)
+        if not core or not (core.isascii() and core.isalpha() or LATIN_1.fullmatch(core)):
+            return None
+        signs = word[len(core):]
+        run = self.runs.get(signs)
+        if run is None:
+            run = self._pretoken(signs)
+            if len(signs) <= 8 and len(self.runs) < 10_000:
+                self.runs[signs] = run
+        return self._pretoken(core.lower()) + run
+
     def learn(self, words: list[str]) -> None:
+        if self.simple:
+            rest = []
+            for w in words:
+                got = self._plain(w)
+                if got is None:
+                    rest.append(w)
+                else:
+                    self.memo[w] = got
+            words = rest
         plain = [w for w in words if self.part not in w] if self.part else []
         for k in range(0, len(plain), 2000):
             run = plain[k:k + 2000]
