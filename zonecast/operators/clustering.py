@@ -74,8 +74,8 @@ def _seeds(xy: np.ndarray, k: int, rng: np.random.Generator, tries: int = 3, rou
 
 
 def _cluster_sums(points: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
-    """(k, c, n, lat, lon, d): per centre of every k the points nearest to it (the smaller
-    number of equally near ones), their sums and squared distances. A task sends one row per centre."""
+    """(k, c, n, lat, lon, d): per task and centre of every k the points nearest to it (the
+    smaller number of equally near ones), their sums and squared distances."""
     centres = {k: c.copy() for k, c in centres.items()}
 
     def run(batches):
@@ -92,8 +92,7 @@ def _cluster_sums(points: DataFrame, centres: dict[int, np.ndarray]) -> DataFram
         cols = zip(*rows) if rows else [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["k", "c", "n", "lat", "lon", "d"])
 
-    parts = points.select("Lat", "Lon").mapInArrow(run, "k int, c int, n bigint, lat double, lon double, d double")
-    return parts.groupBy("k", "c").agg(*[F.sum(x).alias(x) for x in ("n", "lat", "lon", "d")])
+    return points.select("Lat", "Lon").mapInArrow(run, "k int, c int, n bigint, lat double, lon double, d double")
 
 
 def minibatch_kmeans(points: DataFrame, ks=ELBOW_K, batch: int = BATCH, epochs: int = EPOCHS, seed: int = SEED,
@@ -116,8 +115,8 @@ def minibatch_kmeans(points: DataFrame, ks=ELBOW_K, batch: int = BATCH, epochs:
     n_batches = max(1, round(total / batch))
     # batches of their own files, so that a step reads its batch only
     whole = scratch_path(spark, "kmeans_batches")
-    (path.withColumn("_b", F.pmod("_h", F.lit(n_batches))).repartition(max(n_batches, spark.sparkContext.defaultParallelism), "_b", F.col("_h") % 8)
-         .write.partitionBy("_b").parquet(whole))
+    (path.withColumn("_b", F.pmod("_h", F.lit(n_batches))).repartition(n_batches, "_b")
+         .write.option("maxRecordsPerFile", 4 * batch).partitionBy("_b").parquet(whole))
     rng = np.random.default_rng(seed)
     first = np.array([[r["Lat"], r["Lon"]] for r in path.orderBy("_h", "Lat", "Lon").limit(batch).collect()])
     centres = {k: _seeds(first, k, rng) for k in ks}
@@ -127,10 +126,14 @@ def minibatch_kmeans(points: DataFrame, ks=ELBOW_K, batch: int = BATCH, epochs:
     for _ in range(epochs):
         before = {k: centres[k].copy() for k in ks}
         for b in range(n_batches):
-            for r in _cluster_sums(table.where(F.col("_b") == b), centres).collect():     # at most sum(ks) rows
-                seen[r["k"]][r["c"]] += r["n"]
-                at = centres[r["k"]][r["c"]]
-                at += (np.array([r["lat"], r["lon"]]) - r["n"] * at) / seen[r["k"]][r["c"]]
+            got: dict = {}
+            for r in _cluster_sums(table.where(F.col("_b") == b), centres).collect():     # sum(ks) rows per task of a batch
+                at = got.setdefault((r["k"], r["c"]), np.zeros(3))
+                at += (r["n"], r["lat"], r["lon"])
+            for (k, c), (n, lat, lon) in got.items():
+                seen[k][c] += n
+                at = centres[k][c]
+                at += (np.array([lat, lon]) - n * at) / seen[k][c]
         if max(float(np.abs(centres[k] - before[k]).max()) for k in ks) <= tol:
             break
     return centres, _cluster_sums(table, centres).groupBy("k").agg(F.sum("d").alias("inertia"))
