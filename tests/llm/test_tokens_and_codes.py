@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from zonecast.llm import alignment, best_fit, part_codes
@@ -285,3 +286,33 @@ def test_scores_add_up_over_the_corpus(spark):
     squares = sum(r.n_links ** 2 for r in alignment.pair_counts(table).select("n_links").collect())
     total = alignment.align(df, BYTE, PIECE).agg({"count_sum": "sum"}).first()[0]
     assert total == squares
+
+
+# -- edges of earlier operators ---------------------------------------------------------
+
+def test_long_texts_of_the_deduplication_operators(spark):
+    """Texts of thousands of words: near copies are linked, shared passages go once."""
+    from zonecast.llm import minhash, substring
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    base, passage = [word() for _ in range(4000)], [word() for _ in range(900)]
+    near = list(base)
+    for k in range(0, 4000, 100):
+        near[k] = word()
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join([*(word() for _ in range(300)), *passage])),
+            (4, " ".join([*passage, *(word() for _ in range(300))]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df, k=2).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring.remove_repeats(df.where("doc_id > 2"), width=50).collect()}
+    assert got == {3: (1200, 0), 4: (1200, 900)}
+
+
+def test_long_urls_and_long_counts(spark):
+    from zonecast.llm import rollups, url_filter
+    deep, path = ".".join(["a"] * 300), "/" + "p/" * 5000
+    pages = spark.createDataFrame([(1, f"http://{deep}.evil.test{path}"), (2, f"http://evil.test.{deep}{path}")], "page_id long, url string")
+    listed = spark.createDataFrame([("evil.test/p/", "block")], "entry string, verdict string")
+    for limit in (1 << 20, 0):
+        assert {r.page_id: r.verdict for r in url_filter.judge(pages, listed, max_list_bytes=limit).collect()} == {1: "block", 2: "allow"}
+    text = spark.createDataFrame([("a, " * 200_000,)], "text string")
+    assert text.select(rollups.word_count(F.col("text")), rollups.wordpunct_count(F.col("text"))).first()[:] == (200_000, 400_000)
