@@ -137,7 +137,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model, evidence=False).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
 @query("op1_winnowing")

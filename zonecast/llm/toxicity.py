@@ -34,6 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +48,9 @@ MAX_TOXIC, MAX_CLEAN, MAX_TERMS = 2000, 4000, 2000
 NEIGHBOURS, BLOCK, PRIOR_VOTES, TERM_SUPPORT, STEMS = 15, 128, 0.05, 5, (4, 5, 6)
 FIRST_BLOCKS = 4
 #: Memos of a worker: scores (texts with the same term counts have the same one), words.
-MEMO_SIZE, WORDS_SIZE = 10_000, 200_000
+MEMO_SIZE, WORDS_SIZE = 5_000, 100_000
+#: Texts of a batch that are in Python at once.
+SLICE = 500
 _TERM = re.compile(r"\w+")
 
 
@@ -234,19 +237,26 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     return model
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch, a few of them in Python at a time."""
+    for at in range(0, len(column), SLICE):
+        yield from column.slice(at, SLICE).to_pylist()
+
+
 def _idf(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
     """Inverse document frequencies over all documents, counted per task and then summed."""
     n = len(vocabulary)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total, words = np.zeros(n, "i8"), 0, {}
         for b in batches:
-            for t in b["text"]:
+            for t in _texts(b.column(0)):
                 seen[list(term_counts(t, vocabulary, words))] += 1
-            total += len(b)
-        yield pd.DataFrame({"term": np.append(np.flatnonzero(seen), -1), "n": np.append(seen[seen > 0], total)})
+            total += b.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.flatnonzero(seen), -1)), pa.array(np.append(seen[seen > 0], total))],
+                                         names=["term", "n"])
 
-    got = (docs.select(F.col(text).alias("text")).mapInPandas(count, "term long, n long").groupBy("term")
+    got = (docs.select(F.col(text).alias("text")).mapInArrow(count, "term long, n long").groupBy("term")
            .agg(F.sum("n").alias("n")).toArrow())  # one row per vocabulary term
     term, count = (got[c].to_numpy() for c in ("term", "n"))
     total = count[term == -1].sum()
@@ -255,16 +265,18 @@ def _idf(docs: DataFrame, text: str, vocabulary: dict[str, int]) -> np.ndarray:
     return np.log((1 + total) / (1 + df)) + 1
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """Add ``score``, ``predicted`` (score >= threshold) and ``evidence`` (nearest examples:
-    id as text, label, cosine)."""
+def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7, evidence: bool = True) -> DataFrame:
+    """Add ``score``, ``predicted`` (score >= threshold) and, unless told not to, ``evidence``
+    (nearest examples: id as text, label, cosine)."""
     # as bytes that carry their classes, so that workers need not have the package installed
     shared, key = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), f"toxicity:{uuid.uuid4().hex}"
-    kind = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.StructType([
-        T.StructField("id", T.StringType()), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType())])))])
+    found = T.ArrayType(T.StructType([
+        T.StructField("id", T.StringType()), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
+    kind = T.StructType([T.StructField("score", T.DoubleType()), *([T.StructField("evidence", found)] if evidence else [])])
+    listed = pa.list_(pa.struct([("id", pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache = worker_cache()
         if key not in cache:
             for old in [k for k in cache if k.startswith("toxicity:")]:
@@ -272,12 +284,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             cache[key] = cloudpickle.loads(shared.value)
         m = cache[key]
         for b in batches:
-            got = [m.score(t) for t in b]
-            yield pd.DataFrame({"score": [s for s, _ in got],
-                                "evidence": [[{"id": str(i), "label": y, "cosine": c} for i, y, c in e] for _, e in got]})
+            scores, near = [], []
+            for t in _texts(b):
+                s, e = m.score(t)
+                scores.append(s)
+                if evidence:
+                    near.append([{"id": str(i), "label": y, "cosine": c} for i, y, c in e])
+            cols = [pa.array(scores, pa.float64()), *([pa.array(near, listed)] if evidence else [])]
+            yield pa.StructArray.from_arrays(cols, names=kind.names)
 
     run = run.asNondeterministic()  # so that a filter on the score does not run it twice
     keep = [c for c in docs.columns if c == text or c not in ("score", "predicted", "evidence")]
     out = docs.select(*keep).withColumn("__r", run(F.col(text)))
     return out.select(*keep, F.col("__r.score").alias("score"), (F.col("__r.score") >= threshold).cast("int").alias("predicted"),
-                      F.col("__r.evidence").alias("evidence"))
+                      *([F.col("__r.evidence").alias("evidence")] if evidence else []))
