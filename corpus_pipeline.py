@@ -29,7 +29,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drop documents predicted toxic (score >= 0.7), learning from ``labels`` as op2 does."""
     docs = docs.select(*COLUMNS)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*COLUMNS)
+    return toxicity.score(docs, model, evidence=False).where("predicted = 0").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
