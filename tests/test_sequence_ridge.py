@@ -89,6 +89,15 @@ def test_cleaning_report_counts_every_step(spark):
     assert got["bounding_box"][1] == clean.count() and list(got) == ["parse_time", "duplicates", "iqr", "bounding_box"]
 
 
+def test_cleaning_nothing(spark):
+    """No rows, and rows whose times cannot be read."""
+    kind = "`Date/Time` string, Lat double, Lon double"
+    for rows, n in (([], 0), ([("x", 1.0, 2.0), ("y", 1.0, 2.0)], 2)):
+        clean, report = C.clean_with_report(spark.createDataFrame(rows, kind))
+        got = {r.step: (r.rows_before, r.rows_after) for r in report.collect()}
+        assert clean.count() == 0 and got["parse_time"] == (n, 0) and got["duplicates"] == (0, 0)
+
+
 def test_models_come_back_by_run(spark, tmp_path):
     df = spark.createDataFrame([("a", float(i), 2.0 * i) for i in range(30)], "cd_name string, x double, pickups double")
     path = str(tmp_path / "m")

@@ -295,12 +295,17 @@ def clean_with_report(df: DataFrame, group_by=(), factor: float = IQR_FACTOR) ->
     raw, parsed = Observation("raw"), Observation("parsed")
     # looked at before the counting, which ends with the first action
     first = detect_forms(df, "pickup_datetime") if "pickup_datetime" in df.columns else ()
+    source = df
     df = df.observe(raw, F.count(F.lit(1)).alias("n"))
     if "pickup_datetime" in df.columns:
         df = parse_ts_coerce(df, "pickup_datetime", first=first)
     df = nan_to_null(df.observe(parsed, F.count(F.lit(1)).alias("n")))
     # written once: the bounds and the filter below both read it
     df = materialize(dedup_all(df), "deduplicated")
+    if df.isEmpty():        # the plan may have been cut down to nothing, with the counters in it
+        n_raw, n_parsed = source.count(), 0
+    else:
+        n_raw, n_parsed = raw.get["n"], parsed.get["n"]
     located = {"lat", "lon"} <= set(df.columns)
     j, conds = df, []
     if located:
@@ -315,7 +320,7 @@ def clean_with_report(df: DataFrame, group_by=(), factor: float = IQR_FACTOR) ->
         counts.append(F.count_if(passed))
     steps = ["parse_time", "duplicates", *(name for name, _ in conds)]
     tail = j.agg(F.array(*counts).alias("n")).select(F.concat(
-        F.array(F.lit(raw.get["n"]), F.lit(parsed.get["n"])).cast("array<bigint>"), F.col("n")).alias("n"))
+        F.array(F.lit(n_raw), F.lit(n_parsed)).cast("array<bigint>"), F.col("n")).alias("n"))
     report = tail.select(F.posexplode(F.array(*[F.lit(s) for s in steps])).alias("i", "step"), "n").select(
         "step", F.get("n", F.col("i")).alias("rows_before"), F.get("n", F.col("i") + 1).alias("rows_after"))
     return fill_unknown(out.select(*df.columns)), report

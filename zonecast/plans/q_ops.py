@@ -36,12 +36,17 @@ def _files_with_bad_ones(spark, d):
     si.table(spark, d, "orders").select("o_orderkey", "o_orderdate") \
         .write.option("header", True).csv(f"{base}/bad")
     files = [f for sub in ("good", "bad") for f in spark.read.text(f"{base}/{sub}").inputFiles()]
+    # the beginning of a compressed file of the same rows, and a file without any
+    si.raw_pickups(spark, d).withColumnRenamed("Date/Time", "pickup_datetime").write.option(
+        "header", True).option("compression", "gzip").csv(f"{base}/whole")
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    import gzip
-    text = "pickup_datetime,lat,lon\n" + "".join(f"2014-04-01 00:{i % 60:02d}:00,40.{i * 7919 % 9973},-74.0\n" for i in range(20_000))
-    for name, body in (("cut.csv.gz", gzip.compress(text.encode())[:-4000]), ("empty.csv", b"")):
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")
-        out = path.getFileSystem(conf).create(path)
+    whole = jvm.org.apache.hadoop.fs.Path(spark.read.text(f"{base}/whole").inputFiles()[0])
+    fs = whole.getFileSystem(conf)
+    stream = fs.open(whole)
+    begin = bytes(stream.readNBytes(min(1 << 16, fs.getFileStatus(whole).getLen() // 2)))
+    stream.close()
+    for name, body in (("cut.csv.gz", begin), ("empty.csv", b"")):
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}"))
         out.write(bytearray(body))
         out.close()
         files.append(f"{base}/{name}")
